@@ -11,12 +11,15 @@ from millrace.sources.documents import order_lines, order_xml, parse_order_xml
 from millrace.sources.tables import work_path
 
 YEARS = ["1996-01-01", "1997-01-01", "1998-01-01", "1999-01-01", "2000-01-01", "2001-01-01"]
-BOUNDS = [ntz(y) for y in YEARS]
 BUCKET_SQL = "(1" + "".join(
     f" + CASE WHEN o_orderdate >= TIMESTAMP '{y}' THEN 1 ELSE 0 END" for y in YEARS
 ) + ")"
 
 
+def bounds():
+    return [ntz(y) for y in YEARS]
+
+
 @query("scan_table", oracle="SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def scan_table(t):
     return t.customer.select("c_custkey", "c_name", "c_mktsegment")
@@ -175,7 +178,7 @@ def xml_rowset_source(t):
 )
 def partitioned_write(t):
     path = work_path(t.spark, "partitioned-write")
-    P.write_partitioned(t.orders, path, F.col("o_orderdate"), BOUNDS)
+    P.write_partitioned(t.orders, path, F.col("o_orderdate"), bounds())
     return (
         t.spark.read.parquet(path)
         .groupBy(big("bucket").alias("bucket"))
@@ -185,7 +188,7 @@ def partitioned_write(t):
 
 @query("partition_number", oracle=f"SELECT o_orderkey, CAST({BUCKET_SQL} AS BIGINT) AS bucket FROM orders")
 def partition_number(t):
-    return t.orders.select("o_orderkey", big(P.partition_number(F.col("o_orderdate"), BOUNDS)).alias("bucket"))
+    return t.orders.select("o_orderkey", big(P.partition_number(F.col("o_orderdate"), bounds())).alias("bucket"))
 
 
 @query(
@@ -197,7 +200,7 @@ def partition_number(t):
     """,
 )
 def partition_stats(t):
-    routed = t.orders.withColumn(P.BUCKET, P.partition_number(F.col("o_orderdate"), BOUNDS))
+    routed = t.orders.withColumn(P.BUCKET, P.partition_number(F.col("o_orderdate"), bounds()))
     stats = P.partition_stats(routed, "o_orderdate")
     return stats.select(big("bucket").alias("bucket"), "n_rows", day("low").alias("low"), day("high").alias("high"))
 
@@ -218,9 +221,9 @@ def _count_per_bucket(df):
 def partition_switch_in(t):
     path = work_path(t.spark, "switch-in")
     date = F.col("o_orderdate")
-    P.write_partitioned(t.orders.where(date < BOUNDS[-1]), path, date, BOUNDS)
-    staged = t.orders.where(date >= BOUNDS[-1])
-    P.switch_in(staged, path, len(BOUNDS) + 1, "o_orderdate", BOUNDS[-1], ntz("9999-01-01"))
+    P.write_partitioned(t.orders.where(date < bounds()[-1]), path, date, bounds())
+    staged = t.orders.where(date >= bounds()[-1])
+    P.switch_in(staged, path, len(YEARS) + 1, "o_orderdate", bounds()[-1], ntz("9999-01-01"))
     return _count_per_bucket(t.spark.read.parquet(path))
 
 
@@ -233,7 +236,7 @@ def partition_switch_in(t):
 def partition_switch_out(t):
     """Remaining partitions, and the archived one as bucket -1."""
     path, archive = work_path(t.spark, "switch-out"), work_path(t.spark, "archive")
-    P.write_partitioned(t.orders, path, F.col("o_orderdate"), BOUNDS)
+    P.write_partitioned(t.orders, path, F.col("o_orderdate"), bounds())
     left = P.switch_out(t.spark, path, archive, 1)
     archived = t.spark.read.parquet(archive).withColumn("bucket", F.lit(-1))
     return _count_per_bucket(left.unionByName(archived))
@@ -249,7 +252,7 @@ def partition_switch_out(t):
 )
 def partition_split_merge(t):
     """Year 2000 is split in halves; the emptied oldest partition is merged away."""
-    routed = t.orders.withColumn(P.BUCKET, P.partition_number(F.col("o_orderdate"), BOUNDS))
+    routed = t.orders.withColumn(P.BUCKET, P.partition_number(F.col("o_orderdate"), bounds()))
     emptied = routed.where(F.col(P.BUCKET) != 1)
     split = P.split_partition(emptied, F.col("o_orderdate"), ntz("2000-07-01"), 6)
     return _count_per_bucket(P.merge_partition(split, 1))

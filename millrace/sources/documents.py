@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,7 +21,7 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def flag(condition) -> F.Column:
+def flag(condition: Column) -> Column:
     """-1 / 0, the way the change documents spell a boolean."""
     return F.when(condition, "-1").otherwise("0")
 
