@@ -9,7 +9,8 @@ from millrace.catalog.common import SUPPLIER_MONTHS_SQL, big, day, money, order_
 from millrace.operators import joins as J
 from millrace.registry import query
 
-LATEST = [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
+def latest():
+    return [F.desc("o_orderdate"), F.desc("o_orderkey")]
 
 
 @query(
@@ -266,7 +267,7 @@ def star_join_agg(t):
     """,
 )
 def lateral_topn(t):
-    return J.lateral_top_n(t.customer, t.orders, "c_custkey", "o_custkey", LATEST, 3).select(
+    return J.lateral_top_n(t.customer, t.orders, "c_custkey", "o_custkey", latest(), 3).select(
         "c_custkey", "o_orderkey", "rn"
     )
 
@@ -281,7 +282,7 @@ def lateral_topn(t):
 )
 def outer_lateral_topn(t):
     large = t.orders.where(F.col("o_totalprice") > 300000)
-    return J.lateral_top_n(t.customer, large, "c_custkey", "o_custkey", LATEST, 3, outer=True).select(
+    return J.lateral_top_n(t.customer, large, "c_custkey", "o_custkey", latest(), 3, outer=True).select(
         "c_custkey", "o_orderkey"
     )
 
@@ -296,7 +297,7 @@ def outer_lateral_topn(t):
     """,
 )
 def lateral_scalar_agg(t):
-    last = J.top_n_per_group(t.orders, ["o_custkey"], LATEST, 10)
+    last = J.top_n_per_group(t.orders, ["o_custkey"], latest(), 10)
     counts = last.groupBy("o_custkey").agg(F.count_distinct("o_orderpriority").alias("n"))
     joined = t.customer.join(counts, F.col("c_custkey") == F.col("o_custkey"), "left")
     return joined.select("c_custkey", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_priorities"))
