@@ -117,8 +117,7 @@ def moving_avg_rows(t):
     """A moving sum is the difference of two running sums 3 (or 100) rows apart, so
     the cost per row does not grow with the frame; the sums are exact decimals."""
     rows = O.running(transactions(t), KEY, ORDER, s=("sum", F.col("val")), n=("count", F.lit(1)))
-    rows = O.row_frame(rows, KEY, ORDER, -3, -3, s3=F.max("s"))
-    rows = O.row_frame(rows, KEY, ORDER, -100, -100, s100=F.max("s"))
+    rows = O.row_frames(rows, KEY, ORDER, s3=(-3, -3, F.max("s")), s100=(-100, -100, F.max("s")))
 
     def average(earlier, width):
         total = F.col("s") - F.coalesce(earlier, F.lit(0))
@@ -135,7 +134,7 @@ def moving_avg_rows(t):
     """,
 )
 def moving_max_rows(t):
-    rows = O.row_frame(transactions(t), KEY, ORDER, -99, 0, mx=F.max("val"))
+    rows = O.row_frames(transactions(t), KEY, ORDER, mx=(-99, 0, F.max("val")))
     return rows.select("actid", "tranid", real("mx").alias("mx"))
 
 
@@ -149,8 +148,8 @@ def moving_max_rows(t):
     """,
 )
 def offset_frame(t):
-    rows = O.row_frame(transactions(t), KEY, ORDER, -5, -2, s=F.sum("val"))
-    rows = O.row_frame(rows, KEY, ORDER, -100, -2, mx=F.max("val"))
+    frames = {"s": (-5, -2, F.sum("val")), "mx": (-100, -2, F.max("val"))}
+    rows = O.row_frames(transactions(t), KEY, ORDER, **frames)
     return rows.select("actid", "tranid", real("s").alias("s"), real("mx").alias("mx"))
 
 
@@ -162,7 +161,7 @@ def offset_frame(t):
     """,
 )
 def single_row_frame(t):
-    rows = O.row_frame(transactions(t), KEY, ORDER, -20, -20, val20=F.max("val"))
+    rows = O.row_frames(transactions(t), KEY, ORDER, val20=(-20, -20, F.max("val")))
     return rows.select("actid", "tranid", real("val20").alias("val20"))
 
 

@@ -117,10 +117,12 @@ def rebuild_history(
     merged = log.select(*keys, quantity).join(c, keys, "full")
     merged = merged.withColumn(quantity, F.when(F.col("_changed"), F.col("_q")).otherwise(F.col(quantity)))
     merged = merged.where((F.col(quantity) != 0) | F.col("_changed").isNull()).select(*keys, quantity)
-    chained = running(merged, [item], [at], current_quantity=("sum", F.col(quantity)))
-    return neighbours(
-        chained, [item], [at], previous={"previous_quantity": "current_quantity", "previous_date": at}
+    chained = running(
+        neighbours(merged, [item], [at], previous={"previous_date": at}),
+        [item], [at], current_quantity=("sum", F.col(quantity)),
     )
+    before = F.col("current_quantity") - F.col(quantity)
+    return chained.withColumn("previous_quantity", F.when(F.col("previous_date").isNotNull(), before))
 
 
 def guard_inserts(log: DataFrame, candidates: DataFrame, item: str, at: str, quantity: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.plans.ordered import by_heat, join_null_safe, number_rows, running, with_group_totals
+from millrace.plans.ordered import by_heat, join_null_safe, running, running_sliced, with_group_totals
 
 
 def running_with_ties(df: DataFrame, keys: Sequence[str], order: str, name: str, measure: str) -> DataFrame:
@@ -37,7 +37,8 @@ def with_ntile(df: DataFrame, keys: Sequence[str], order: Sequence[str], **tiles
         return d.withColumns({name: F.ntile(n).over(w).cast("bigint") for name, n in tiles.items()})
 
     def sliced(d: DataFrame) -> DataFrame:
-        d = with_group_totals(number_rows(d, keys, order, "_rn"), keys, _rows=F.count(F.lit(1)))
+        d = running_sliced(d, keys, order, _rn=("count", F.lit(1)))
+        d = with_group_totals(d, keys, _rows=F.count(F.lit(1)))
         out = {}
         for name, n in tiles.items():
             small = F.floor(F.col("_rows") / n)

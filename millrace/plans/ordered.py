@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.sources.tables import materialise
+
 #: Largest group (rows) that one task handles; override by this session setting.
 HOT_ROWS = 2_000_000
 HOT_ROWS_CONF = "millrace.hotRows"
@@ -71,7 +73,8 @@ def by_heat(
     ``at_most`` is an upper bound of the row count if one is already known; the
     rows are counted otherwise. Fewer than ``rows / limit`` keys can be hot, and
     the limit is raised so that this stays under 65,536: that bounds the list
-    which is collected and broadcast.
+    which is collected and broadcast. When hot keys exist the input is written once,
+    because the sliced plan reads it for counts, cut points and summaries.
     """
     limit = hot_rows(df)
     if at_most is not None and at_most <= limit:
@@ -80,7 +83,7 @@ def by_heat(
     if rows <= limit:
         return plain(df)
     if not keys:
-        return sliced(df)
+        return sliced(materialise(df, "ordered"))
     limit = max(limit, rows // 65_536)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     heavy = counts.where(F.col("_n") > limit).select(*keys)
@@ -88,13 +91,15 @@ def by_heat(
     if not found:
         return plain(df)
     heavy = F.broadcast(df.sparkSession.createDataFrame(found, heavy.schema))
+    df = materialise(df, "ordered")
     cold = join_null_safe(df, heavy, keys, "left_anti")
     hot = join_null_safe(df, heavy, keys, "left_semi")
     return plain(cold).unionByName(sliced(hot))
 
 
 def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add ``_slice``, a number that grows with the order columns.
+    """Add ``_slice``, a number that grows with the order columns, and ``_group``,
+    the key and slice as one value to partition and join by.
 
     Cut points are the order values of a hash sample, so every slice holds about
     the same number of rows whatever the distribution. The sample depends on the
@@ -109,9 +114,11 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     position = F.aggregate(
         jumps,
         F.lit(0),
-        lambda at, jump: at + F.when(F.get(cuts, at + jump - 1) <= here, jump).otherwise(0),
+        lambda at, jump: at + F.when(F.get("_cuts", at + jump - 1) <= here, jump).otherwise(0),
     )
-    return df.withColumn("_slice", position)
+    # The two projections collapse into one, in which the cuts are a constant.
+    df = df.withColumn("_cuts", cuts).withColumn("_slice", position).drop("_cuts")
+    return df.withColumn("_group", F.struct(*keys, "_slice"))
 
 
 def running(
@@ -131,27 +138,29 @@ def running(
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(START, 0)
         return d.withColumns({n: _FOLD[f][0](x).over(w) for n, (f, x) in aggs.items()})
 
-    def sliced(d: DataFrame) -> DataFrame:
-        d = with_slices(d, keys, order)
-        at = [*keys, "_slice"]
-        local = W.partitionBy(*at).orderBy(*order).rowsBetween(START, 0)
-        parts = d.groupBy(*at).agg(*[_FOLD[f][0](x).alias(f"_p_{n}") for n, (f, x) in aggs.items()])
-        before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(START, -1)
-        carry = parts.select(
-            *at, *[_FOLD[f][1](F.col(f"_p_{n}")).over(before).alias(f"_c_{n}") for n, (f, _) in aggs.items()]
-        )
-        d = d.withColumns({n: _FOLD[f][0](x).over(local) for n, (f, x) in aggs.items()})
-        d = join_null_safe(d, carry, at)
-        combined = {}
-        for n, (f, _) in aggs.items():
-            own, prior = F.col(n), F.col(f"_c_{n}")
-            if f in ("sum", "count"):
-                combined[n] = F.coalesce(own + prior, own, prior)
-            else:
-                combined[n] = (F.least if f == "min" else F.greatest)(own, prior)
-        return d.withColumns(combined).drop("_slice", *[f"_c_{n}" for n in aggs])
+    return by_heat(df, keys, plain, lambda d: running_sliced(d, keys, order, **aggs), at_most)
 
-    return by_heat(df, keys, plain, sliced, at_most)
+
+def running_sliced(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], **aggs: tuple[str, Column]
+) -> DataFrame:
+    """``running`` for an input whose keys are all hot."""
+    d = with_slices(df, keys, order)
+    local = W.partitionBy("_group").orderBy(*order).rowsBetween(START, 0)
+    parts = d.groupBy("_group").agg(*[_FOLD[f][0](x).alias(f"_p_{n}") for n, (f, x) in aggs.items()])
+    before = W.partitionBy(*[F.col("_group")[k] for k in keys]).orderBy("_group._slice").rowsBetween(START, -1)
+    carry = parts.select(
+        "_group", *[_FOLD[f][1](F.col(f"_p_{n}")).over(before).alias(f"_c_{n}") for n, (f, _) in aggs.items()]
+    )
+    d = d.withColumns({n: _FOLD[f][0](x).over(local) for n, (f, x) in aggs.items()}).join(carry, "_group")
+    combined = {}
+    for n, (f, _) in aggs.items():
+        own, prior = F.col(n), F.col(f"_c_{n}")
+        if f in ("sum", "count"):
+            combined[n] = F.coalesce(own + prior, own, prior)
+        else:
+            combined[n] = (F.least if f == "min" else F.greatest)(own, prior)
+    return d.withColumns(combined).drop("_group", "_slice", *[f"_c_{n}" for n in aggs])
 
 
 def number_rows(
@@ -183,15 +192,14 @@ def neighbours(
 
     def sliced(d: DataFrame) -> DataFrame:
         d = with_slices(d, keys, order)
-        at = [*keys, "_slice"]
         columns = sorted({*previous.values(), *following.values()})
         row, place = F.struct(*columns), F.struct(*order)
-        ends = d.groupBy(*at).agg(F.min_by(row, place).alias("_first"), F.max_by(row, place).alias("_last"))
-        across = W.partitionBy(*keys).orderBy("_slice")
+        ends = d.groupBy("_group").agg(F.min_by(row, place).alias("_first"), F.max_by(row, place).alias("_last"))
+        across = W.partitionBy(*[F.col("_group")[k] for k in keys]).orderBy("_group._slice")
         carry = ends.select(
-            *at, F.lag("_last").over(across).alias("_before"), F.lead("_first").over(across).alias("_after")
+            "_group", F.lag("_last").over(across).alias("_before"), F.lead("_first").over(across).alias("_after")
         )
-        w = W.partitionBy(*at).orderBy(*order)
+        w = W.partitionBy("_group").orderBy(*order)
         d = d.withColumns(
             {
                 "_inner": F.lag(F.lit(True)).over(w),
@@ -200,7 +208,7 @@ def neighbours(
                 **{n: F.lead(x).over(w) for n, x in following.items()},
             }
         )
-        d = join_null_safe(d, carry, at)
+        d = d.join(carry, "_group")
         return d.withColumns(
             {
                 **{
@@ -212,34 +220,36 @@ def neighbours(
                     for n, x in following.items()
                 },
             }
-        ).drop("_slice", "_inner", "_outer", "_before", "_after")
+        ).drop("_group", "_slice", "_inner", "_outer", "_before", "_after")
 
     return by_heat(df, keys, plain, sliced, at_most)
 
 
-def row_frame(
+def row_frames(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    low: int,
-    high: int,
     at_most: int | None = None,
-    **aggs: Column,
+    **aggs: tuple[int, int, Column],
 ) -> DataFrame:
-    """Aggregates over ROWS BETWEEN low AND high, both relative to the current row.
+    """Aggregates over ROWS BETWEEN low AND high around the current row:
+    ``avg3=(-2, 0, F.avg("val"))``.
 
     Hot keys are cut into blocks of consecutive rows; the rows a neighbouring
     block needs for its frames are copied into it and dropped afterwards.
     """
 
+    def framed(d: DataFrame, w) -> DataFrame:
+        return d.withColumns({n: x.over(w.rowsBetween(low, high)) for n, (low, high, x) in aggs.items()})
+
     def plain(d: DataFrame) -> DataFrame:
-        w = W.partitionBy(*keys).orderBy(*order).rowsBetween(low, high)
-        return d.withColumns({n: x.over(w) for n, x in aggs.items()})
+        return framed(d, W.partitionBy(*keys).orderBy(*order))
 
     def sliced(d: DataFrame) -> DataFrame:
-        back, ahead = max(0, -low), max(0, high)
+        back = max(0, *[-low for low, _, _ in aggs.values()])
+        ahead = max(0, *[high for _, high, _ in aggs.values()])
         length = max(hot_rows(d), back, ahead)
-        d = number_rows(d, keys, order, "_rn")
+        d = running_sliced(d, keys, order, _rn=("count", F.lit(1)))
         block = F.floor((F.col("_rn") - 1) / F.lit(length))
         offset = F.pmod(F.col("_rn") - 1, F.lit(length))
         places = F.array(
@@ -248,10 +258,8 @@ def row_frame(
             F.when(offset < ahead, F.struct((block - 1).alias("block"), F.lit(True).alias("copy"))),
         )
         d = d.withColumn("_place", F.explode(F.array_compact(places)))
-        d = d.withColumns({"_block": F.col("_place.block"), "_copy": F.col("_place.copy")})
-        w = W.partitionBy(*keys, "_block").orderBy("_rn").rowsBetween(low, high)
-        d = d.withColumns({n: x.over(w) for n, x in aggs.items()})
-        return d.where(~F.col("_copy")).drop("_rn", "_place", "_block", "_copy")
+        d = framed(d, W.partitionBy(*keys, F.col("_place.block")).orderBy("_rn"))
+        return d.where(~F.col("_place.copy")).drop("_rn", "_place")
 
     return by_heat(df, keys, plain, sliced, at_most)
 

@@ -57,3 +57,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a DataFrame to a table under the shared folder and read it back, for
+    inputs that are read several times."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

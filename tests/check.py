@@ -1,8 +1,13 @@
-"""Compare registered queries with their SQL: ``python tests/check.py [sf] [key ...]``."""
+"""Compare registered queries with their SQL: ``python tests/check.py [sf] [key ...]``.
+
+HOT_ROWS in the environment lowers the hot-group limit, so that small tables take
+the sliced plans.
+"""
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -11,6 +16,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from millrace.plans.ordered import HOT_ROWS_CONF  # noqa: E402
 from millrace.registry import all_queries  # noqa: E402
 from millrace.session import local_session  # noqa: E402
 from millrace.sources.tables import TABLES  # noqa: E402
@@ -70,6 +76,8 @@ def main(argv):
     sf = argv[0] if argv else "0.01"
     spark = local_session("check")
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("HOT_ROWS"):
+        spark.conf.set(HOT_ROWS_CONF, os.environ["HOT_ROWS"])
     sf_dir = f"{TESTDATA}/sf{sf}"
     con = connect(sf_dir)
     queries = all_queries()
