@@ -67,13 +67,13 @@ def share_of_total(t):
         F.sum(money("value")).alias("v"),
         F.count_if(F.col("event_type") == "none").alias("z"),
     ]
-    whole = t.events.agg(*measures)
+    whole = t.events.agg(F.struct(*measures)).scalar()
     users = t.events.groupBy("user_id").agg(*measures, F.min("ts").alias("a"), F.max("ts").alias("b"))
     # minute boundaries crossed
     minute = lambda x: F.unix_timestamp(F.date_trunc("minute", x).cast("timestamp")) / 60
     minutes = big(minute("b") - minute("a"))
-    pct = lambda x: F.lit(100.0) * B.safe_ratio(F.col(x), whole.select(x).scalar())
-    exact = lambda x: B.safe_ratio(F.lit(100.0) * real(x), whole.select(x).scalar())
+    pct = lambda x: F.lit(100.0) * B.safe_ratio(F.col(x), whole[x])
+    exact = lambda x: B.safe_ratio(F.lit(100.0) * real(x), whole[x])
     return users.select(
         "user_id",
         exact("v").alias("pct_value"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -16,10 +17,10 @@ def group_by_all(df: DataFrame, keys: Sequence[str], condition: Column, **aggs:
 
 
 def arg_max(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
-    """Rows holding the largest measure of their group, ties kept: grouped
-    maximum joined back, which combines before the shuffle."""
-    best = df.groupBy(*keys).agg(F.max(measure).alias(measure))
-    return df.join(best, [*keys, measure], "left_semi")
+    """Rows holding the largest measure of their group, ties kept. The rank filter
+    is applied on the map side first, so a group is cut down before the shuffle."""
+    w = W.partitionBy(*keys).orderBy(F.desc(measure))
+    return df.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def ordered_list(value: Column, sep: str = ",") -> Column:

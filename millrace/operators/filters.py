@@ -50,8 +50,8 @@ def not_in(left: DataFrame, column: str, values: DataFrame, value: str) -> DataF
     list is empty. Both cases are decided by a one-row aggregate of the list,
     which avoids the broadcast a null-aware anti join would need.
     """
-    listed = values.agg(F.count(F.lit(1)).alias("n"), F.count(value).alias("known"))
-    size, known = listed.select("n").scalar(), listed.select("known").scalar()
+    listed = values.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count(value).alias("known"))).scalar()
+    size, known = listed["n"], listed["known"]
     kept = left.join(values.select(F.col(value).alias("_listed")), F.col(column) == F.col("_listed"), "left_anti")
     return kept.where((size == known) & (F.col(column).isNotNull() | (size == 0)))
 

@@ -63,7 +63,7 @@ def with_first_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
 def padded_months(df: DataFrame, key: str, month: str) -> DataFrame:
     """One row per key and calendar month between the first and last month of the
     data; absent months come with NULL measures."""
-    ends = df.agg(F.min(month).alias("a"), F.max(month).alias("b"))
-    calendar = F.sequence(ends.select("a").scalar(), ends.select("b").scalar(), F.expr("interval 1 month"))
+    ends = df.agg(F.struct(F.min(month).alias("a"), F.max(month).alias("b"))).scalar()
+    calendar = F.sequence(ends["a"], ends["b"], F.expr("interval 1 month"))
     grid = df.select(key).distinct().select(key, F.explode(calendar).alias(month))
     return grid.join(df, [key, month], "left")

@@ -324,22 +324,35 @@ def group_percentiles(
 ) -> DataFrame:
     """Exact percentiles per group: ``median=("cont", 0.5), p50=("disc", 0.5)``.
 
-    Works on value counts; no group is ever sorted as a whole in one task.
+    Hot groups are reduced to value counts, whose running sum is cut into slices;
+    no group is then held as a whole in one task.
     """
-    counts = value_counts(df.where(F.col(value).isNotNull()), keys, [value], at_most)
-    upto, total = F.col("_upto"), F.col("_total")
-    aggs, final = [], {}
-    for name, (kind, p) in wanted.items():
-        if kind == "disc":
-            aggs.append(F.min(F.when(upto >= F.lit(p) * total, F.col(value))).alias(name))
-            final[name] = F.col(name)
-        else:
-            at = F.lit(p) * (total - 1)
-            aggs += [
-                F.min(F.when(upto > F.floor(at), F.col(value))).alias(f"_lo_{name}"),
-                F.min(F.when(upto > F.ceil(at), F.col(value))).alias(f"_hi_{name}"),
-                F.max(at - F.floor(at)).alias(f"_f_{name}"),
+
+    def plain(d: DataFrame) -> DataFrame:
+        return d.groupBy(*keys).agg(
+            *[
+                F.expr(f"percentile_{kind}({p}) within group (order by `{value}`)").cast("double").alias(n)
+                for n, (kind, p) in wanted.items()
             ]
-            lo, hi = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
-            final[name] = lo + (hi - lo) * F.col(f"_f_{name}")
-    return counts.groupBy(*keys).agg(*aggs).select(*keys, *[x.alias(n) for n, x in final.items()])
+        )
+
+    def sliced(d: DataFrame) -> DataFrame:
+        counts = value_counts(d, keys, [value])
+        upto, total = F.col("_upto"), F.col("_total")
+        aggs, final = [], {}
+        for name, (kind, p) in wanted.items():
+            if kind == "disc":
+                aggs.append(F.min(F.when(upto >= F.lit(p) * total, F.col(value))).alias(name))
+                final[name] = F.col(name).cast("double")
+            else:
+                at = F.lit(p) * (total - 1)
+                aggs += [
+                    F.min(F.when(upto > F.floor(at), F.col(value))).alias(f"_lo_{name}"),
+                    F.min(F.when(upto > F.ceil(at), F.col(value))).alias(f"_hi_{name}"),
+                    F.max(at - F.floor(at)).alias(f"_f_{name}"),
+                ]
+                lo, hi = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
+                final[name] = lo + (hi - lo) * F.col(f"_f_{name}")
+        return counts.groupBy(*keys).agg(*aggs).select(*keys, *[x.alias(n) for n, x in final.items()])
+
+    return by_heat(df.where(F.col(value).isNotNull()), keys, plain, sliced, at_most)
