@@ -114,15 +114,12 @@ def _by_month(low, high=0):
     """,
 )
 def moving_avg_rows(t):
-    """A moving sum is the difference of two running sums 3 (or 100) rows apart, so
-    the cost per row does not grow with the frame; the sums are exact decimals."""
-    rows = O.running(transactions(t), KEY, ORDER, s=("sum", F.col("val")), n=("count", F.lit(1)))
-    rows = O.row_frames(rows, KEY, ORDER, s3=(-3, -3, F.max("s")), s100=(-100, -100, F.max("s")))
-
-    def average(earlier, width):
-        total = F.col("s") - F.coalesce(earlier, F.lit(0))
-        return real(total) / F.least("n", F.lit(width))
-
+    """Moving sums divided by the number of rows in the frame."""
+    rows = O.moving_sums(
+        transactions(t), KEY, ORDER,
+        s3=(-2, 0, F.col("val")), s100=(-99, 0, F.col("val")), n=(-99, 0, F.lit(1)),
+    )
+    average = lambda total, width: real(total) / F.least("n", F.lit(width))
     return rows.select("actid", "tranid", average("s3", 3).alias("avg3"), average("s100", 100).alias("avg100"))
 
 

@@ -44,9 +44,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], version: s
     """MERGE: insert unknown keys, update known ones, on request only if the
     version column of both sides agrees.
 
-    Returns every row of the new state plus the rejected source rows, each with
-    an ``action``: insert, update, keep, or conflict.
+    Returns every row of the new state with an ``action``: insert, update, keep, or
+    conflict for a stored row whose change was refused.
     """
+    require_unique(source, keys)
     values = [x for x in target.columns if x not in keys]
     t = target.select(*keys, *[F.col(x).alias(f"_t_{x}") for x in values], F.lit(True).alias("_in_t"))
     s = source.select(*keys, *[F.col(x).alias(f"_s_{x}") for x in values], F.lit(True).alias("_in_s"))
@@ -88,6 +89,7 @@ def apply_flags(
     delete: Column,
 ) -> DataFrame:
     """Insert, update and delete by flags of the change rows, in one join."""
+    require_unique(changes, keys)
     kind = F.when(_true(delete), "delete").when(_true(insert), "insert").when(_true(update), "update")
     marked = changes.select(*keys, *[F.col(x).alias(f"_new_{x}") for x in columns], kind.alias("_kind"))
     both = target.withColumn("_stored", F.lit(True)).join(marked, list(keys), "full")

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.plans.ordered import by_heat, join_null_safe, running, running_sliced, with_group_totals
+from millrace.sources.tables import materialise
 
 
 def running_with_ties(df: DataFrame, keys: Sequence[str], order: str, name: str, measure: str) -> DataFrame:
@@ -62,7 +63,9 @@ def with_first_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
 
 def padded_months(df: DataFrame, key: str, month: str) -> DataFrame:
     """One row per key and calendar month between the first and last month of the
-    data; absent months come with NULL measures."""
+    data; absent months come with NULL measures. The input is read three times, so
+    it is stored first."""
+    df = materialise(df, "months")
     ends = df.agg(F.struct(F.min(month).alias("a"), F.max(month).alias("b"))).scalar()
     calendar = F.sequence(ends["a"], ends["b"], F.expr("interval 1 month"))
     grid = df.select(key).distinct().select(key, F.explode(calendar).alias(month))

@@ -55,9 +55,13 @@ def with_group_totals(df: DataFrame, keys: Sequence[str], **aggs: Column) -> Dat
     """Attach per-group aggregates by grouping and joining.
 
     Unlike an unordered window this combines map-side and never holds a whole
-    group in one task; a hot key in the join is left to the skew-join split.
+    group in one task. For a large input the totals are stored first: the planner
+    then knows their size and broadcasts them if they are small, which spares the
+    large side its shuffle; otherwise a hot key is left to the skew-join split.
     """
     totals = df.groupBy(*keys).agg(*[x.alias(n) for n, x in aggs.items()])
+    if df.count() > hot_rows(df):
+        totals = materialise(totals, "totals")
     return join_null_safe(df, totals, keys)
 
 
@@ -264,6 +268,24 @@ def row_frames(
     return by_heat(df, keys, plain, sliced, at_most)
 
 
+def moving_sums(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], **sums: tuple[int, int, Column]
+) -> DataFrame:
+    """SUM over ROWS BETWEEN low AND high (both <= 0) as the difference of two
+    running sums, so the cost per row does not grow with the frame.
+
+    For exact types without NULLs; an empty frame gives NULL.
+    """
+    d = running(df, keys, order, **{f"_s_{n}": ("sum", x) for n, (_, _, x) in sums.items()})
+    ends = {}
+    for n, (low, high, _) in sums.items():
+        ends[f"_hi_{n}"] = (high, high, F.max(f"_s_{n}"))
+        ends[f"_lo_{n}"] = (low - 1, low - 1, F.max(f"_s_{n}"))
+    d = row_frames(d, keys, order, **ends)
+    d = d.withColumns({n: F.col(f"_hi_{n}") - F.coalesce(f"_lo_{n}", F.lit(0)) for n in sums})
+    return d.drop(*ends, *[f"_s_{n}" for n in sums])
+
+
 def value_counts(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], at_most: int | None = None
 ) -> DataFrame:

@@ -36,7 +36,7 @@ class Tables:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach; a temporary one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
