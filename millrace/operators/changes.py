@@ -2,7 +2,7 @@
 
 Plain parquet is not changed in place: every function returns the new rows (or the
 change rows) and the caller writes them to a new path or partition. Change sets
-must hold one row per key; ``require_unique`` checks that.
+must hold one row per key; the joins that apply them check that.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.plans.ordered import join_null_safe, neighbours, running
+from millrace.plans.merging import full_join
+from millrace.plans.ordered import neighbours, running
 
 ACTION = "action"
 
@@ -22,13 +23,6 @@ def _true(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Raise if a key occurs twice; returns the DataFrame for chaining."""
-    if not df.groupBy(*keys).count().where("count > 1").isEmpty():
-        raise ValueError(f"several change rows for one key {list(keys)}")
-    return df
-
-
 def update_where(df: DataFrame, condition: Column, **values: Column) -> DataFrame:
     """UPDATE: all right-hand sides see the old row."""
     hit = _true(condition)
@@ -47,11 +41,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], version: s
     Returns every row of the new state with an ``action``: insert, update, keep, or
     conflict for a stored row whose change was refused.
     """
-    require_unique(source, keys)
     values = [x for x in target.columns if x not in keys]
     t = target.select(*keys, *[F.col(x).alias(f"_t_{x}") for x in values], F.lit(True).alias("_in_t"))
     s = source.select(*keys, *[F.col(x).alias(f"_s_{x}") for x in values], F.lit(True).alias("_in_s"))
-    both = t.join(s, list(keys), "full")
+    both = full_join(t, s, keys)
     matched = F.col("_in_t") & F.col("_in_s")
     agrees = F.col(f"_t_{version}") == F.col(f"_s_{version}") if version else F.lit(True)
     action = (
@@ -89,10 +82,9 @@ def apply_flags(
     delete: Column,
 ) -> DataFrame:
     """Insert, update and delete by flags of the change rows, in one join."""
-    require_unique(changes, keys)
     kind = F.when(_true(delete), "delete").when(_true(insert), "insert").when(_true(update), "update")
     marked = changes.select(*keys, *[F.col(x).alias(f"_new_{x}") for x in columns], kind.alias("_kind"))
-    both = target.withColumn("_stored", F.lit(True)).join(marked, list(keys), "full")
+    both = full_join(target.withColumn("_stored", F.lit(True)), marked, keys)
     stored, k = F.col("_stored").isNotNull(), F.col("_kind")
     stays = stored & F.coalesce(k != "delete", F.lit(True))
     arrives = ~stored & _true(k == "insert")
@@ -116,7 +108,7 @@ def rebuild_history(
     """
     keys = [item, at]
     c = changes.select(*keys, F.col(quantity).alias("_q"), F.lit(True).alias("_changed"))
-    merged = log.select(*keys, quantity).join(c, keys, "full")
+    merged = full_join(log.select(*keys, quantity), c, keys)
     merged = merged.withColumn(quantity, F.when(F.col("_changed"), F.col("_q")).otherwise(F.col(quantity)))
     merged = merged.where((F.col(quantity) != 0) | F.col("_changed").isNull()).select(*keys, quantity)
     chained = running(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.setops import table_diff
+from millrace.plans.merging import full_join
 from millrace.plans.ordered import neighbours
 
 FROM, TO = "valid_from", "valid_to"
@@ -89,7 +90,7 @@ def write(table: DataFrame, changes: DataFrame, keys: Sequence[str], t: Column,
         *keys, F.struct(*values).alias("_new"), deleted.alias("_deleted"), F.lit(True).alias("_touched")
     )
     old = current(table).select(*keys, F.struct(*values).alias("_old"), FROM, F.lit(True).alias("_stored"))
-    both = old.join(fresh, list(keys), "full")
+    both = full_join(old, fresh, keys)
     stored, touched = F.col("_stored").isNotNull(), F.col("_touched").isNotNull()
     version = lambda v, a, b: F.struct(F.col(v).alias("v"), a.alias(FROM), b.alias(TO))
     rows = F.array(

@@ -12,14 +12,25 @@ from millrace.operators import quality as Q
 from millrace.operators import routines as R
 from millrace.operators import sorting as S
 from millrace.operators import temporal as V
+from millrace.plans.merging import SMALL_ROWS_CONF
 from millrace.sources.tables import work_path
 
 
+@pytest.fixture(params=["broadcast", "shuffled"])
+def change_size(spark, request):
+    """Apply change sets as small ones and as large ones."""
+    if request.param == "shuffled":
+        spark.conf.set(SMALL_ROWS_CONF, "0")
+    yield
+    spark.conf.unset(SMALL_ROWS_CONF)
+
+
 @pytest.fixture
 def target(spark):
     return spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 2)], "id int, x string, version int")
 
 
+@pytest.mark.usefixtures("change_size")
 def test_upsert_actions(spark, target, rows):
     source = spark.createDataFrame([(2, "B", 1), (3, "C", 1), (4, "D", 0)], "id int, x string, version int")
     merged = M.upsert(target, source, ["id"], "version")
@@ -29,6 +40,7 @@ def test_upsert_actions(spark, target, rows):
     assert M.affected(merged).count() == 2
 
 
+@pytest.mark.usefixtures("change_size")
 def test_upsert_with_only_conflicts_raises(spark, target):
     source = spark.createDataFrame([(3, "C", 1)], "id int, x string, version int")
     with pytest.raises(RuntimeError, match="concurrency"):
@@ -63,6 +75,7 @@ def test_change_log_is_null_safe(spark, rows):
     assert rows(M.change_log(old, new, ["id"], ["a", "b"])) == [(1, "b", "p", "q"), (2, "a", "x", None)]
 
 
+@pytest.mark.usefixtures("change_size")
 def test_history_insert_in_the_middle_and_removal(spark, rows):
     log = spark.createDataFrame([(1, 10, 5), (1, 20, -2), (1, 30, 4)], "item int, at int, q bigint")
     changes = spark.createDataFrame([(1, 15, 1), (1, 30, 0)], "item int, at int, q bigint")
@@ -132,6 +145,7 @@ def test_period_boundaries(table, rows):
     assert xs(V.contained_in(table, at(1), at(5))) == ["a", "c"]
 
 
+@pytest.mark.usefixtures("change_size")
 def test_temporal_write(spark, table, rows):
     changes = spark.createDataFrame([(1, "z", False), (3, "n", False)], "id int, x string, gone boolean")
     out = V.write(table, changes, ["id"], ntz("2024-01-09"), F.col("gone"))
