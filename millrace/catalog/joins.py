@@ -68,7 +68,7 @@ def bushy_join(t):
 )
 def left_outer_join(t):
     urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT")
-    return t.customer.join(urgent, F.col("o_custkey") == F.col("c_custkey"), "left").select("c_custkey", "o_orderkey")
+    return J.left_outer_join(t.customer, urgent, "c_custkey", "o_custkey").select("c_custkey", "o_orderkey")
 
 
 @query(
@@ -79,8 +79,9 @@ def left_outer_join(t):
     """,
 )
 def right_outer_join(t):
+    """The right side is the preserved one: a left join with the sides exchanged."""
     bulk = t.lineitem.where(F.col("l_quantity") > 45)
-    return bulk.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "right").select("p_partkey", "l_orderkey")
+    return J.left_outer_join(t.part, bulk, "p_partkey", "l_partkey").select("p_partkey", "l_orderkey")
 
 
 @query(
@@ -97,9 +98,7 @@ def left_outer_to_inner_group(t):
         .join(t.part, F.col("p_partkey") == F.col("l_partkey"))
         .select("o_custkey", "o_orderkey", "p_name")
     )
-    return t.customer.join(inner, F.col("o_custkey") == F.col("c_custkey"), "left").select(
-        "c_custkey", "o_orderkey", "p_name"
-    )
+    return J.left_outer_join(t.customer, inner, "c_custkey", "o_custkey").select("c_custkey", "o_orderkey", "p_name")
 
 
 @query(

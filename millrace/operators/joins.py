@@ -11,6 +11,18 @@ from pyspark.sql import functions as F
 from millrace.plans.ordered import running
 
 
+def left_outer_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """LEFT JOIN whose right side may have a hot key.
+
+    Spark can split a skewed partition of an outer join only on the preserved
+    side. The inner part can be split on both sides; the unmatched rows come from
+    an anti join with the distinct right keys.
+    """
+    on = F.col(left_key) == F.col(right_key)
+    lonely = left.join(right.select(right_key).distinct(), on, "left_anti")
+    return left.join(right, on).unionByName(lonely, allowMissingColumns=True)
+
+
 def top_n_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank_name: str = "rn"
 ) -> DataFrame:

@@ -205,3 +205,11 @@ def test_json(spark, rows):
     assert good.select(JS.strict_value(F.col("d"), "$.id")).first()[0] == "1"
     with pytest.raises(Exception, match="no .* in"):
         good.select(JS.strict_value(F.col("d"), "$.name")).collect()
+
+
+def test_left_outer_join_keeps_null_and_unmatched_keys(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, x string")
+    right = spark.createDataFrame([(1, 10), (1, 11), (None, 12)], "r int, y int")
+    out = J.left_outer_join(left, right, "k", "r").select("x", "y")
+    assert rows(out) == [("a", 10), ("a", 11), ("b", None), ("c", None)]
+    assert rows(out) == rows(left.join(right, F.col("k") == F.col("r"), "left").select("x", "y"))
