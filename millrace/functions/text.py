@@ -37,11 +37,8 @@ def split_to_rows(df: DataFrame, column: str, sep: str, keep_empty: bool) -> Dat
     return rows.select(*others, (F.col("_p") + 1).cast("bigint").alias("pos"), "element")
 
 
-def words(s: Column) -> Column:
-    """Lower-case words of a text, as an array."""
-    return F.split(F.lower(s), "[^\\p{L}]+")
-
-
 def contains_word(s: Column, *terms: str) -> Column:
-    """True if any of the terms occurs as a word of the text."""
-    return F.arrays_overlap(words(s), F.array(*[F.lit(x.lower()) for x in terms]))
+    """True if any of the terms occurs as a whole word, in any case. A word is a
+    run of letters; the search stops at the first hit."""
+    quoted = "|".join(f"\\Q{x}\\E" for x in terms)
+    return F.rlike(s, F.lit(f"(?iu)(?<!\\p{{L}})(?:{quoted})(?!\\p{{L}})"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.sources.tables import cut_lineage
+from millrace.sources.tables import materialise
 
 
 def edges_from_keys(
@@ -35,19 +35,20 @@ def common_targets(edges: DataFrame) -> DataFrame:
 
 
 def subtree(nodes: DataFrame, node: str, parent: str, root: object, max_levels: int | None = None) -> DataFrame:
-    """A node and its descendants with level numbers.
+    """A node and its descendants with level numbers; node ids are unique.
 
-    One frontier join per level. Nodes already seen are left out, so cycles end.
-    Each frontier is checkpointed, which keeps the plan and its lineage short.
+    One frontier join per level. A node has one parent, so only the root could be
+    reached twice (in a cycle) and is left out. Each frontier is stored under the
+    shared folder: the lineage stays short, and its size is known to the planner.
     """
-    frontier = cut_lineage(nodes.where(F.col(node) == root).withColumn("lvl", F.lit(0).cast("bigint")))
+    frontier = materialise(nodes.where(F.col(node) == root).withColumn("lvl", F.lit(0).cast("bigint")), "frontier")
+    below = nodes.where(F.col(node) != root)
     found, level = frontier, 0
     while max_levels is None or level < max_levels:
         level += 1
         above = frontier.select(F.col(node).alias("_above"))
-        step = nodes.join(above, F.col(parent) == F.col("_above")).drop("_above").dropDuplicates([node])
-        step = step.join(found.select(node), node, "left_anti").select(*nodes.columns)
-        frontier = cut_lineage(step.withColumn("lvl", F.lit(level).cast("bigint")))
+        step = below.join(above, F.col(parent) == F.col("_above")).select(*nodes.columns)
+        frontier = materialise(step.withColumn("lvl", F.lit(level).cast("bigint")), "frontier")
         if frontier.isEmpty():
             break
         found = found.unionByName(frontier)

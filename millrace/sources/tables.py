@@ -51,17 +51,10 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a DataFrame under the shared folder and read it back."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a DataFrame to a table under the shared folder and read it back, for
-    inputs that are read several times."""
+    """Write a DataFrame to a table under the shared folder and read it back. For
+    inputs that are read several times: it cuts the lineage, survives the loss of
+    executors, and tells the planner the size."""
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
