@@ -269,17 +269,17 @@ def xml_attribute_shred(t):
 @query(
     "xml_rowset_apply_changes",
     oracle=f"""
-    SELECT orderid, linenumber, CASE WHEN linenumber % 3 = 0 THEN productid ELSE productid + 1 END AS productid
-    FROM ({ORDER_LINES_SQL}) WHERE linenumber % 3 <> 1
+    SELECT orderid, linenumber, CASE WHEN mark = 'A' THEN productid ELSE productid + 1 END AS productid
+    FROM ({ORDER_LINES_SQL}) WHERE mark <> 'R'
     """,
 )
 def xml_rowset_apply_changes(t):
     """The stored lines lack those marked new and carry an old product number
     where the document marks a change."""
     lines = order_lines(t.lineitem)
-    changed = F.pmod("linenumber", F.lit(3)) == 2
+    changed = F.col("mark") == "N"
     revised = lines.withColumn("productid", F.col("productid") + F.when(changed, 1).otherwise(0))
-    stored = lines.where(F.pmod("linenumber", F.lit(3)) != 0).select("orderid", "linenumber", "productid")
+    stored = lines.where(F.col("mark") != "A").select("orderid", "linenumber", "productid")
     details = parse_order_xml(order_xml(revised))
     on = lambda flag: F.col(flag) == "-1"
     return M.apply_flags(

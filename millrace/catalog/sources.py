@@ -150,7 +150,7 @@ def json_export(t):
 
 
 ORDER_LINES_SQL = """
-SELECT l_orderkey AS orderid, CAST(l_linenumber AS BIGINT) AS linenumber, MIN(l_partkey) AS productid,
+SELECT l_orderkey AS orderid, CAST(l_linenumber AS BIGINT) AS linenumber, MIN(l_partkey) AS productid, MIN(l_returnflag) AS mark,
        SUM(CAST(l_quantity AS DECIMAL(18,2))) AS qty, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS total
 FROM lineitem GROUP BY 1, 2
 """
@@ -159,7 +159,7 @@ FROM lineitem GROUP BY 1, 2
 @query(
     "xml_rowset_source",
     oracle=f"""
-    SELECT orderid, linenumber, productid FROM ({ORDER_LINES_SQL}) WHERE linenumber % 3 = 0
+    SELECT orderid, linenumber, productid FROM ({ORDER_LINES_SQL}) WHERE mark = 'A'
     """,
 )
 def xml_rowset_source(t):

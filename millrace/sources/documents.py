@@ -16,6 +16,7 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
         F.col("l_orderkey").alias("orderid"), F.col("l_linenumber").cast("bigint").alias("linenumber")
     ).agg(
         F.min("l_partkey").alias("productid"),
+        F.min("l_returnflag").alias("mark"),
         F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("qty"),
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("total"),
     )
@@ -27,15 +28,14 @@ def flag(condition: Column) -> Column:
 
 
 def order_xml(lines: DataFrame) -> DataFrame:
-    """One document per order. Lines divisible by 3 are marked new, those with
-    remainder 1 deleted, the others changed."""
-    kind = F.pmod("linenumber", F.lit(3))
+    """One document per order. Lines marked A are new, R deleted, N changed."""
+    mark = F.col("mark")
     element = F.concat(
         F.lit('<OrderDetail LineNumber="'), F.col("linenumber").cast("string"),
         F.lit('" ProductID="'), F.col("productid").cast("string"),
-        F.lit('" IsNew="'), flag(kind == 0),
-        F.lit('" IsDirty="'), flag(kind != 1),
-        F.lit('" IsDeleted="'), flag(kind == 1),
+        F.lit('" IsNew="'), flag(mark == "A"),
+        F.lit('" IsDirty="'), flag(mark != "R"),
+        F.lit('" IsDeleted="'), flag(mark == "R"),
         F.lit('"/>'),
     )
     body = F.array_join(F.array_sort(F.collect_list(element)), "")

@@ -13,7 +13,7 @@ from millrace.operators import routines as R
 from millrace.operators import sorting as S
 from millrace.operators import temporal as V
 from millrace.plans.merging import SMALL_ROWS_CONF
-from millrace.sources.tables import work_path
+from millrace.sources.tables import shared_dir, work_path
 
 
 @pytest.fixture(params=["broadcast", "shuffled"])
@@ -190,3 +190,29 @@ def test_sort_arguments_are_checked(spark):
 def test_result_contract(spark):
     with pytest.raises(ValueError):
         R.with_result_schema(spark.range(1), ("a", "int"), ("b", "int"))
+
+
+class _Fake:
+    """A session without a named shared folder."""
+
+    def __init__(self, master):
+        self.sparkContext = self
+        self.master, self.applicationId = master, f"app-{master}"
+        self.conf = self
+
+    def get(self, name, default=None):
+        return default
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    assert shared_dir(_Fake("local[2]")) == shared_dir(_Fake("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Fake("spark://host:7077"))
+
+
+def test_shared_folder_of_the_session_is_used(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or shared_dir(spark) == named.rstrip("/")
