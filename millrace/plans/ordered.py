@@ -112,9 +112,9 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     step = max(1, hot_rows(df) // 2, df.count() // MAX_CUTS)
     here = F.struct(*order)
     picked = F.pmod(F.xxhash64(*keys, *order), F.lit(step)) == 0
-    cuts = df.where(picked).agg(F.array_sort(F.collect_list(here)).alias("cuts")).scalar()
+    cuts = df.where(picked).agg(F.array_sort(F.collect_set(here)).alias("cuts")).scalar()
     # Binary search: how many cut points are not above this row.
-    jumps = F.array(*[F.lit(1 << i) for i in range(17, -1, -1)])
+    jumps = F.array(*[F.lit(1 << i) for i in range(MAX_CUTS.bit_length() + 1, -1, -1)])
     position = F.aggregate(
         jumps,
         F.lit(0),

@@ -25,9 +25,11 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def _run_batches(stream: DataFrame, mode: str, name: str, per_batch) -> str:
-    """Write every batch to its own folder; a repeated batch replaces its folder."""
+    """Write every batch to its own folder; a repeated batch replaces its folder.
+    An empty batch -1 fixes the schema, also when no input arrives."""
     spark = stream.sparkSession
     out = work_path(spark, name)
+    per_batch(spark.createDataFrame([], stream.schema)).write.parquet(f"{out}/batch=-1")
 
     def write(df: DataFrame, batch: int) -> None:
         per_batch(df).write.mode("overwrite").parquet(f"{out}/batch={batch}")

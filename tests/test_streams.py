@@ -56,3 +56,10 @@ def test_change_log_of_a_stream(spark, rows):
     changes = spark.readStream.schema("id int, x string").parquet(path)
     out = R.stream_change_log(changes, stored, ["id"], ["x"]).drop("batch")
     assert rows(out) == [(1, "x", "a", "b")]
+
+
+def test_stream_without_input_gives_no_rows(spark):
+    path = work_path(spark, "stream-empty")
+    spark.createDataFrame([], "who string, at timestamp, v int").write.parquet(path)
+    nothing = spark.readStream.schema("who string, at timestamp, v int").parquet(f"{path}/part-none*")
+    assert R.stream_counter_windows(nothing, "who", "at", "1 hour", "1 minute", "v").count() == 0
