@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.common import big, day, money, ntz, real, second, text
+from millrace.catalog.common import big, day, money, ntz, real, second
 from millrace.operators import changes as M
 from millrace.operators import quality as Q
 from millrace.registry import query

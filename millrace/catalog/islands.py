@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.common import SUPPLIER_MONTHS_SQL, big, day, second, supplier_months
+from millrace.catalog.common import SUPPLIER_MONTHS_SQL, day, second, supplier_months
 from millrace.operators import islands as I
 from millrace.registry import query
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.catalog.common import SUPPLIER_MONTHS_SQL, big, day, money, order_values, real, second, supplier_months
+from millrace.catalog.common import SUPPLIER_MONTHS_SQL, big, day, money, real, supplier_months
 from millrace.operators import joins as J
 from millrace.registry import query
 

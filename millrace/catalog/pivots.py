@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.catalog.aggregates import RAW, raw_data
-from millrace.catalog.common import day, money, order_values, ratio, real, text
+from millrace.catalog.common import day, order_values, ratio, real, text
 from millrace.operators import pivots as P
 from millrace.registry import query
 

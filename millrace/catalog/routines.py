@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.common import big, real
 from millrace.operators import routines as P
 from millrace.registry import query
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.common import big, day, money, real, second, text
+from millrace.catalog.common import big, day, money, second, text
 from millrace.functions import dates as D
 from millrace.functions import text as X
 from millrace.registry import query

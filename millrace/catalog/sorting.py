@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.common import big, day, money, order_values, real
+from millrace.catalog.common import big, money, real
 from millrace.operators import joins as J
 from millrace.operators import sorting as S
 from millrace.registry import query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.common import big, day, money, ntz, order_values, real, text
+from millrace.catalog.common import big, day, money, ntz, order_values, real
 from millrace.operators import partitions as P
 from millrace.registry import query
 from millrace.sources.documents import order_lines, order_xml, parse_order_xml
