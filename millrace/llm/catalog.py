@@ -6,8 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.exact_dedup import exact_duplicates
+from millrace.llm.packing import pack
+from millrace.llm.sharding import shard_by_bytes
 from millrace.llm.url_filter import judge_urls
 from millrace.sources.tables import Tables
 
@@ -59,3 +62,18 @@ ORACLES["op4_url_filter"] = r"""
           GROUP BY ALL)
     SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM m
 """
+
+
+SHARDS = 40
+
+
+@query
+def op5_sharding(t: Tables) -> DataFrame:
+    placed = shard_by_bytes(t.documents, SHARDS)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query
+def op6_best_fit_packing(t: Tables) -> DataFrame:
+    return pack(t.documents)
