@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.bpe import decode, encode
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.sharding import shard_by_bytes
@@ -77,3 +78,23 @@ def op5_sharding(t: Tables) -> DataFrame:
 @query
 def op6_best_fit_packing(t: Tables) -> DataFrame:
     return pack(t.documents)
+
+
+def word_vocabulary() -> str:
+    """Path of the vocabulary file the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op7_bpe(t: Tables) -> DataFrame:
+    path = word_vocabulary()
+    coded = t.documents.select("doc_id", encode("text", path).alias("ids"))
+    read = coded.select("doc_id", "ids", decode("ids", path).alias("decoded"))
+    return read.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
