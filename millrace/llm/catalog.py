@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bpe import decode, encode
 from millrace.llm.exact_dedup import exact_duplicates
+from millrace.llm.langid import document_records, identify, page_records
 from millrace.llm.packing import pack
+from millrace.llm.quality import quality_scores
 from millrace.llm.sharding import shard_by_bytes
 from millrace.llm.url_filter import judge_urls
 from millrace.sources.tables import Tables
@@ -98,3 +100,19 @@ def op7_bpe(t: Tables) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_quality(t: Tables) -> DataFrame:
+    return quality_scores(t.documents, t.labels)
+
+
+@query
+def op9_language_id(t: Tables) -> DataFrame:
+    """Documents and pages, each with its own priors; the other table's id is null."""
+    columns = ["lang", "confidence", "accepted", "text_lang", "declared"]
+    none = F.lit(None).cast("long")
+    docs, pages = identify(document_records(t.documents)), identify(page_records(t.pages))
+    return docs.select(F.col("id").alias("doc_id"), none.alias("page_id"), *columns).unionByName(
+        pages.select(none.alias("doc_id"), F.col("id").alias("page_id"), *columns)
+    )
