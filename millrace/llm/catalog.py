@@ -14,6 +14,7 @@ from millrace.llm.langid import document_records, identify, page_records
 from millrace.llm.packing import pack
 from millrace.llm.quality import quality_scores
 from millrace.llm.sharding import shard_by_bytes
+from millrace.llm.topk import top_k
 from millrace.llm.url_filter import judge_urls
 from millrace.sources.tables import Tables
 
@@ -116,3 +117,18 @@ def op9_language_id(t: Tables) -> DataFrame:
     return docs.select(F.col("id").alias("doc_id"), none.alias("page_id"), *columns).unionByName(
         pages.select(none.alias("doc_id"), F.col("id").alias("page_id"), *columns)
     )
+
+
+@query
+def op1_topk(t: Tables) -> DataFrame:
+    return top_k(t.embeddings, F.col("vec_id") % 50 == 0, 5)
+
+
+ORACLES["op1_topk"] = """
+    WITH e AS (SELECT vec_id, [floor(256 * x::double)::bigint for x in embedding] AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::double[], c.v::double[])::bigint AS score
+          FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
