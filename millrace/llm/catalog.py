@@ -14,6 +14,7 @@ from millrace.llm.langid import document_records, identify, page_records
 from millrace.llm.packing import pack
 from millrace.llm.quality import quality_scores
 from millrace.llm.sharding import shard_by_bytes
+from millrace.llm.suffix_dedup import remove_repeats
 from millrace.llm.topk import top_k
 from millrace.llm.url_filter import judge_urls
 from millrace.sources.tables import Tables
@@ -132,3 +133,17 @@ ORACLES["op1_topk"] = """
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM s)
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query
+def op8_suffix_dedup(t: Tables) -> DataFrame:
+    """Every copy goes here, the first one too."""
+    cut = remove_repeats(t.documents.select("doc_id", "text"), 400, keep_first=False)
+    removed = F.aggregate("_spans", F.lit(0).cast("long"), lambda sum_, s: sum_ + s["end"] - s["begin"])
+    return cut.select(
+        "doc_id",
+        F.col("_n_bytes").alias("n_bytes"),
+        F.coalesce(removed, F.lit(0)).alias("n_removed"),
+        F.coalesce(F.size("_spans"), F.lit(0)).cast("long").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
