@@ -31,44 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import text_or_empty
+from millrace.llm.hashing import CHUNK_BYTES, Rolling, maybe_in, mix
 from millrace.sources.tables import materialise
 
 MIN_BYTES = 400
 OPEN_SEGMENTS = 1_024
 BUCKET_SEGMENTS = 1_500
-CHUNK_BYTES = 1 << 21
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Spreads the bits of 64-bit numbers."""
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-class Rolling:
-    """Hashes of all substrings of a byte array: sums of byte codes times powers."""
-
-    base = 0x9E3779B97F4A7C15 | 1
-    powers = np.ones(1, "uint64")
-    inverse = np.ones(1, "uint64")
-
-    def __init__(self, data: np.ndarray):
-        n = len(data) + 1
-        if len(self.powers) < n:
-            size = max(n, CHUNK_BYTES + (1 << 16))
-            for name, base in (("powers", self.base), ("inverse", pow(self.base, -1, 1 << 64))):
-                row = np.full(size, base, "uint64")
-                row[0] = 1
-                setattr(Rolling, name, np.multiply.accumulate(row))
-        code = _mix(np.arange(1, 257, dtype="uint64"))[data]
-        self.sums = np.zeros(n, "uint64")
-        np.cumsum(code * self.powers[: n - 1], out=self.sums[1:])
-
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mix((self.sums[end] - self.sums[start]) * self.inverse[start])
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -90,7 +58,7 @@ def segments(data: np.ndarray, bounds: np.ndarray, min_bytes: int, gram: int) ->
     at = np.arange(len(data) - gram + 1)
     grams = rolling.of(at, at + gram)
     low = np.uint64((1 << 32) - 1)
-    order = (_mix(grams ^ low) & ~low) | at.astype("uint64")
+    order = (mix(grams ^ low) & ~low) | at.astype("uint64")
     chosen = (_sliding_least(order, min_bytes - gram + 1) & low).astype("int64")
     starts = np.arange(len(chosen))
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -125,13 +93,18 @@ def _pieces(texts: pd.Series, min_bytes: int) -> Iterator[tuple[list[tuple[int,
         yield owners, b"".join(parts), [len(p) for p in parts]
 
 
+def flagged(rows: DataFrame) -> DataFrame:
+    """Null ids as 0 with a flag ``none``: pandas would make numbers beside nulls inexact."""
+    return rows.withColumn("none", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))
+
+
 def find_segments(texts: DataFrame, min_bytes: int, gram: int) -> DataFrame:
     """``doc_id, t, anchor, segment, start, size`` of all windows of ``texts`` (``doc_id``,
     ``t``, ``text``)."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, marks = batch["doc_id"].array, batch["t"].to_numpy("int64")
+            ids, none, marks = (batch[c].to_numpy() for c in ("doc_id", "none", "t"))
             for owners, raw, sizes in _pieces(batch["text"], min_bytes):
                 bounds = np.concatenate([[0], np.cumsum(sizes)])
                 anchor, segment, start, size = segments(np.frombuffer(raw, "uint8"), bounds, min_bytes, gram)
@@ -140,12 +113,14 @@ def find_segments(texts: DataFrame, min_bytes: int, gram: int) -> DataFrame:
                 begin = np.array([b for _, b in owners])[piece]
                 yield pd.DataFrame(
                     {
-                        "doc_id": ids[number], "t": marks[number], "anchor": anchor, "segment": segment,
+                        "doc_id": ids[number], "none": none[number], "t": marks[number], "anchor": anchor, "segment": segment,
                         "start": begin + start - bounds[piece], "size": size.astype("int32"),
                     }
                 )
 
-    return texts.mapInPandas(find, "doc_id long, t long, anchor long, segment long, start long, size int")
+    schema = "doc_id long, none boolean, t long, anchor long, segment long, start long, size int"
+    found = flagged(texts).mapInPandas(find, schema)
+    return found.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
 
 
 def repeated_windows(parts: list[bytes], min_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -241,7 +216,8 @@ def _bytes_of(open_: DataFrame, texts: DataFrame, min_bytes: int) -> DataFrame:
     wanted = open_.select("anchor", "segment", "kinds", "n", "first.*")
     listed = wanted.groupBy("doc_id", "t").agg(F.collect_list(F.struct("anchor", "segment", "kinds", "n", "start", "size")).alias("parts"))
     named = listed.select(F.coalesce("doc_id", F.lit(0)).alias("_d"), F.col("doc_id").isNull().alias("_n"), F.col("t").alias("_t"), "parts")
-    met = texts.join(
+    mark = F.xxhash64("doc_id", "t")
+    met = texts.where(maybe_in(wanted, mark, mark)).join(
         named,
         (F.coalesce(texts["doc_id"], F.lit(0)) == named["_d"])
         & (texts["doc_id"].isNull() == named["_n"])
@@ -253,7 +229,7 @@ def _bytes_of(open_: DataFrame, texts: DataFrame, min_bytes: int) -> DataFrame:
     return rows.select("doc_id", "t", "p.*", F.substring("raw", F.col("p.start").cast("int") + 1, F.col("p.size")).alias("data"))
 
 
-OUT = "doc_id long, t long, start long, a int, b int, earlier boolean"
+OUT = "doc_id long, none boolean, t long, start long, a int, b int, earlier boolean"
 
 
 def _compare(parts: DataFrame, min_bytes: int, open_: DataFrame) -> DataFrame:
@@ -262,7 +238,7 @@ def _compare(parts: DataFrame, min_bytes: int, open_: DataFrame) -> DataFrame:
     buckets = max(1, open_.count() // BUCKET_SEGMENTS)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "t", "start"], na_position="first", kind="stable")
+        group = group.sort_values(["none", "doc_id", "t", "start"], ascending=[False, True, True, True], kind="stable")
         group = group.drop_duplicates(["anchor", "segment"])
         part, place, earlier = repeated_windows(group["data"].tolist(), min_bytes)
         order = np.lexsort((place, part))
@@ -279,12 +255,14 @@ def _compare(parts: DataFrame, min_bytes: int, open_: DataFrame) -> DataFrame:
         if not rows:
             return pd.DataFrame({c.split()[0]: [] for c in OUT.split(", ")})
         out = pd.concat(rows, ignore_index=True)
-        for c in ("doc_id", "t", "start"):
+        for c in ("doc_id", "none", "t", "start"):
             out[c] = group[c].array[out["k"].to_numpy()]
-        return out[["doc_id", "t", "start", "a", "b", "earlier"]]
+        return out[[c.split()[0] for c in OUT.split(", ")]]
 
-    keyed = parts.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    return keyed.select("bucket", "doc_id", "t", "start", "anchor", "segment", "data").groupBy("bucket").applyInPandas(compare, OUT)
+    keyed = flagged(parts).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
+    keyed = keyed.select("bucket", "doc_id", "none", "t", "start", "anchor", "segment", "data")
+    out = keyed.groupBy("bucket").applyInPandas(compare, OUT)
+    return out.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
 
 
 def _count_windows(parts: DataFrame, min_bytes: int) -> DataFrame:
@@ -300,14 +278,15 @@ def _count_windows(parts: DataFrame, min_bytes: int) -> DataFrame:
                 back = len(data) - at
                 yield pd.DataFrame(
                     {
-                        "doc_id": pd.array([row.doc_id] * len(at), dtype="Int64"), "t": row.t, "start": row.start,
+                        "doc_id": row.doc_id, "none": row.none, "t": row.t, "start": row.start,
                         "at": at.astype("int32"), "h": one.of(at, at + min_bytes).view("int64"),
                         "g": two.of(back - min_bytes, back).view("int64"),
                     }
                 )
 
     rows = parts.select("doc_id", "t", "start", "data").dropDuplicates(["doc_id", "t", "start"])
-    rows = rows.mapInPandas(hashes, "doc_id long, t long, start long, at int, h long, g long")
+    rows = flagged(rows).mapInPandas(hashes, "doc_id long, none boolean, t long, start long, at int, h long, g long")
+    rows = rows.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
     rows = materialise(rows, "hot-windows")
     place = F.struct("doc_id", "t", F.col("start") + F.col("at"))
     equal = rows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).where("n > 1")
@@ -360,10 +339,15 @@ def remove_repeats(
     (the bytes that stay; cut within a character where the match ends there)."""
     spans = merged_spans(repeated_spans(docs, min_bytes, keep_first, id_col, text_col))
     spans = spans.select(F.coalesce("doc_id", F.lit(0)).alias("_d"), F.col("doc_id").isNull().alias("_n"), F.col("t").alias("_t"), F.col("spans").alias("_spans"))
+    spans = materialise(spans, "spans")
     text, id_ = text_or_empty(text_col), F.col(id_col)
-    met = docs.join(
+    mark = F.xxhash64(id_, F.xxhash64(text))
+    marked = docs.withColumn("_maybe", maybe_in(spans, F.xxhash64(F.when(~F.col("_n"), F.col("_d")), "_t"), mark))
+    met = marked.where("_maybe").join(
         spans,
         (F.coalesce(id_, F.lit(0)) == spans["_d"]) & (id_.isNull() == spans["_n"]) & (F.xxhash64(text) == spans["_t"]),
         "left",
-    ).drop("_d", "_n", "_t")
+    ).drop("_d", "_n", "_t", "_maybe")
+    free = marked.where("NOT _maybe").drop("_maybe").withColumn("_spans", F.lit(None).cast(spans.schema["_spans"].dataType))
+    met = met.unionByName(free)
     return met.withColumn("_n_bytes", F.octet_length(text).cast("long")).withColumn("_kept", cut(text, F.col("_spans")))
