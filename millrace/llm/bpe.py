@@ -20,10 +20,11 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 # The word pattern and the white space of the tokenizer file.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -32,8 +33,9 @@ WORD_END = "</w>"
 LETTERS, NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 LATIN_WORD = rf"[{LETTERS}]+|[{NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^\t-\r \x85\xa0{LETTERS}{NUMBERS}]+"
 
-CACHE_WORDS = 200_000
-CHUNK_CHARS = 2_000_000
+CACHE_WORDS = 150_000
+CHUNK_CHARS = 1_000_000
+SLICE_ROWS = 256
 NONE = np.iinfo("int32").max
 
 
@@ -194,29 +196,36 @@ def _content(path: str) -> str:
         return file.read()
 
 
-def encode(text: Column | str, vocabulary: str) -> Column:
-    """Token ids of a whole text as packed little-endian unsigned 32-bit numbers (binary;
-    four bytes a token). Null and the empty text give no tokens. ``vocabulary`` is the
-    path of the file on the driver."""
-    content = _content(vocabulary)
+def _mapped(rows: DataFrame, columns: list[str], of: str, into: str, kind: str, work) -> DataFrame:
+    """``rows`` with a column ``into``, made from the column ``of`` a few rows at a time: an
+    Arrow batch is never turned into Python objects as a whole."""
+    narrow = rows.select(*columns)
+    schema = StructType([*narrow.schema.fields, StructField(into, kind)])
 
-    @F.pandas_udf("binary")
-    def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = _codec(content)
-        for texts in batches:
-            yield pd.Series(list(codec.encode(texts.tolist())), dtype=object)
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(i, SLICE_ROWS)
+                made = pa.array(work(part.column(of).to_pylist()), pa.binary() if into == "ids" else pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, into])
 
-    return to_ids(text)
+    return narrow.mapInArrow(go, schema)
 
 
-def decode(ids: Column | str, vocabulary: str) -> Column:
-    """The text of packed ids, special tokens included; null ids give null."""
+def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, text, ids`` for each row: ``ids`` are the tokens of the whole text as packed
+    little-endian unsigned 32-bit numbers (binary, four bytes a token). Null and the empty
+    text give no tokens. Rows without an id and repeated rows are encoded like all others;
+    other columns are not read. ``vocabulary`` is the path of the file on the driver."""
     content = _content(vocabulary)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    work = lambda texts: list(_codec(content).encode(texts))
+    return _mapped(rows, ["doc_id", "text"], "text", "ids", BinaryType(), work)
 
-    @F.pandas_udf("string")
-    def to_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = _codec(content)
-        for packed in batches:
-            yield pd.Series([None if p is None else codec.decode(p) for p in packed], dtype=object)
 
-    return to_text(ids)
+def decode(coded: DataFrame, vocabulary: str) -> DataFrame:
+    """``doc_id, ids, decoded`` for each row of packed ids, special tokens included; null ids
+    give null."""
+    content = _content(vocabulary)
+    work = lambda ids: [None if p is None else _codec(content).decode(p) for p in ids]
+    return _mapped(coded, ["doc_id", "ids"], "ids", "decoded", StringType(), work)

@@ -94,8 +94,7 @@ def word_vocabulary() -> str:
 @query
 def op7_bpe(t: Tables) -> DataFrame:
     path = word_vocabulary()
-    coded = t.documents.select("doc_id", encode("text", path).alias("ids"))
-    read = coded.select("doc_id", "ids", decode("ids", path).alias("decoded"))
+    read = decode(encode(t.documents, path), path)
     return read.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
