@@ -165,11 +165,19 @@ def identify(
     table = np.array([confusion[k] for k in kinds])  # a row for each declared language
     said = {k: (table[i] / table.sum(0)).tolist() for i, k in enumerate(kinds)}
 
-    out = seen
-    for level in ("suffix", "domain", "host"):
-        known = seen.where(F.col(level).isNotNull()).groupBy(F.col(level).alias("_k")).agg(*sums)
-        known = known.select("_k", packed.alias(f"at_{level}"))
-        out = out.join(known, out[level] == known["_k"], "left").drop("_k")
+    # Counts of the wider levels are summed from those of the hosts and joined to them; a
+    # row meets one table, by its host.
+    add = [F.sum(f"s{i}").alias(f"s{i}") for i in range(n)]
+    hosts = materialise(seen.where("host IS NOT NULL").groupBy("host", "domain", "suffix").agg(*sums), "hosts")
+    known = hosts.withColumn("at_host", packed).drop(*(f"s{i}" for i in range(n)))
+    for level in ("domain", "suffix"):
+        wider = hosts.where(F.col(level).isNotNull()).groupBy(F.col(level).alias("_k")).agg(*add)
+        wider = materialise(wider.select("_k", packed.alias(f"at_{level}")), level)
+        known = known.join(wider, known[level] == wider["_k"], "left").drop("_k")
+    known = materialise(known.drop("domain", "suffix"), "host-levels")
+    rows = seen.select("id", "declared", "host", "known", "fit", "own")
+    counts = {f"at_{level}": F.lit(None).cast("array<double>") for level in ("host", "domain", "suffix")}
+    out = rows.where("host IS NOT NULL").join(known, "host").unionByName(rows.where("host IS NULL").withColumns(counts))
 
     def shrunk(level: str, wider: Column) -> Column:
         """Counts at a level without the row's own share, and SHRINK rows of the wider prior."""
