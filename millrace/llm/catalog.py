@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bpe import decode, encode
 from millrace.llm.exact_dedup import exact_duplicates
+from millrace.llm.jaccard import jaccard_components
 from millrace.llm.langid import document_records, identify, page_records
 from millrace.llm.packing import pack
 from millrace.llm.quality import quality_scores
@@ -146,3 +147,8 @@ def op8_suffix_dedup(t: Tables) -> DataFrame:
         F.coalesce(F.size("_spans"), F.lit(0)).cast("long").alias("n_spans"),
         F.sha2("_kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op2_ngram_jaccard(t: Tables) -> DataFrame:
+    return jaccard_components(t.documents).drop("t")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.hashing import maybe_in
+from millrace.sources.tables import materialise
+
 #: White space between words, as the contracts state it.
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -14,8 +17,26 @@ def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def keep_rows(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose key is in ``ids``, one row for each key: a repeated
-    row of a document goes. Rows without a key go too. Columns stay as they are."""
-    wanted = ids.select(F.col(key).alias("_wanted")).where("_wanted IS NOT NULL")
-    return docs.join(wanted, docs[key] == wanted["_wanted"], "left_semi").dropDuplicates([key])
+def stamp(text: str = "text") -> Column:
+    """Hash of a text; with the id it names a row."""
+    return F.xxhash64(text_or_empty(text))
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose id and text stamp are in ``gone`` (``doc_id, t``; the
+    id may be null). Only rows that may be in it are shuffled. Columns stay as they are."""
+    gone = materialise(
+        gone.select(
+            F.coalesce("doc_id", F.lit(0)).alias("_d"), F.col("doc_id").isNull().alias("_n"), F.col("t").alias("_t"),
+            F.xxhash64("doc_id", "t").alias("_mark"),
+        ).distinct(),
+        "gone",
+    )
+    marked = docs.withColumn("_maybe", maybe_in(gone, F.col("_mark"), F.xxhash64("doc_id", stamp(text))))
+    same = (
+        (F.coalesce(F.col("doc_id"), F.lit(0)) == gone["_d"])
+        & (F.col("doc_id").isNull() == gone["_n"])
+        & (stamp(text) == gone["_t"])
+    )
+    left = marked.where("_maybe").join(gone, same, "left_anti")
+    return marked.where("NOT _maybe").unionByName(left).drop("_maybe")

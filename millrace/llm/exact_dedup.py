@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BLANKS, text_or_empty
+from millrace.llm.common import BLANKS, stamp, text_or_empty
 from millrace.sources.tables import materialise, work_path
 
 #: The directory has at most 2 ** MAX_DEPTH cells, which bounds what is broadcast
@@ -98,7 +98,8 @@ def exact_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, hash_bits: int = 64
 ) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id``, ``keep_id`` (smallest id of the
-    equal texts), ``group_size``, ``kept``, ``text_sha256``, ``bucket``, ``chain``.
+    equal texts), ``group_size``, ``kept``, ``text_sha256``, ``bucket``, ``chain``,
+    ``t`` (stamp of the text as it is).
 
     Texts are equal when their bytes are, after each run of blanks became one space;
     a null text is the empty text. A row without an id belongs to its group and is
@@ -109,7 +110,10 @@ def exact_duplicates(
     index = build_index(docs, id_col, text_col, capacity, hash_bits)
     norm = normalised(text_col)
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), _hash(norm, hash_bits).alias("hash"), F.sha2(norm, 256).alias("sha")
+        F.col(id_col).alias("doc_id"),
+        _hash(norm, hash_bits).alias("hash"),
+        F.sha2(norm, 256).alias("sha"),
+        stamp(text_col).alias("t"),
     )
     return rows.join(index, ["hash", "sha"]).select(
         "doc_id",
@@ -119,4 +123,5 @@ def exact_duplicates(
         F.col("sha").alias("text_sha256"),
         "bucket",
         "chain",
+        "t",
     )

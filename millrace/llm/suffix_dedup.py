@@ -332,6 +332,16 @@ def cut(text: Column, spans: Column) -> Column:
     return kept(text, spans)
 
 
+def whole_characters(raw: Column) -> Column:
+    """The text of UTF-8 bytes; what is left of a character that was cut goes."""
+
+    @F.pandas_udf("string")
+    def text(parts: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None else p.decode("utf-8", "ignore") for p in parts], dtype=object)
+
+    return text(raw)
+
+
 def remove_repeats(
     docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
