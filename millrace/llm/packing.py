@@ -101,12 +101,15 @@ def pack_histogram(
                 bin_, k, size = groups[residual].pop()
                 if not groups[residual]:
                     del groups[residual], room[at]
-                take = min(k, n)
+                # the bin that took a piece has the least room that is enough, until it is full
+                layers = min(n, residual // length)
+                take = min(k, n // layers)
                 if take < k:
                     keep(residual, (bin_ + take, k - take, size))
-                plan.intervals.append((length, first, bin_, size - residual))
-                keep(residual - length, (bin_, take, size))
-                first, n = first + take, n - take
+                for layer in range(layers):
+                    plan.intervals.append((length, first + layer * take, bin_, size - residual + layer * length))
+                keep(residual - layers * length, (bin_, take, size))
+                first, n = first + layers * take, n - layers * take
                 continue
             fits = [s for s in sizes if s >= length]
             left.left[length] = n - 1
