@@ -243,7 +243,7 @@ def cascade_update(t):
     "order_insert_with_details",
     oracle="""
     SELECT o_orderkey AS orderid, o_custkey, CAST(COALESCE(total, 0) AS DOUBLE) AS total, COALESCE(n, 0) AS n_details FROM orders
-    LEFT JOIN (SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS total, COUNT(DISTINCT l_linenumber) AS n FROM lineitem GROUP BY 1)
+    LEFT JOIN (SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS total, COUNT(*) AS n FROM lineitem GROUP BY 1)
       ON l_orderkey = o_orderkey
     """,
 )

@@ -66,11 +66,18 @@ def json_is_valid(t):
 
 @query(
     "json_modify",
-    oracle="SELECT event_id, '{\"k\":' || (CAST(json_extract_string(props, '$.k') AS BIGINT) + 1000) || '}' AS props FROM events",
+    oracle="""
+    SELECT event_id, '{"info":{"name":"' || event_type || '","address":{"zip":1.5,"town":"' || event_type || '-town"}},"k":' ||
+      (CAST(json_extract_string(props, '$.k') AS BIGINT) + 1000) || '}' AS props FROM events
+    """,
 )
 def json_modify(t):
-    k = big(F.get_json_object("props", "$.k"))
-    return t.events.select("event_id", X.set_number(F.col("props"), "k", k + 1000).alias("props"))
+    """A number at the top and a text further down are set; the other members stay."""
+    k = F.get_json_object("props", "$.k")
+    name = F.concat(F.lit('{"info":{"name":"'), "event_type", F.lit('","address":{"zip":1.5}},"k":'), k, F.lit("}"))
+    town = F.concat("event_type", F.lit("-town"))
+    done = X.set_value(X.set_value(name, "$.k", big(k) + 1000), "$.info.address.town", town)
+    return t.events.select("event_id", done.alias("props"))
 
 
 @query("json_explode_typed", oracle=LINES)
@@ -176,11 +183,11 @@ def json_group_report(t):
 
 @query(
     "json_filter_by_element",
-    oracle=f"SELECT DISTINCT orderid FROM ({LINES}) WHERE qty >= 100 OR (line = 7 AND qty < 5)",
+    oracle=f"SELECT DISTINCT orderid FROM ({LINES}) WHERE qty >= 50 OR (line = 7 AND qty < 5)",
 )
 def json_filter_by_element(t):
     """Orders whose array holds a large item, or a small item on line 7."""
-    wanted = lambda x: (x["item"]["qty"] >= 100) | ((x["line"] == 7) & (x["item"]["qty"] < 5))
+    wanted = lambda x: (x["item"]["qty"] >= 50) | ((x["line"] == 7) & (x["item"]["qty"] < 5))
     return docs(t).where(F.exists(F.from_json("items", ITEMS_SCHEMA), wanted)).select("orderid")
 
 

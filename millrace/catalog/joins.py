@@ -28,13 +28,11 @@ def inner_join(t):
     oracle="""
     SELECT DISTINCT c_name, s_name FROM customer JOIN orders ON o_custkey = c_custkey
       JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
-    WHERE p_type = 'PROMO'
     """,
 )
 def multiway_join(t):
     """DISTINCT runs on the keys, which are narrow; names are added afterwards."""
-    promo = t.part.where(F.col("p_type") == "PROMO")
-    lines = t.lineitem.join(promo, F.col("p_partkey") == F.col("l_partkey"), "left_semi")
+    lines = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey"), "left_semi")
     pairs = t.orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_suppkey").distinct()
     named = pairs.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     return named.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select("c_name", "s_name").distinct()
@@ -74,27 +72,25 @@ def left_outer_join(t):
 @query(
     "right_outer_join",
     oracle="""
-    SELECT p_partkey, l_orderkey FROM (SELECT * FROM lineitem WHERE l_quantity > 45) l
-      RIGHT JOIN part ON l_partkey = p_partkey
+    SELECT p_partkey, l_orderkey FROM lineitem RIGHT JOIN part ON l_partkey = p_partkey
     """,
 )
 def right_outer_join(t):
     """The right side is the preserved one: a left join with the sides exchanged."""
-    bulk = t.lineitem.where(F.col("l_quantity") > 45)
-    return J.left_outer_join(t.part, bulk, "p_partkey", "l_partkey").select("p_partkey", "l_orderkey")
+    return J.left_outer_join(t.part, t.lineitem, "p_partkey", "l_partkey").select("p_partkey", "l_orderkey")
 
 
 @query(
     "left_outer_to_inner_group",
     oracle="""
     SELECT c_custkey, o_orderkey, p_name FROM customer LEFT JOIN
-      (orders JOIN lineitem ON l_orderkey = o_orderkey AND l_quantity >= 49 JOIN part ON p_partkey = l_partkey)
+      (orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey)
       ON o_custkey = c_custkey
     """,
 )
 def left_outer_to_inner_group(t):
     inner = (
-        t.orders.join(t.lineitem.where(F.col("l_quantity") >= 49), F.col("l_orderkey") == F.col("o_orderkey"))
+        t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.part, F.col("p_partkey") == F.col("l_partkey"))
         .select("o_custkey", "o_orderkey", "p_name")
     )
@@ -278,12 +274,11 @@ def lateral_topn(t):
     oracle="""
     SELECT c_custkey, o.o_orderkey FROM customer LEFT JOIN
       (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-       FROM orders WHERE o_totalprice > 300000) o ON o.o_custkey = c_custkey AND rn <= 3
+       FROM orders) o ON o.o_custkey = c_custkey AND rn <= 3
     """,
 )
 def outer_lateral_topn(t):
-    large = t.orders.where(F.col("o_totalprice") > 300000)
-    return J.lateral_top_n(t.customer, large, "c_custkey", "o_custkey", latest(), 3, outer=True).select(
+    return J.lateral_top_n(t.customer, t.orders, "c_custkey", "o_custkey", latest(), 3, outer=True).select(
         "c_custkey", "o_orderkey"
     )
 

@@ -73,22 +73,22 @@ def foreign_key_rule(t):
 @query(
     "balance_rule",
     oracle=f"""
-    WITH l AS (SELECT item, moved, event_id, event_type, quantity, CAST(SUM(quantity) OVER (PARTITION BY item ORDER BY moved) AS BIGINT) AS cur FROM ({MOVES})),
-    p AS (SELECT *, lag(cur) OVER (PARTITION BY item ORDER BY moved) AS prev FROM l),
+    WITH l AS (SELECT item, moved, event_id, event_type, quantity, CAST(SUM(quantity) OVER (PARTITION BY item ORDER BY moved, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cur FROM ({MOVES})),
+    p AS (SELECT *, lag(cur) OVER (PARTITION BY item ORDER BY moved, event_id) AS prev FROM l),
     s AS (SELECT *, CASE WHEN event_type = 'error' THEN cur + 1 ELSE cur END AS said FROM p)
     SELECT item, event_id, said AS current_quantity FROM
-      (SELECT *, lag(said) OVER (PARTITION BY item ORDER BY moved) AS before FROM s)
+      (SELECT *, lag(said) OVER (PARTITION BY item ORDER BY moved, event_id) AS before FROM s)
     WHERE NOT (said = COALESCE(prev, 0) + quantity AND prev IS NOT DISTINCT FROM before)
     """,
 )
 def balance_rule(t):
     """Balances of error events are off by one: those rows and the ones that
     should continue them are reported."""
-    log = running(movements(t), ["item"], ["moved"], cur=("sum", F.col("quantity")))
-    log = neighbours(log, ["item"], ["moved"], previous={"prev": "cur"})
+    log = running(movements(t), ["item"], ["moved", "event_id"], cur=("sum", F.col("quantity")))
+    log = neighbours(log, ["item"], ["moved", "event_id"], previous={"prev": "cur"})
     said = F.col("cur") + F.when(F.col("event_type") == "error", 1).otherwise(0)
     log = log.withColumn("current_quantity", said)
-    broken = Q.broken_chains(log, "item", "moved", "quantity", "current_quantity", "prev")
+    broken = Q.broken_chains(log, "item", ["moved", "event_id"], "quantity", "current_quantity", "prev")
     return broken.select("item", "event_id", "current_quantity")
 
 

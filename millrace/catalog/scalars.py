@@ -245,18 +245,17 @@ def fn_cast(t):
 
 @query(
     "fn_hash_random",
-    oracle="SELECT event_type, COUNT(*) AS n, COUNT(*) AS in_range, COUNT(*) AS repeatable FROM events GROUP BY event_type",
+    oracle="""
+    SELECT event_id, md5(event_id || '-7') AS code, sha256(event_type) AS type_code,
+           ('0x' || substr(md5(event_id || '-7'), 1, 7))::BIGINT / 268435456.0::DOUBLE AS r FROM events
+    """,
 )
 def fn_hash_random(t):
-    """Random-looking numbers in [0, 1) from a hash of the key: the same on every
-    run and retry, unlike a generator tied to partition order."""
-    draw = lambda seed: F.pmod(F.xxhash64("event_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    drawn = t.events.select("event_type", draw(7).alias("r"), draw(7).alias("again"))
-    return drawn.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if((F.col("r") >= 0) & (F.col("r") < 1)).alias("in_range"),
-        F.count_if(F.col("r") == F.col("again")).alias("repeatable"),
-    )
+    """Hashes, and random-looking numbers in [0, 1) from a hash of the key: the same on
+    every run and retry, unlike a generator tied to partition order."""
+    code = F.md5(F.concat(text("event_id"), F.lit("-7")))
+    number = big(F.conv(F.substring(code, 1, 7), 16, 10)) / float(1 << 28)
+    return t.events.select("event_id", code.alias("code"), F.sha2("event_type", 256).alias("type_code"), number.alias("r"))
 
 
 @query(

@@ -105,14 +105,15 @@ def create_table_as(t):
     "insert_select",
     oracle="""
     SELECT l_returnflag, COUNT(*) AS n_rows, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty
-    FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY l_returnflag
+    FROM lineitem GROUP BY l_returnflag
     """,
 )
 def insert_select(t):
     path = work_path(t.spark, "insert-select")
     lines = t.lineitem.select("l_orderkey", "l_returnflag", "l_quantity")
     lines.where(F.col("l_returnflag") == "R").write.parquet(path)
-    lines.where(F.col("l_returnflag") == "A").write.mode("append").parquet(path)
+    for flag in ("A", "N"):
+        lines.where(F.col("l_returnflag") == flag).write.mode("append").parquet(path)
     stored = t.spark.read.parquet(path)
     return stored.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n_rows"), real(F.sum(money("l_quantity"))).alias("qty")
@@ -150,9 +151,11 @@ def json_export(t):
 
 
 ORDER_LINES_SQL = """
-SELECT l_orderkey AS orderid, CAST(l_linenumber AS BIGINT) AS linenumber, MIN(l_partkey) AS productid, MIN(l_returnflag) AS mark,
-       SUM(CAST(l_quantity AS DECIMAL(18,2))) AS qty, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS total
-FROM lineitem GROUP BY 1, 2
+SELECT l_orderkey AS orderid, l_partkey AS productid, l_returnflag AS mark,
+       row_number() OVER (PARTITION BY l_orderkey
+         ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag) AS linenumber,
+       CAST(l_quantity AS DECIMAL(18,2)) AS qty, CAST(l_extendedprice AS DECIMAL(18,2)) AS total
+FROM lineitem
 """
 
 
@@ -237,7 +240,8 @@ def partition_switch_out(t):
     """Remaining partitions, and the archived one as bucket -1."""
     path, archive = work_path(t.spark, "switch-out"), work_path(t.spark, "archive")
     P.write_partitioned(t.orders, path, F.col("o_orderdate"), bounds())
-    left = P.switch_out(t.spark, path, archive, 1)
+    P.switch_out(t.spark, path, archive, 1)
+    left = t.spark.read.parquet(path)
     archived = t.spark.read.parquet(archive).withColumn("bucket", F.lit(-1))
     return _count_per_bucket(left.unionByName(archived))
 

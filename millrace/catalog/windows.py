@@ -108,19 +108,22 @@ def _by_month(low, high=0):
     oracle=f"""
     SELECT actid, tranid, CAST(SUM(val) OVER w AS DOUBLE) / COUNT(val) OVER w AS avg3,
            CAST(SUM(val) OVER w100 AS DOUBLE) / COUNT(val) OVER w100 AS avg100
-    FROM ({TRANSACTIONS_SQL})
+    FROM (SELECT actid, tranid, CASE WHEN tranid % 8 >= 4 THEN val END AS val FROM ({TRANSACTIONS_SQL}))
     WINDOW w AS (PARTITION BY actid ORDER BY tranid ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
            w100 AS (PARTITION BY actid ORDER BY tranid ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)
     """,
 )
 def moving_avg_rows(t):
-    """Moving sums divided by the number of rows in the frame."""
+    """Moving sums divided by the number of known values in the frame; half of them
+    are not known."""
+    gappy = transactions(t).withColumn("val", F.when(F.col("tranid") % 8 >= 4, F.col("val")))
+    known = F.when(F.col("val").isNotNull(), F.lit(1))
     rows = O.moving_sums(
-        transactions(t), KEY, ORDER,
-        s3=(-2, 0, F.col("val")), s100=(-99, 0, F.col("val")), n=(-99, 0, F.lit(1)),
-    )
-    average = lambda total, width: real(total) / F.least("n", F.lit(width))
-    return rows.select("actid", "tranid", average("s3", 3).alias("avg3"), average("s100", 100).alias("avg100"))
+        gappy, KEY, ORDER,
+        s3=(-2, 0, F.col("val")), n3=(-2, 0, known), s100=(-99, 0, F.col("val")), n100=(-99, 0, known),
+    )
+    average = lambda width: real(f"s{width}") / F.col(f"n{width}")
+    return rows.select("actid", "tranid", average(3).alias("avg3"), average(100).alias("avg100"))
 
 
 @query(

@@ -20,8 +20,61 @@ def strict_value(s: Column, path: str) -> Column:
     return F.coalesce(value, F.raise_error(message).cast("string"))
 
 
-def set_number(s: Column, name: str, value: Column) -> Column:
-    """Set one top-level number in an object of numbers."""
-    fields = F.from_json(s, "map<string, bigint>")
-    others = F.map_filter(fields, lambda k, _: k != name)
-    return F.to_json(F.map_concat(others, F.create_map(F.lit(name), value)))
+def set_value(s: Column, path: str, value: Column) -> Column:
+    """Set the member at a dotted path (``$.info.address.town``) of an object.
+
+    The document is taken apart along the path only; other members keep their values
+    (numbers are written in their shortest form, blanks between members go). Missing members of the path are added; a member of the path that is no object is
+    replaced by one. A null value gives ``null``; a null document stays null, and what
+    is no JSON object gives null.
+    """
+    names = path.removeprefix("$.").split(".")
+    return F.when(F.substring(F.ltrim(s), 1, 1) == "{", _put(s, names, F.coalesce(_as_json(value), F.lit("null"))))
+
+
+def _as_json(value: Column) -> Column:
+    """The JSON text of one scalar."""
+    return F.regexp_extract(F.to_json(F.struct(value.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _members(s: Column) -> Column:
+    """The members of an object as an array of (key, JSON text)."""
+    raw, kinds = F.from_json(s, "map<string, string>"), F.from_json(s, "map<string, variant>")
+
+    def read(both: Column) -> Column:
+        def member(e: Column) -> Column:
+            is_text = F.schema_of_variant(F.element_at(both["kinds"], e["key"])) == "STRING"
+            text = F.when(is_text, _as_json(e["value"])).otherwise(F.coalesce(e["value"], F.lit("null")))
+            return F.struct(e["key"].alias("key"), text.alias("value"))
+
+        return F.transform(F.map_entries(both["raw"]), member)
+
+    return _let(F.struct(raw.alias("raw"), kinds.alias("kinds")), read)
+
+
+def _put(s: Column, names: list[str], value: Column) -> Column:
+    name, *rest = names
+
+    def write(members: Column) -> Column:
+        own = F.get(F.filter(members, lambda e: e["key"] == name), 0)["value"]
+        if rest:
+            start = F.when(F.substring(own, 1, 1) == "{", own).otherwise("{}")
+            new = _put(start, rest, value)
+        else:
+            new = value
+        pair = lambda text: F.struct(F.lit(name).alias("key"), text.alias("value"))
+
+        def place(text: Column) -> Column:
+            kept = F.transform(members, lambda e: F.when(e["key"] == name, pair(text)).otherwise(e))
+            added = F.when(own.isNull(), F.concat(members, F.array(pair(text)))).otherwise(kept)
+            shown = F.transform(added, lambda e: F.concat(_as_json(e["key"]), F.lit(":"), e["value"]))
+            return F.concat(F.lit("{"), F.array_join(shown, ","), F.lit("}"))
+
+        return _let(new, place)
+
+    return _let(_members(s), write)

@@ -27,9 +27,9 @@ def remove_matching(s: Column, pattern: str) -> Column:
 
 
 def split_to_rows(df: DataFrame, column: str, sep: str, keep_empty: bool) -> DataFrame:
-    """Delimited text to rows (pos, element), positions from 1. Without empty
-    elements the positions are counted over the remaining ones."""
-    parts = F.split(column, sep)
+    """Delimited text to rows (pos, element), positions from 1. The separator is plain
+    text. Without empty elements the positions are counted over the remaining ones."""
+    parts = F.split(column, "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E")
     if not keep_empty:
         parts = F.filter(parts, lambda x: x != "")
     others = [x for x in df.columns if x != column]

@@ -2,7 +2,7 @@
 
 Plain parquet is not changed in place: every function returns the new rows (or the
 change rows) and the caller writes them to a new path or partition. Change sets
-must hold one row per key; the joins that apply them check that.
+must hold one row per key; every function that applies one checks that.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.plans.merging import full_join
+from millrace.plans.merging import full_join, stored_changes
 from millrace.plans.ordered import neighbours, running
 
 ACTION = "action"
@@ -121,7 +121,9 @@ def rebuild_history(
 
 def guard_inserts(log: DataFrame, candidates: DataFrame, item: str, at: str, quantity: str) -> DataFrame:
     """Candidate log rows with ``accepted``: stock may not turn negative and no
-    later entry may exist. One candidate per item."""
+    later entry may exist. Several candidates of one item are refused: what the first
+    leaves would decide about the second."""
+    candidates = stored_changes(candidates, [item])
     stock = log.groupBy(item).agg(F.sum(quantity).alias("_stock"), F.max(at).alias("_last"))
     joined = candidates.join(stock, item, "left")
     enough = F.coalesce("_stock", F.lit(0)) + F.col(quantity) >= 0
@@ -138,6 +140,7 @@ def update_single_row(df: DataFrame, condition: Column, **values: Column) -> Dat
 
 def change_log(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Old and new value (as text) of every changed cell; NULLs compare as equal."""
+    new = stored_changes(new, keys)
     b = new.select(*keys, *[F.col(x).alias(f"_new_{x}") for x in columns])
     both = old.select(*keys, *columns).join(b, list(keys))
     cells = F.array(
@@ -173,7 +176,7 @@ def soft_delete(parents: DataFrame, children: DataFrame, key: str, child_key: st
 
 def cascade_key(children: DataFrame, child_key: str, renamed: DataFrame, old: str, new: str) -> DataFrame:
     """Copy changed parent keys to the child rows."""
-    r = renamed.select(F.col(old).alias("_old"), F.col(new).alias("_new"))
+    r = stored_changes(renamed, [old]).select(F.col(old).alias("_old"), F.col(new).alias("_new"))
     joined = children.join(r, F.col(child_key) == F.col("_old"), "left")
     return joined.withColumn(child_key, F.coalesce("_new", child_key)).drop("_old", "_new")
 

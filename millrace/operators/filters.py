@@ -26,8 +26,8 @@ def optional_filters_coalesced(df: DataFrame, **wanted: Any) -> DataFrame:
 
 
 def like_or_equal(column: str, argument: str) -> Column:
-    """LIKE when the argument holds a wildcard, equality otherwise."""
-    if "%" in argument or "_" in argument:
+    """LIKE when the argument holds a ``%``, equality otherwise: a ``_`` alone is text."""
+    if "%" in argument:
         return F.col(column).like(argument)
     return F.col(column) == argument
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.plans.merging import stored_changes
 from millrace.plans.ordered import running
 
 
@@ -101,7 +102,7 @@ def divide(df: DataFrame, key: str, member: str, divisor: DataFrame) -> DataFram
 
 def overlay_values(target: DataFrame, changes: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Target rows with the columns replaced where a change is given."""
-    fresh = changes.select(*keys, *[F.col(x).alias(f"_new_{x}") for x in columns])
+    fresh = stored_changes(changes, keys).select(*keys, *[F.col(x).alias(f"_new_{x}") for x in columns])
     joined = target.join(fresh, list(keys), "left")
     return joined.withColumns({x: F.coalesce(f"_new_{x}", x) for x in columns}).drop(
         *[f"_new_{x}" for x in columns]

@@ -43,18 +43,23 @@ def partition_stats(df: DataFrame, key: str) -> DataFrame:
 
 
 def switch_in(staged: DataFrame, path: str, bucket: int, column: str, low: Column, high: Column) -> None:
-    """Attach staged rows as one partition after checking their bounds (low <= x < high)."""
+    """Attach staged rows as one empty partition after checking their bounds (low <= x < high)."""
     inside = (F.col(column) >= low) & (F.col(column) < high)
     if not staged.where(~F.coalesce(inside, F.lit(False))).isEmpty():
         raise ValueError("staged rows outside the partition bounds")
+    table = staged.sparkSession.read.parquet(path)
+    if not table.where(F.col(BUCKET) == bucket).isEmpty():
+        raise ValueError(f"partition {bucket} is not empty")
     overwrite_partitions(staged.withColumn(BUCKET, F.lit(bucket)), path)
 
 
-def switch_out(spark: SparkSession, path: str, archive: str, bucket: int) -> DataFrame:
-    """Copy one partition to an archive and return the table without it."""
+def switch_out(spark: SparkSession, path: str, archive: str, bucket: int) -> None:
+    """Move one partition to an archive: when the copy is complete, the partition is
+    overwritten with no rows."""
     table = spark.read.parquet(path)
     table.where(F.col(BUCKET) == bucket).drop(BUCKET).write.mode("errorifexists").parquet(archive)
-    return table.where(F.col(BUCKET) != bucket)
+    folder = f"{path.rstrip('/')}/{BUCKET}={bucket}"
+    spark.createDataFrame([], table.drop(BUCKET).schema).write.mode("overwrite").parquet(folder)
 
 
 def split_partition(df: DataFrame, column: Column, boundary: Column, bucket: int) -> DataFrame:

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 
 def table_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows only in the new state (side ``new``) and only in the old (side ``old``),
-    duplicates counted and NULLs equal. One grouping serves both directions."""
-    signed = new.withColumn("_d", F.lit(1)).unionByName(old.withColumn("_d", F.lit(-1)))
-    net = signed.groupBy(*new.columns).agg(F.sum("_d").alias("_net")).where(F.col("_net") != 0)
-    side = F.when(F.col("_net") > 0, "new").otherwise("old").alias("side")
-    copies = F.explode(F.sequence(F.lit(1), F.abs("_net")))
-    return net.select(*new.columns, side, copies.alias("_i")).drop("_i")
+    duplicates counted and NULLs equal. Copies of a row are repeated one by one, never
+    held as a list."""
+    fresh, gone = new.exceptAll(old.select(new.columns)), old.select(new.columns).exceptAll(new)
+    return fresh.withColumn("side", F.lit("new")).unionByName(gone.withColumn("side", F.lit("old")))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.changes import _true
 from millrace.operators.setops import table_diff
 from millrace.plans.merging import full_join
 from millrace.plans.ordered import neighbours
@@ -35,8 +36,8 @@ def history(table: DataFrame) -> DataFrame:
 
 
 def all_versions(now: DataFrame, past: DataFrame) -> DataFrame:
-    """Current and history rows with a flag."""
-    both = now.unionByName(past)
+    """Current and history rows with a flag; periods of no length are hidden."""
+    both = now.unionByName(past).where(F.col(FROM) < F.col(TO))
     return both.withColumn("is_current", F.when(F.col(TO) == moment(OPEN), 1).otherwise(0).cast("bigint"))
 
 
@@ -45,17 +46,18 @@ def as_of(table: DataFrame, t: Column) -> DataFrame:
 
 
 def from_to(table: DataFrame, a: Column, b: Column) -> DataFrame:
-    """Versions active inside (a, b), both ends open."""
-    return table.where((F.col(FROM) < b) & (F.col(TO) > a))
+    """Versions active inside (a, b), both ends open. Here and below, periods of no
+    length are hidden."""
+    return table.where((F.col(FROM) < b) & (F.col(TO) > a) & (F.col(FROM) < F.col(TO)))
 
 
 def between(table: DataFrame, a: Column, b: Column) -> DataFrame:
     """As ``from_to``, with versions that start exactly at the upper end."""
-    return table.where((F.col(FROM) <= b) & (F.col(TO) > a))
+    return table.where((F.col(FROM) <= b) & (F.col(TO) > a) & (F.col(FROM) < F.col(TO)))
 
 
 def contained_in(table: DataFrame, a: Column, b: Column) -> DataFrame:
-    return table.where((F.col(FROM) >= a) & (F.col(TO) <= b))
+    return table.where((F.col(FROM) >= a) & (F.col(TO) <= b) & (F.col(FROM) < F.col(TO)))
 
 
 def join_as_of(left: DataFrame, right: DataFrame, on: Sequence[str], t: Column) -> DataFrame:
@@ -83,15 +85,19 @@ def write(table: DataFrame, changes: DataFrame, keys: Sequence[str], t: Column,
 
     ``changes`` holds one row per key with the new values, or a key to delete
     where ``deleted`` is true. A current version that is touched is closed at t;
-    an update or insert opens a new one. History rows pass through unchanged.
+    an update or insert opens a new one. An unknown ``deleted`` does not delete. A time
+    at which a touched version had not begun is refused. History rows pass through
+    unchanged.
     """
     values = [x for x in table.columns if x not in (*keys, FROM, TO)]
     fresh = changes.select(
-        *keys, F.struct(*values).alias("_new"), deleted.alias("_deleted"), F.lit(True).alias("_touched")
+        *keys, F.struct(*values).alias("_new"), _true(deleted).alias("_deleted"), F.lit(True).alias("_touched")
     )
     old = current(table).select(*keys, F.struct(*values).alias("_old"), FROM, F.lit(True).alias("_stored"))
     both = full_join(old, fresh, keys)
     stored, touched = F.col("_stored").isNotNull(), F.col("_touched").isNotNull()
+    if not both.where(stored & touched & (F.col(FROM) > t)).isEmpty():
+        raise ValueError("a changed version begins after the time of the change")
     version = lambda v, a, b: F.struct(F.col(v).alias("v"), a.alias(FROM), b.alias(TO))
     rows = F.array(
         F.when(stored, version("_old", F.col(FROM), F.when(touched, t).otherwise(moment(OPEN)))),

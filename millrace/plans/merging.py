@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from millrace.sources.tables import materialise
 
-#: Change sets up to this many rows are broadcast; override by this session setting.
-SMALL_ROWS = 100_000
-SMALL_ROWS_CONF = "millrace.broadcastRows"
-
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a key occurs twice."""
@@ -20,20 +16,24 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"several change rows for one key {list(keys)}")
 
 
+def stored_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A change set, stored and checked for one row per key. The planner knows the size
+    of a stored table and broadcasts it only if that is small in bytes."""
+    changes = materialise(changes, "changes")
+    require_unique(changes, keys)
+    return changes
+
+
 def full_join(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join of a table with its change rows, one per key.
 
-    A full join has to shuffle the table. The changes are stored and counted; if
-    they are few, they are broadcast to the table instead, and the keys the table
-    lacks are found by a second scan of its key columns alone.
+    A full join would shuffle the table whatever the size of the changes. Stored rows
+    with their changes are a left join, and the keys the table lacks an anti join with
+    its key columns; the planner broadcasts what is small in either.
     """
     keys = list(keys)
-    changes = materialise(changes, "changes")
-    require_unique(changes, keys)
-    limit = int(target.sparkSession.conf.get(SMALL_ROWS_CONF, str(SMALL_ROWS)))
-    if changes.count() > limit:
-        return target.join(changes, keys, "full")
-    kept = target.join(F.broadcast(changes), keys, "left")
-    met = target.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi").distinct()
-    fresh = changes.join(F.broadcast(met), keys, "left_anti")  # no more keys than changes
-    return kept.unionByName(fresh, allowMissingColumns=True)
+    changes = stored_changes(changes, keys)
+    kept = target.join(changes, keys, "left")
+    narrow = changes.select(*keys)
+    met = materialise(target.select(*keys).join(narrow, keys, "left_semi").distinct(), "met-keys")
+    return kept.unionByName(changes.join(met, keys, "left_anti"), allowMissingColumns=True)

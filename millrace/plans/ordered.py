@@ -20,8 +20,9 @@ from millrace.sources.tables import materialise
 #: Largest group (rows) that one task handles; override by this session setting.
 HOT_ROWS = 2_000_000
 HOT_ROWS_CONF = "millrace.hotRows"
-#: Slices are found from about this many sampled order values.
+#: Most cut points in one list; tables that need more are cut in two stages.
 MAX_CUTS = 16_384
+CUTS_CONF = "millrace.maxCuts"
 
 START = W.unboundedPreceding
 
@@ -75,30 +76,30 @@ def by_heat(
     """Run ``plain`` on groups that fit one task and ``sliced`` on the others.
 
     ``at_most`` is an upper bound of the row count if one is already known; the
-    rows are counted otherwise. Fewer than ``rows / limit`` keys can be hot, and
-    the limit is raised so that this stays under 65,536: that bounds the list
-    which is collected and broadcast. When hot keys exist the input is written once,
-    because the sliced plan reads it for counts, cut points and summaries.
+    rows are counted otherwise. The hot keys are a stored table, which is joined as
+    its size suggests, so the limit is the same for every table. When hot keys exist
+    the input is written once, because the sliced plan reads it for counts, cut
+    points and summaries. Both plans give the columns and types of ``plain``.
     """
     limit = hot_rows(df)
     if at_most is not None and at_most <= limit:
         return plain(df)
-    rows = df.count()
-    if rows <= limit:
+    if df.count() <= limit:
         return plain(df)
     if not keys:
-        return sliced(materialise(df, "ordered"))
-    limit = max(limit, rows // 65_536)
+        return _typed_like(plain(df), sliced(materialise(df, "ordered")))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = counts.where(F.col("_n") > limit).select(*keys)
-    found = heavy.collect()
-    if not found:
+    heavy = materialise(counts.where(F.col("_n") > limit).select(*keys), "hot-keys")
+    if heavy.isEmpty():
         return plain(df)
-    heavy = F.broadcast(df.sparkSession.createDataFrame(found, heavy.schema))
     df = materialise(df, "ordered")
-    cold = join_null_safe(df, heavy, keys, "left_anti")
-    hot = join_null_safe(df, heavy, keys, "left_semi")
-    return plain(cold).unionByName(sliced(hot))
+    usual = plain(join_null_safe(df, heavy, keys, "left_anti"))
+    return usual.unionByName(_typed_like(usual, sliced(join_null_safe(df, heavy, keys, "left_semi"))))
+
+
+def _typed_like(model: DataFrame, df: DataFrame) -> DataFrame:
+    """The columns of ``df`` in the order and the types of ``model``."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in model.schema])
 
 
 def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -109,19 +110,29 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     the same number of rows whatever the distribution. The sample depends on the
     values alone and is the same each time it is computed.
     """
-    step = max(1, hot_rows(df) // 2, df.count() // MAX_CUTS)
+    most = int(df.sparkSession.conf.get(CUTS_CONF, str(MAX_CUTS)))
+    step = max(1, hot_rows(df) // 2)
+    coarse = max(step, df.count() // most)
     here = F.struct(*order)
-    picked = F.pmod(F.xxhash64(*keys, *order), F.lit(step)) == 0
-    cuts = df.where(picked).agg(F.array_sort(F.collect_set(here)).alias("cuts")).scalar()
-    # Binary search: how many cut points are not above this row.
-    jumps = F.array(*[F.lit(1 << i) for i in range(MAX_CUTS.bit_length() + 1, -1, -1)])
-    position = F.aggregate(
-        jumps,
-        F.lit(0),
-        lambda at, jump: at + F.when(F.get("_cuts", at + jump - 1) <= here, jump).otherwise(0),
-    )
-    # The two projections collapse into one, in which the cuts are a constant.
-    df = df.withColumn("_cuts", cuts).withColumn("_slice", position).drop("_cuts")
+
+    def sampled(every: int) -> Column:
+        return F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0
+
+    def position(cuts: Column) -> Column:
+        """Binary search: how many cut points are not above this row."""
+        jumps = F.array(*[F.lit(1 << i) for i in range(most.bit_length() + 1, -1, -1)])
+        above = lambda at, jump: F.when(F.get(cuts, at + jump - 1) <= here, jump).otherwise(0)
+        return F.aggregate(jumps, F.lit(0), lambda at, jump: at + above(at, jump))
+
+    # The projections collapse into one, in which the cuts are a constant.
+    cuts = df.where(sampled(coarse)).agg(F.array_sort(F.collect_set(here)).alias("cuts")).scalar()
+    df = df.withColumn("_cuts", cuts).withColumn("_slice", position(F.col("_cuts")).cast("long")).drop("_cuts")
+    if coarse > step:
+        # Slices of the first stage are too large: each gets cut points of its own.
+        own = df.where(sampled(step)).groupBy("_slice").agg(F.array_sort(F.collect_set(here)).alias("_own"))
+        df = df.join(materialise(own, "cuts"), "_slice", "left")
+        inner = F.coalesce(position(F.col("_own")), F.lit(0))
+        df = df.withColumn("_slice", F.shiftleft("_slice", 32) + inner).drop("_own")
     return df.withColumn("_group", F.struct(*keys, "_slice"))
 
 
@@ -274,16 +285,22 @@ def moving_sums(
     """SUM over ROWS BETWEEN low AND high (both <= 0) as the difference of two
     running sums, so the cost per row does not grow with the frame.
 
-    For exact types without NULLs; an empty frame gives NULL.
+    For exact types. NULLs do not count: a frame without known values gives NULL.
     """
-    d = running(df, keys, order, **{f"_s_{n}": ("sum", x) for n, (_, _, x) in sums.items()})
+    d = running(
+        df, keys, order,
+        **{f"_s_{n}": ("sum", x) for n, (_, _, x) in sums.items()},
+        **{f"_k_{n}": ("count", x) for n, (_, _, x) in sums.items()},
+    )
     ends = {}
     for n, (low, high, _) in sums.items():
-        ends[f"_hi_{n}"] = (high, high, F.max(f"_s_{n}"))
-        ends[f"_lo_{n}"] = (low - 1, low - 1, F.max(f"_s_{n}"))
+        for part in ("s", "k"):
+            ends[f"_hi_{part}_{n}"] = (high, high, F.max(f"_{part}_{n}"))
+            ends[f"_lo_{part}_{n}"] = (low - 1, low - 1, F.max(f"_{part}_{n}"))
     d = row_frames(d, keys, order, **ends)
-    d = d.withColumns({n: F.col(f"_hi_{n}") - F.coalesce(f"_lo_{n}", F.lit(0)) for n in sums})
-    return d.drop(*ends, *[f"_s_{n}" for n in sums])
+    between = lambda part, n: F.col(f"_hi_{part}_{n}") - F.coalesce(f"_lo_{part}_{n}", F.lit(0))
+    d = d.withColumns({n: F.when(between("k", n) > 0, between("s", n)) for n in sums})
+    return d.drop(*ends, *[f"_{part}_{n}" for n in sums for part in ("s", "k")])
 
 
 def value_counts(

@@ -16,7 +16,6 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from millrace.plans.merging import SMALL_ROWS_CONF  # noqa: E402
 from millrace.plans.ordered import HOT_ROWS_CONF  # noqa: E402
 from millrace.registry import all_queries  # noqa: E402
 from millrace.session import local_session  # noqa: E402
@@ -80,8 +79,6 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     if os.environ.get("HOT_ROWS"):
         spark.conf.set(HOT_ROWS_CONF, os.environ["HOT_ROWS"])
-    if os.environ.get("BROADCAST_ROWS"):
-        spark.conf.set(SMALL_ROWS_CONF, os.environ["BROADCAST_ROWS"])
     sf_dir = f"{TESTDATA}/sf{sf}"
     con = connect(sf_dir)
     queries = all_queries()

@@ -1,28 +1,29 @@
 """Table changes, dataset rules and temporal tables on small inputs."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.catalog.common import ntz
 from millrace.operators import changes as M
+from millrace.operators import joins as J
 from millrace.operators import partitions as PA
 from millrace.operators import quality as Q
 from millrace.operators import routines as R
 from millrace.operators import sorting as S
 from millrace.operators import temporal as V
-from millrace.plans.merging import SMALL_ROWS_CONF
 from millrace.sources.tables import shared_dir, work_path
 
 
 @pytest.fixture(params=["broadcast", "shuffled"])
 def change_size(spark, request):
-    """Apply change sets as small ones and as large ones."""
+    """Apply change sets the planner broadcasts and others."""
     if request.param == "shuffled":
-        spark.conf.set(SMALL_ROWS_CONF, "0")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
-    spark.conf.unset(SMALL_ROWS_CONF)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.fixture
@@ -123,7 +124,7 @@ def test_broken_chain(spark, rows):
     log = spark.createDataFrame(
         [(1, 1, 5, 5, None), (1, 2, 2, 8, 5), (1, 3, 1, 9, 8)], "item int, at int, q int, cur int, prev int"
     )
-    assert rows(Q.broken_chains(log, "item", "at", "q", "cur", "prev").select("at")) == [(2,)]
+    assert rows(Q.broken_chains(log, "item", ["at"], "q", "cur", "prev").select("at")) == [(2,)]
 
 
 DAY = lambda n: dt.datetime(2024, 1, n)
@@ -216,3 +217,71 @@ def test_shared_folder_must_be_named_on_a_cluster():
 def test_shared_folder_of_the_session_is_used(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_dir(spark) == named.rstrip("/")
+
+
+def two_rows(spark, schema, a, b):
+    return spark.createDataFrame([a, b], schema)
+
+
+def test_two_changes_of_one_key_are_refused_everywhere(spark, target):
+    twice = two_rows(spark, "id int, x string, version int", (2, "p", 1), (2, "q", 1))
+    with pytest.raises(ValueError, match="several change rows"):
+        J.overlay_values(target, twice, ["id"], ["x"])
+    with pytest.raises(ValueError, match="several change rows"):
+        M.change_log(target, twice, ["id"], ["x"])
+    with pytest.raises(ValueError, match="several change rows"):
+        M.cascade_key(target, "id", two_rows(spark, "old int, new int", (1, 5), (1, 6)), "old", "new")
+    log = spark.createDataFrame([(1, 10, 5)], "item int, at int, q int")
+    with pytest.raises(ValueError, match="several change rows"):
+        M.guard_inserts(log, two_rows(spark, "item int, at int, q int", (1, 20, -4), (1, 30, -4)), "item", "at", "q")
+
+
+def test_wide_changes_are_not_broadcast(spark, target):
+    wide = spark.range(3, 2000).select(
+        F.col("id").cast("int").alias("id"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 100).alias("x"), F.lit(1).alias("version")
+    )
+    merged = M.upsert(target.repartition(2), wide, ["id"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        plan = M.upsert(target.repartition(2), wide, ["id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search("SortMergeJoin.*LeftOuter", plan)  # only the list of met keys may be broadcast
+    assert merged.count() == 1999
+
+
+def test_switch_in_refuses_a_filled_partition(spark):
+    path = work_path(spark, "switch-filled")
+    PA.write_partitioned(spark.range(10).withColumnRenamed("id", "k"), path, F.col("k"), [F.lit(5)])
+    with pytest.raises(ValueError, match="not empty"):
+        PA.switch_in(spark.range(7, 8).withColumnRenamed("id", "k"), path, 2, "k", F.lit(5), F.lit(20))
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_switched_out_rows_leave_the_table(spark, rows):
+    path, archive = work_path(spark, "switch-left"), work_path(spark, "switch-archive")
+    PA.write_partitioned(spark.range(10).withColumnRenamed("id", "k"), path, F.col("k"), [F.lit(5)])
+    PA.switch_out(spark, path, archive, 1)
+    assert rows(spark.read.parquet(path).select("k")) == [(k,) for k in range(5, 10)]
+    assert rows(spark.read.parquet(archive)) == [(k,) for k in range(5)]
+    PA.switch_in(spark.range(3).withColumnRenamed("id", "k"), path, 1, "k", F.lit(0), F.lit(5))
+    assert spark.read.parquet(path).count() == 8
+
+
+def test_unknown_deletion_does_not_delete(spark, table, rows):
+    changes = spark.createDataFrame([(1, "z", None)], "id int, x string, gone boolean")
+    out = V.write(table, changes, ["id"], ntz("2024-01-09"), F.col("gone"))
+    assert rows(V.current(out).select("id", "x")) == [(1, "z")]
+
+
+def test_early_change_is_refused(spark, table):
+    changes = spark.createDataFrame([(1, "z", False)], "id int, x string, gone boolean")
+    with pytest.raises(ValueError, match="begins after"):
+        V.write(table, changes, ["id"], ntz("2024-01-04"), F.col("gone"))
+
+
+def test_periods_of_no_length_are_hidden(spark):
+    empty = spark.createDataFrame([(1, "a", DAY(3), DAY(3))], "id int, x string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    a, b = ntz("2024-01-01"), ntz("2024-01-09")
+    assert [f(empty, a, b).count() for f in (V.from_to, V.between, V.contained_in)] == [0, 0, 0]
+    assert V.all_versions(empty, empty).count() == 0

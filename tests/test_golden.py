@@ -17,6 +17,7 @@ from millrace.operators import joins as J
 from millrace.operators import pivots as P
 from millrace.operators import setops as U
 from millrace.plans import ordered as O
+from millrace.sources.documents import order_lines, order_xml
 
 T1 = [2, 3, 11, 12, 13, 31, 33, 34, 35, 42]  # islands 2-3, 11-13, 31, 33-35, 42
 
@@ -213,3 +214,44 @@ def test_left_outer_join_keeps_null_and_unmatched_keys(spark, rows):
     out = J.left_outer_join(left, right, "k", "r").select("x", "y")
     assert rows(out) == [("a", 10), ("a", 11), ("b", None), ("c", None)]
     assert rows(out) == rows(left.join(right, F.col("k") == F.col("r"), "left").select("x", "y"))
+
+
+@pytest.mark.parametrize("sep", [".", "|", "*", "\\E", ", "])
+def test_separators_are_plain_text(spark, rows, sep):
+    df = spark.createDataFrame([("A", sep.join(["a.b", "", "c"]) if sep != "." else "a..c")], "k string, arr string")
+    found = [r[2] for r in rows(X.split_to_rows(df, "arr", sep, True))]
+    assert found == (["a", "", "c"] if sep == "." else ["a.b", "", "c"])
+
+
+def test_only_a_percent_sign_makes_a_pattern(spark, rows):
+    df = spark.createDataFrame([("A_1",), ("AB1",)], "x string")
+    assert rows(df.where(FI.like_or_equal("x", "A_1"))) == [("A_1",)]
+    assert rows(df.where(FI.like_or_equal("x", "A_%"))) == [("AB1",), ("A_1",)]
+
+
+@pytest.mark.parametrize(
+    "doc, path, wanted",
+    [
+        ('{"k":1,"s":"x","n":{"a":1},"d":1.5}', "$.k", '{"k":"v","s":"x","n":{"a":1},"d":1.5}'),
+        ('{"info":{"address":{"town":"o","z":[1,{"q":2}]}},"t":null,"b":true}', "$.info.address.town",
+         '{"info":{"address":{"town":"v","z":[1,{"q":2}]}},"t":null,"b":true}'),
+        ("{}", "$.a.b", '{"a":{"b":"v"}}'),
+        ('{"a":5,"s":"1"}', "$.a.b", '{"a":{"b":"v"},"s":"1"}'),
+        (None, "$.a", None), ("[1]", "$.a", None), ("no", "$.a", None),
+    ],
+)
+def test_json_member_is_set_by_path(spark, doc, path, wanted):
+    df = spark.createDataFrame([(doc,)], "s string")
+    assert df.select(JS.set_value(F.col("s"), path, F.lit("v"))).first()[0] == wanted
+
+
+def test_orders_keep_all_their_lines(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    counted = order_xml(order_lines(lines)).select(F.size(F.split("doc", "<OrderDetail ")) - 1).toPandas()
+    assert counted.iloc[:, 0].sum() == lines.count()
+
+
+def test_diff_counts_copies(spark, rows):
+    old = spark.createDataFrame([(1,), (1,), (1,), (None,)], "x int")
+    new = spark.createDataFrame([(1,), (2,), (2,), (None,)], "x int")
+    assert rows(U.table_diff(old, new)) == [(1, "old"), (1, "old"), (2, "new"), (2, "new")]

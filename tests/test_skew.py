@@ -135,3 +135,41 @@ def test_slices_are_balanced(df):
     sizes = [r["count"] for r in O.with_slices(hot, ["k"], ["o", "id"]).groupBy("_slice").count().collect()]
     assert len(sizes) > 5
     assert max(sizes) < 0.4 * hot.count()
+
+
+D = "decimal(18,2)"
+BOTH_PLANS = {
+    "running": lambda d: O.running(d, ["k"], ["o", "id"], s=("sum", F.col("v").cast(D)), i=("sum", F.col("v").cast("int")), n=("count", F.lit(1)), m=("min", F.col("v").cast(D))),
+    "running_no_keys": lambda d: O.running(d, [], ["o", "id"], s=("sum", F.col("v").cast(D))),
+    "number_rows": lambda d: O.number_rows(d, ["k"], ["o", "id"]),
+    "neighbours": lambda d: O.neighbours(d, ["k"], ["o", "id"], previous={"p": "v"}, following={"f": "o"}),
+    "row_frames": lambda d: O.row_frames(d, ["k"], ["o", "id"], a=(-2, 1, F.avg(F.col("v").cast(D))), s=(-3, 0, F.sum(F.col("v").cast(D)))),
+    "moving_sums": lambda d: O.moving_sums(d, ["k"], ["o", "id"], s=(-3, -1, F.col("v").cast(D))),
+    "with_ranks": lambda d: O.with_ranks(d, ["k"], ["o"], rank="r", dense_rank="d", percent_rank="p", cume_dist="c"),
+    "percentiles": lambda d: O.group_percentiles(d, ["k"], "v", m=("cont", 0.5), q=("disc", 0.25)),
+    "with_ties": lambda d: V.running_with_ties(d.withColumn("w", F.col("v").cast(D)), ["k"], "o", "s", "w"),
+    "with_ntile": lambda d: V.with_ntile(d, ["k"], ["o", "id"], t=3),
+    "group_totals": lambda d: O.with_group_totals(d, ["k"], s=F.sum(F.col("v").cast(D))),
+}
+
+
+@pytest.mark.parametrize("name", BOTH_PLANS)
+def test_both_plans_give_the_same_columns_types_and_rows(spark, data, rows, name):
+    df = spark.createDataFrame(data, "k string, id int, o int, v bigint")
+    plain = BOTH_PLANS[name](df)
+    dtypes, found = plain.dtypes, rows(plain)
+    spark.conf.set(O.HOT_ROWS_CONF, "20")
+    try:
+        sliced = BOTH_PLANS[name](df)
+        assert sliced.dtypes == dtypes and rows(sliced) == found
+        spark.conf.set(O.CUTS_CONF, "4")  # cut points in two stages
+        assert rows(BOTH_PLANS[name](df)) == found
+    finally:
+        spark.conf.unset(O.HOT_ROWS_CONF)
+        spark.conf.unset(O.CUTS_CONF)
+
+
+def test_moving_sums_of_unknown_values(spark, rows):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, None), (4, 1)], "id int, v int")
+    out = O.moving_sums(df, [], ["id"], s=(-1, 0, F.col("v")))
+    assert rows(out.select("id", "s")) == [(1, 5), (2, 5), (3, None), (4, 1)]
