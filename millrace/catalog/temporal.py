@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from millrace.catalog.common import big, second
 from millrace.operators import temporal as V
 from millrace.registry import query
+from millrace.sources.tables import materialise
 
 T1, T2 = "2024-01-10 00:00:00", "2024-01-20 12:00:00"
 
 
 def user_versions(t):
+    """The versions as a stored table, whose period columns filters can reach."""
     rows = t.events.select("user_id", "event_id", "event_type", "value", "ts")
-    return V.versions(rows, ["user_id"], "ts", "event_id").where(F.col("event_type") != "error")
+    return materialise(V.versions(rows, ["user_id"], "ts", "event_id").where(F.col("event_type") != "error"), "versions")
 
 
 USERS = """
@@ -75,7 +77,7 @@ def temporal_contained_in(t):
 def type_versions(t):
     """Versions of the latest value per event type."""
     rows = t.events.select("event_type", F.col("event_id").alias("type_event"), F.col("value").alias("type_value"), "ts")
-    return V.versions(rows, ["event_type"], "ts", "type_event")
+    return materialise(V.versions(rows, ["event_type"], "ts", "type_event"), "versions")
 
 
 TYPES = """

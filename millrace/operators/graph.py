@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,19 +39,22 @@ def common_targets(edges: DataFrame) -> DataFrame:
 def subtree(nodes: DataFrame, node: str, parent: str, root: object, max_levels: int | None = None) -> DataFrame:
     """A node and its descendants with level numbers; node ids are unique.
 
-    One frontier join per level. A node has one parent, so only the root could be
-    reached twice (in a cycle) and is left out. Each frontier is stored under the
-    shared folder: the lineage stays short, and its size is known to the planner.
+    One frontier join per level, of ids alone; the other columns are joined once to the
+    nodes that were found. A node has one parent, so only the root could be reached twice
+    (in a cycle) and is left out. Each frontier is stored under the shared folder: the
+    lineage stays short, and its size is known to the planner.
     """
-    frontier = materialise(nodes.where(F.col(node) == root).withColumn("lvl", F.lit(0).cast("bigint")), "frontier")
-    below = nodes.where(F.col(node) != root)
-    found, level = frontier, 0
+    level_of = lambda n: F.lit(n).cast("bigint").alias("lvl")
+    edges = nodes.where(F.col(node) != root).select(F.col(node).alias("_node"), F.col(parent).alias("_above"))
+    edges = materialise(edges.where(F.col("_above").isNotNull()), "edges")
+    frontier = materialise(nodes.where(F.col(node) == root).select(F.col(node).alias("_node"), level_of(0)), "frontier")
+    found, level = [frontier], 0
     while max_levels is None or level < max_levels:
         level += 1
-        above = frontier.select(F.col(node).alias("_above"))
-        step = below.join(above, F.col(parent) == F.col("_above")).select(*nodes.columns)
-        frontier = materialise(step.withColumn("lvl", F.lit(level).cast("bigint")), "frontier")
+        step = edges.join(frontier.select(F.col("_node").alias("_above")), "_above")
+        frontier = materialise(step.select("_node", level_of(level)), "frontier")
         if frontier.isEmpty():
             break
-        found = found.unionByName(frontier)
-    return found
+        found.append(frontier)
+    ids = reduce(DataFrame.unionByName, found)
+    return nodes.join(ids, F.col(node) == F.col("_node")).select(*nodes.columns, "lvl")

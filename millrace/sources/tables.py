@@ -58,7 +58,16 @@ def work_path(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a DataFrame to a table under the shared folder and read it back. For
     inputs that are read several times: it cuts the lineage, survives the loss of
-    executors, and tells the planner the size."""
+    executors, and tells the planner the size. ``discard`` removes it again."""
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    stored.millrace_path = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for this DataFrame; it cannot be read afterwards."""
+    jvm = stored.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(stored.millrace_path)
+    path.getFileSystem(stored.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

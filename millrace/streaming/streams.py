@@ -19,9 +19,22 @@ from millrace.sources.tables import work_path
 MERGE_LOCALLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A parquet file, or a folder of files, as a stream; new files are new input."""
-    return spark.readStream.schema(schema).parquet(f"{path}*")
+#: Files a micro-batch takes at most, so that a large folder is many batches.
+FILES_PER_BATCH = 1_000
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def read_stream(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """A parquet file, or a folder of files, as a stream; new files are new input. A file
+    source lists folders, so a single file is named by its folder and its exact name."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    if spark.read.format("binaryFile").option("pathGlobFilter", name).load(folder).limit(1).isEmpty():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", name).parquet(folder)
 
 
 def _run_batches(stream: DataFrame, mode: str, name: str, per_batch) -> str:
@@ -34,6 +47,8 @@ def _run_batches(stream: DataFrame, mode: str, name: str, per_batch) -> str:
     def write(df: DataFrame, batch: int) -> None:
         per_batch(df).write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
+    state = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS)  # state that outgrows the heap goes to disk
     query = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", work_path(spark, f"{name}-checkpoint"))
@@ -41,6 +56,7 @@ def _run_batches(stream: DataFrame, mode: str, name: str, per_batch) -> str:
         .foreachBatch(write)
         .start()
     )
+    spark.conf.set(STATE_STORE, state)
     query.awaitTermination()
     return out
 

@@ -55,6 +55,9 @@ def test_groups_are_cut_before_the_shuffle(spark, key):
         ("like_prefix", "StringStartsWith(p_name"),
         ("parameterized_query", "GreaterThan(o_totalprice"),
         ("optional_filters", "EqualTo(o_orderstatus"),
+        ("temporal_as_of", "GreaterThan(valid_to"),
+        ("temporal_as_of", "LessThanOrEqual(valid_from"),
+        ("temporal_between", "GreaterThan(valid_to"),
     ],
 )
 def test_filters_reach_the_scan(spark, key, pushed):

@@ -1,11 +1,12 @@
 """Streams over files that arrive one after the other."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.sources.tables import work_path
+from millrace.sources.tables import discard, materialise, work_path
 from millrace.streaming import streams as R
 
 START = dt.datetime(2024, 1, 1)
@@ -63,3 +64,30 @@ def test_stream_without_input_gives_no_rows(spark):
     spark.createDataFrame([], "who string, at timestamp, v int").write.parquet(path)
     nothing = spark.readStream.schema("who string, at timestamp, v int").parquet(f"{path}/part-none*")
     assert R.stream_counter_windows(nothing, "who", "at", "1 hour", "1 minute", "v").count() == 0
+
+
+def test_a_neighbour_with_a_longer_name_is_not_read(spark, tmp_path):
+    for name in ("events.parquet", "events.parquet_old"):
+        spark.range(3).coalesce(1).write.parquet(str(tmp_path / name))
+    rows = R.read_stream(spark, str(tmp_path / "events.parquet"), spark.range(1).schema)
+    assert not rows.sparkSession.read.parquet(R._run_batches(rows, "append", "exact", lambda d: d)).count() > 3
+
+
+def test_small_batches_and_late_rows(spark, tmp_path):
+    """One file a batch, times mixed: what comes after its window was closed by the
+    watermark (one hour behind the latest time seen) is dropped, the rest counts."""
+    path, schema = str(tmp_path / "late"), "who string, at timestamp, v int"
+    for n in (0, 300, 299, 30):  # the last is 270 minutes behind
+        spark.createDataFrame([("a", minutes(n), 1)], schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)  # files are read in the order of their times
+    rows = R.read_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
+    out = R.stream_counter_windows(rows, "who", "at", "1 hour", "1 hour", "v")
+    assert sorted((r["started"], r["n"]) for r in out.collect()) == [(minutes(0), 1), (minutes(240), 1), (minutes(300), 1)]
+
+
+def test_stored_tables_can_be_discarded(spark):
+    stored = materialise(spark.range(5), "short-lived")
+    assert stored.count() == 5
+    discard(stored)
+    with pytest.raises(Exception, match="(?i)exist"):
+        spark.read.parquet(stored.millrace_path)
