@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.catalog.changes import MOVES, movements
 from millrace.catalog.common import big
 from millrace.operators import quality as Q
-from millrace.plans.ordered import neighbours, running
+from millrace.plans.ordered import heat_of, neighbours, running
 from millrace.registry import query
 
 
@@ -84,11 +84,13 @@ def foreign_key_rule(t):
 def balance_rule(t):
     """Balances of error events are off by one: those rows and the ones that
     should continue them are reported."""
-    log = running(movements(t), ["item"], ["moved", "event_id"], cur=("sum", F.col("quantity")))
-    log = neighbours(log, ["item"], ["moved", "event_id"], previous={"prev": "cur"})
+    order, moves = ["moved", "event_id"], movements(t)
+    heat = heat_of(moves, ["item"])
+    log = running(moves, ["item"], order, heat=heat, cur=("sum", F.col("quantity")))
+    log = neighbours(log, ["item"], order, previous={"prev": "cur"}, heat=heat)
     said = F.col("cur") + F.when(F.col("event_type") == "error", 1).otherwise(0)
     log = log.withColumn("current_quantity", said)
-    broken = Q.broken_chains(log, "item", ["moved", "event_id"], "quantity", "current_quantity", "prev")
+    broken = Q.broken_chains(log, "item", order, "quantity", "current_quantity", "prev", heat)
     return broken.select("item", "event_id", "current_quantity")
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.plans.merging import full_join, stored_changes
-from millrace.plans.ordered import neighbours, running
+from millrace.plans.ordered import heat_of, neighbours, running
+from millrace.sources.tables import materialise
 
 ACTION = "action"
 
@@ -111,10 +112,12 @@ def rebuild_history(
     merged = full_join(log.select(*keys, quantity), c, keys)
     merged = merged.withColumn(quantity, F.when(F.col("_changed"), F.col("_q")).otherwise(F.col(quantity)))
     merged = merged.where((F.col(quantity) != 0) | F.col("_changed").isNull()).select(*keys, quantity)
+    merged = materialise(merged, "history")
+    heat = heat_of(merged, [item])
     chained = running(
-        neighbours(merged, [item], [at], previous={"previous_date": at}),
-        [item], [at], current_quantity=("sum", F.col(quantity)),
-    )
+        neighbours(merged, [item], [at], previous={"previous_date": at}, heat=heat),
+        [item], [at], heat=heat, current_quantity=("sum", F.col(quantity)),
+    )
     before = F.col("current_quantity") - F.col(quantity)
     return chained.withColumn("previous_quantity", F.when(F.col("previous_date").isNotNull(), before))
 

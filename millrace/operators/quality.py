@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.plans.ordered import neighbours
+from millrace.plans.ordered import Heat, neighbours
 
 
 def check_violations(df: DataFrame, rule: Column, strict: bool = False) -> DataFrame:
@@ -33,10 +33,11 @@ def orphans(child: DataFrame, parent: DataFrame, keys: dict[str, str]) -> DataFr
 
 
 def broken_chains(
-    log: DataFrame, item: str, at: Sequence[str], change: str, current: str, previous: str
+    log: DataFrame, item: str, at: Sequence[str], change: str, current: str, previous: str,
+    heat: Heat | None = None,
 ) -> DataFrame:
     """Log rows whose balance does not add up or does not continue the row before."""
-    linked = neighbours(log, [item], at, previous={"_last": current})
+    linked = neighbours(log, [item], at, previous={"_last": current}, heat=heat)
     adds_up = F.col(current) == F.coalesce(previous, F.lit(0)) + F.col(change)
     continues = F.col(previous).eqNullSafe(F.col("_last"))
     fine = F.coalesce(adds_up, F.lit(False)) & continues

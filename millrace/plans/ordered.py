@@ -10,6 +10,7 @@ scanned for the carry, and the carry is joined back. Results are the same.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -56,22 +57,43 @@ def with_group_totals(df: DataFrame, keys: Sequence[str], **aggs: Column) -> Dat
     """Attach per-group aggregates by grouping and joining.
 
     Unlike an unordered window this combines map-side and never holds a whole
-    group in one task. For a large input the totals are stored first: the planner
+    group in one task. The totals are stored first: the planner
     then knows their size and broadcasts them if they are small, which spares the
     large side its shuffle; otherwise a hot key is left to the skew-join split.
     """
-    totals = df.groupBy(*keys).agg(*[x.alias(n) for n, x in aggs.items()])
-    if df.count() > hot_rows(df):
-        totals = materialise(totals, "totals")
+    totals = materialise(df.groupBy(*keys).agg(*[x.alias(n) for n, x in aggs.items()]), "totals")
     return join_null_safe(df, totals, keys)
 
 
+@dataclass(frozen=True)
+class Heat:
+    """Which groups are hot: none, all, or those of a stored table of keys. It holds for
+    every DataFrame with the same rows in each group, so steps that only add columns can
+    share it."""
+
+    none: bool = False
+    keys: DataFrame | None = None
+
+
+def heat_of(df: DataFrame, keys: Sequence[str], at_most: int | None = None) -> Heat:
+    """Counts the rows, and the groups if there are many rows."""
+    limit = hot_rows(df)
+    if at_most is not None and at_most <= limit or df.count() <= limit:
+        return Heat(none=True)
+    if not keys:
+        return Heat()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = materialise(counts.where(F.col("_n") > limit).select(*keys), "hot-keys")
+    return Heat(none=True) if heavy.isEmpty() else Heat(keys=heavy)
+
+
 def by_heat(
     df: DataFrame,
     keys: Sequence[str],
     plain: Callable[[DataFrame], DataFrame],
     sliced: Callable[[DataFrame], DataFrame],
     at_most: int | None = None,
+    heat: Heat | None = None,
 ) -> DataFrame:
     """Run ``plain`` on groups that fit one task and ``sliced`` on the others.
 
@@ -80,21 +102,17 @@ def by_heat(
     its size suggests, so the limit is the same for every table. When hot keys exist
     the input is written once, because the sliced plan reads it for counts, cut
     points and summaries. Both plans give the columns and types of ``plain``.
+    ``heat``: the answer, if a former step of a chain has found it.
     """
-    limit = hot_rows(df)
-    if at_most is not None and at_most <= limit:
-        return plain(df)
-    if df.count() <= limit:
-        return plain(df)
-    if not keys:
-        return _typed_like(plain(df), sliced(materialise(df, "ordered")))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = materialise(counts.where(F.col("_n") > limit).select(*keys), "hot-keys")
-    if heavy.isEmpty():
+    heat = heat or heat_of(df, keys, at_most)
+    if heat.none:
         return plain(df)
-    df = materialise(df, "ordered")
-    usual = plain(join_null_safe(df, heavy, keys, "left_anti"))
-    return usual.unionByName(_typed_like(usual, sliced(join_null_safe(df, heavy, keys, "left_semi"))))
+    if not hasattr(df, "millrace_path"):
+        df = materialise(df, "ordered")
+    if heat.keys is None:
+        return _typed_like(plain(df), sliced(df))
+    usual = plain(join_null_safe(df, heat.keys, keys, "left_anti"))
+    return usual.unionByName(_typed_like(usual, sliced(join_null_safe(df, heat.keys, keys, "left_semi"))))
 
 
 def _typed_like(model: DataFrame, df: DataFrame) -> DataFrame:
@@ -141,6 +159,7 @@ def running(
     keys: Sequence[str],
     order: Sequence[str],
     at_most: int | None = None,
+    heat: Heat | None = None,
     **aggs: tuple[str, Column],
 ) -> DataFrame:
     """Running aggregates, ROWS from the start to the current row.
@@ -153,7 +172,7 @@ def running(
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(START, 0)
         return d.withColumns({n: _FOLD[f][0](x).over(w) for n, (f, x) in aggs.items()})
 
-    return by_heat(df, keys, plain, lambda d: running_sliced(d, keys, order, **aggs), at_most)
+    return by_heat(df, keys, plain, lambda d: running_sliced(d, keys, order, **aggs), at_most, heat)
 
 
 def running_sliced(
@@ -192,6 +211,7 @@ def neighbours(
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
     at_most: int | None = None,
+    heat: Heat | None = None,
 ) -> DataFrame:
     """LAG and LEAD by one row: ``previous={"prev_val": "val"}``."""
     previous, following = previous or {}, following or {}
@@ -237,7 +257,7 @@ def neighbours(
             }
         ).drop("_group", "_slice", "_inner", "_outer", "_before", "_after")
 
-    return by_heat(df, keys, plain, sliced, at_most)
+    return by_heat(df, keys, plain, sliced, at_most, heat)
 
 
 def row_frames(
@@ -245,6 +265,7 @@ def row_frames(
     keys: Sequence[str],
     order: Sequence[str],
     at_most: int | None = None,
+    heat: Heat | None = None,
     **aggs: tuple[int, int, Column],
 ) -> DataFrame:
     """Aggregates over ROWS BETWEEN low AND high around the current row:
@@ -276,7 +297,7 @@ def row_frames(
         d = framed(d, W.partitionBy(*keys, F.col("_place.block")).orderBy("_rn"))
         return d.where(~F.col("_place.copy")).drop("_rn", "_place")
 
-    return by_heat(df, keys, plain, sliced, at_most)
+    return by_heat(df, keys, plain, sliced, at_most, heat)
 
 
 def moving_sums(
@@ -287,8 +308,9 @@ def moving_sums(
 
     For exact types. NULLs do not count: a frame without known values gives NULL.
     """
+    heat = heat_of(df, keys)
     d = running(
-        df, keys, order,
+        df, keys, order, heat=heat,
         **{f"_s_{n}": ("sum", x) for n, (_, _, x) in sums.items()},
         **{f"_k_{n}": ("count", x) for n, (_, _, x) in sums.items()},
     )
@@ -297,7 +319,7 @@ def moving_sums(
         for part in ("s", "k"):
             ends[f"_hi_{part}_{n}"] = (high, high, F.max(f"_{part}_{n}"))
             ends[f"_lo_{part}_{n}"] = (low - 1, low - 1, F.max(f"_{part}_{n}"))
-    d = row_frames(d, keys, order, **ends)
+    d = row_frames(d, keys, order, heat=heat, **ends)
     between = lambda part, n: F.col(f"_hi_{part}_{n}") - F.coalesce(f"_lo_{part}_{n}", F.lit(0))
     d = d.withColumns({n: F.when(between("k", n) > 0, between("s", n)) for n in sums})
     return d.drop(*ends, *[f"_{part}_{n}" for n in sums for part in ("s", "k")])
