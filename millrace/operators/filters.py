@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.plans.ordered import join_null_safe
+
 
 def optional_filters(df: DataFrame, **wanted: Any) -> DataFrame:
     """Equality filters for the arguments that are not None.
@@ -59,3 +62,9 @@ def not_in(left: DataFrame, column: str, values: DataFrame, value: str) -> DataF
 def single_value(df: DataFrame, column: str) -> Column:
     """The one value of a query: NULL for no row, an error for several."""
     return df.select(column).scalar()
+
+
+def rows_at_maximum(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """All rows of each group that have its largest value; ties stay, NULLs do not count."""
+    best = df.groupBy(*keys).agg(F.max(column).alias("_best"))
+    return join_null_safe(df, best, keys).where(F.col(column) == F.col("_best")).drop("_best")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,12 +12,14 @@ from millrace.sources.tables import materialise
 
 
 def edges_from_keys(
-    pairs: DataFrame, sources: DataFrame, targets: DataFrame, source_key: str, target_key: str
+    pairs: DataFrame, sources: DataFrame, targets: DataFrame, source_key: str, target_key: str,
+    attributes: Sequence[str] = (),
 ) -> DataFrame:
-    """Edges (src, dst) for pairs of business keys; node tables have ``node_id``."""
+    """Edges (src, dst) for pairs of business keys, with attributes of the pairs such as a
+    rating; node tables have ``node_id``."""
     a = sources.select(F.col("node_id").alias("src"), source_key)
     b = targets.select(F.col("node_id").alias("dst"), target_key)
-    return pairs.join(a, source_key).join(b, target_key).select("src", "dst")
+    return pairs.join(a, source_key).join(b, target_key).select("src", "dst", *attributes)
 
 
 def two_hops(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,15 +82,16 @@ def asof_join(
 
 
 def id_list(spark: SparkSession, text: str, sep: str = ",") -> DataFrame:
-    """A delimited id list argument as rows (pos, id)."""
-    ids = [int(x) for x in text.split(sep)]
+    """An id list argument as rows (pos, id): delimited, or a JSON array of numbers."""
+    ids = json.loads(text) if text.lstrip().startswith("[") else [int(x) for x in text.split(sep)]
     return spark.createDataFrame(list(enumerate(ids, start=1)), "pos bigint, id bigint")
 
 
 def join_id_list(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """Rows of the listed ids with their list position; the list is an argument
-    typed by the caller, small by nature."""
-    return df.join(F.broadcast(ids), F.col(key) == F.col("id")).drop("id")
+    """Rows of the listed ids with their list position. The list may be an argument
+    typed by the caller (``id_list``) or any table with ``id`` and ``pos``; the planner
+    broadcasts it if it is small."""
+    return df.join(ids, F.col(key) == F.col("id")).drop("id")
 
 
 def divide(df: DataFrame, key: str, member: str, divisor: DataFrame) -> DataFrame:

@@ -255,3 +255,22 @@ def test_diff_counts_copies(spark, rows):
     old = spark.createDataFrame([(1,), (1,), (1,), (None,)], "x int")
     new = spark.createDataFrame([(1,), (2,), (2,), (None,)], "x int")
     assert rows(U.table_diff(old, new)) == [(1, "old"), (1, "old"), (2, "new"), (2, "new")]
+
+
+def test_rows_at_the_maximum_keep_ties(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("a", 3), ("b", None), (None, 2), (None, 2)], "k string, v int")
+    assert rows(FI.rows_at_maximum(df, ["k"], "v")) == [("a", 3), ("a", 3), (None, 2), (None, 2)]
+
+
+def test_id_lists_of_three_kinds(spark, rows):
+    df = spark.range(5)
+    assert rows(J.id_list(spark, "[3, 1]")) == rows(J.id_list(spark, "3,1")) == [(1, 3), (2, 1)]
+    table = spark.range(3, 9).select(F.lit(1).alias("pos"), "id")
+    assert rows(J.join_id_list(df.toDF("n"), "n", table)) == [(3, 1), (4, 1)]
+
+
+def test_edges_keep_their_attributes(spark, rows):
+    nodes = spark.createDataFrame([(10, "x"), (11, "y")], "node_id int, name string")
+    pairs = spark.createDataFrame([("x", "y", 5)], "a string, b string, rating int")
+    found = G.edges_from_keys(pairs, nodes.toDF("node_id", "a"), nodes.toDF("node_id", "b"), "a", "b", ["rating"])
+    assert rows(found) == [(10, 11, 5)]
