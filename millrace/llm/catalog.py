@@ -31,7 +31,7 @@ def query(build):
 
 @query
 def op3_exact_dedup(t: Tables) -> DataFrame:
-    return exact_duplicates(t.documents)
+    return exact_duplicates(t.documents).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 ORACLES["op3_exact_dedup"] = r"""

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import text_or_empty
+from millrace.llm.common import map_slices, text_or_empty
 from millrace.llm.hashing import CHUNK_BYTES, Rolling, maybe_in, mix
 from millrace.sources.tables import materialise
 
@@ -73,7 +73,7 @@ def segments(data: np.ndarray, bounds: np.ndarray, min_bytes: int, gram: int) ->
     return grams[chosen[first]].view("int64"), rolling.of(first, end).view("int64"), first, end - first
 
 
-def _pieces(texts: pd.Series, min_bytes: int) -> Iterator[tuple[list[tuple[int, int]], bytes, list[int]]]:
+def _pieces(texts: list[str], min_bytes: int) -> Iterator[tuple[list[tuple[int, int]], bytes, list[int]]]:
     """Chunks of whole texts; a text longer than a chunk comes in pieces that overlap by a
     window less a byte. Each piece: number of its text, place in the text."""
     owners, parts, size = [], [], 0
@@ -102,25 +102,22 @@ def find_segments(texts: DataFrame, min_bytes: int, gram: int) -> DataFrame:
     """``doc_id, t, anchor, segment, start, size`` of all windows of ``texts`` (``doc_id``,
     ``t``, ``text``)."""
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids, none, marks = (batch[c].to_numpy() for c in ("doc_id", "none", "t"))
-            for owners, raw, sizes in _pieces(batch["text"], min_bytes):
+    def find(parts: Iterator[dict]) -> Iterator[dict]:
+        for part in parts:
+            ids, marks = part["doc_id"], part["t"]
+            for owners, raw, sizes in _pieces(part["text"], min_bytes):
                 bounds = np.concatenate([[0], np.cumsum(sizes)])
                 anchor, segment, start, size = segments(np.frombuffer(raw, "uint8"), bounds, min_bytes, gram)
                 piece = np.searchsorted(bounds, start, "right") - 1
-                number = np.array([n for n, _ in owners])[piece]
+                number = np.array([n for n, _ in owners])[piece].tolist()
                 begin = np.array([b for _, b in owners])[piece]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": ids[number], "none": none[number], "t": marks[number], "anchor": anchor, "segment": segment,
-                        "start": begin + start - bounds[piece], "size": size.astype("int32"),
-                    }
-                )
+                yield {
+                    "doc_id": [ids[n] for n in number], "t": [marks[n] for n in number], "anchor": anchor,
+                    "segment": segment, "start": begin + start - bounds[piece], "size": size,
+                }
 
-    schema = "doc_id long, none boolean, t long, anchor long, segment long, start long, size int"
-    found = flagged(texts).mapInPandas(find, schema)
-    return found.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
+    schema = "doc_id long, t long, anchor long, segment long, start long, size long"
+    return map_slices(texts.select("doc_id", "t", "text"), schema, find)
 
 
 def repeated_windows(parts: list[bytes], min_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,7 +223,7 @@ def _bytes_of(open_: DataFrame, texts: DataFrame, min_bytes: int) -> DataFrame:
     raw = F.encode("text", "UTF-8")
     part = F.explode("parts").alias("p")
     rows = met.select("doc_id", "t", raw.alias("raw"), part)
-    return rows.select("doc_id", "t", "p.*", F.substring("raw", F.col("p.start").cast("int") + 1, F.col("p.size")).alias("data"))
+    return rows.select("doc_id", "t", "p.*", F.substring("raw", F.col("p.start").cast("int") + 1, F.col("p.size").cast("int")).alias("data"))
 
 
 OUT = "doc_id long, none boolean, t long, start long, a int, b int, earlier boolean"
@@ -358,6 +355,7 @@ def remove_repeats(
         (F.coalesce(id_, F.lit(0)) == spans["_d"]) & (id_.isNull() == spans["_n"]) & (F.xxhash64(text) == spans["_t"]),
         "left",
     ).drop("_d", "_n", "_t", "_maybe")
-    free = marked.where("NOT _maybe").drop("_maybe").withColumn("_spans", F.lit(None).cast(spans.schema["_spans"].dataType))
-    met = met.unionByName(free)
-    return met.withColumn("_n_bytes", F.octet_length(text).cast("long")).withColumn("_kept", cut(text, F.col("_spans")))
+    met = met.withColumn("_kept", cut(text, F.col("_spans")))
+    none = F.lit(None).cast(spans.schema["_spans"].dataType)
+    free = marked.where("NOT _maybe").drop("_maybe").withColumn("_spans", none).withColumn("_kept", F.encode(text, "UTF-8"))
+    return met.unionByName(free).withColumn("_n_bytes", F.octet_length(text).cast("long"))
