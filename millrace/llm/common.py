@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,29 @@ from millrace.sources.tables import materialise
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+#: Rows whose texts are Python objects at one time.
+SLICE_ROWS = 256
+
+KINDS = {
+    "long": pa.int64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(),
+    "array<long>": pa.list_(pa.int64()),
+}
+
+
+def map_slices(df: DataFrame, schema: str, work: Callable[[Iterator[dict]], Iterator[dict]]) -> DataFrame:
+    """``work`` maps the rows of a partition, as column lists of a few rows, to column lists
+    of ``schema``. Arrow batches are never turned into Python objects as a whole."""
+    fields = [f.split() for f in schema.split(", ")]
+    into = pa.schema([(name, KINDS[kind]) for name, kind in fields])
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = (b.slice(i, SLICE_ROWS).to_pydict() for b in batches for i in range(0, b.num_rows, SLICE_ROWS))
+        for columns in work(parts):
+            yield pa.RecordBatch.from_pydict(columns, schema=into)
+
+    return df.mapInArrow(go, schema)
+
+
 def text_or_empty(column: str | Column = "text") -> Column:
     """A text column in which null counts as the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

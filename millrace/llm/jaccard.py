@@ -12,7 +12,8 @@ one set from the start.
    token are ordered by set size, and within a list a partner is skipped when its size or
    the places of the token rule a link out: everything behind it in the list goes with it.
    Sets of one component skip each other, and a list within one component is not read.
-3. Answers. For a candidate pair (y, z) the pivots' overlap is computed first; it bounds the
+3. Answers. A parity sketch of each set (256 bytes) bounds the overlap of a candidate pair
+   and rules most out. For a pair (y, z) that is left, the pivots' overlap is computed first; it bounds the
    pair's own overlap to within the differences of y and z from their pivots, which
    decides most pairs of similar sets. What is left is computed itself.
 
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stamp, text_or_empty
+from millrace.llm.common import map_slices, stamp, text_or_empty
 from millrace.llm.hashing import CHUNK_BYTES, Rolling, maybe_in, mix
 from millrace.sources.tables import materialise
 
@@ -39,10 +40,14 @@ WORDS = 5
 #: Links need an intersection of at least SHARE of SCALE parts of the union.
 SHARE, SCALE = 75, 100
 BANDS, BAND_ROWS = 6, 2
-COUNTERS = 1 << 20
+COUNTERS = 1 << 21
+#: Bits of the parity sketch of a set.
+PARITY = 2048
 COUNT_SLICES = 64
 SUM_ROWS = 256
 BUCKET_POSTINGS = 1_000_000
+#: Postings a task packs at one time.
+HELD_POSTINGS = 700_000
 MULTIPLIERS = mix(np.arange(1, 64, dtype="uint64")) | np.uint64(1)
 
 
@@ -102,46 +107,58 @@ def _bands(tokens: np.ndarray) -> list[int]:
     return mix((packed * MULTIPLIERS[:BAND_ROWS]).sum(1, dtype="uint64")).view("int64").tolist()
 
 
+def _parity(tokens: np.ndarray) -> bytes:
+    """One bit for each of PARITY classes of tokens: whether the set has an odd number of
+    them. Two sets differ by at least as many tokens as their sketches differ by bits."""
+    odd = np.bincount((tokens >> np.uint64(20)).astype("int64") % PARITY, minlength=PARITY) & 1
+    return np.packbits(odd.astype("uint8")).tobytes()
+
+
 def _slot(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(40)).astype("int64") & (COUNTERS - 1)
 
 
 def describe(docs: DataFrame, words: int) -> DataFrame:
-    """One row for each document (``doc_id, none, t, n, key, key2, bands``; ``none``: without
-    id, which is then 0) and, from each task, its counts of tokens in slices (``slice, task,
-    counts``). ``slice`` is -1 for documents; nothing is null, so that no number passes
-    through a floating-point column."""
-    schema = "doc_id long, none boolean, t long, n long, key long, key2 long, bands array<long>, slice int, task long, counts binary"
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, task = np.zeros(COUNTERS, "int64"), 0
-        for batch in batches:
-            rows = []
-            found = shingle_sets(batch["text"].tolist(), words)
-            for doc_id, none, t, tokens in zip(batch["doc_id"], batch["none"], batch["t"], found):
-                task ^= int(t) & 0xFFFFFFFF
+    """One row for each document (``doc_id, t, n, key, key2, bands, parity``) and, from each task,
+    its counts of tokens in slices (``slice, task, counts``); ``slice`` is -1 for documents."""
+    schema = "doc_id long, t long, n long, key long, key2 long, bands array<long>, parity binary, slice long, task long, counts binary"
+
+    def work(parts: Iterator[dict]) -> Iterator[dict]:
+        counts, task = np.zeros(COUNTERS, "int32"), 0
+        for part in parts:
+            sets = shingle_sets(part["text"], words)
+            keys = [_set_keys(tokens) if len(tokens) else (0, 0) for tokens in sets]
+            for t, tokens in zip(part["t"], sets):
+                task ^= t & 0xFFFFFFFF
                 np.add.at(counts, _slot(tokens), 1)
-                keys, bands = (_set_keys(tokens), _bands(tokens)) if len(tokens) else ((0, 0), [])
-                rows.append((doc_id, none, t, len(tokens), *keys, bands, -1, 0, b""))
-            yield pd.DataFrame(rows, columns=names)
-        parts = np.split(counts, COUNT_SLICES)
-        full = [(0, False, 0, 0, 0, 0, [], i, task, part.tobytes()) for i, part in enumerate(parts) if part.any()]
-        yield pd.DataFrame(full, columns=names)
-
-    whole = docs.withColumn("none", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))
-    return whole.mapInPandas(work, schema)
+            rows = len(sets)
+            yield {
+                "doc_id": part["doc_id"], "t": part["t"], "n": [len(tokens) for tokens in sets],
+                "key": [k for k, _ in keys], "key2": [k for _, k in keys],
+                "bands": [_bands(tokens) if len(tokens) else [] for tokens in sets],
+                "parity": [_parity(tokens) for tokens in sets],
+                "slice": [-1] * rows, "task": [0] * rows, "counts": [b""] * rows,
+            }
+        slices = np.split(counts, COUNT_SLICES)
+        full = [i for i, part in enumerate(slices) if part.any()]
+        none = [0] * len(full)
+        yield {
+            "doc_id": none, "t": none, "n": none, "key": none, "key2": none, "bands": [[]] * len(full), "parity": [b""] * len(full),
+            "slice": full, "task": [task] * len(full), "counts": [slices[i].tobytes() for i in full],
+        }
+
+    return map_slices(docs, schema, work)
 
 
 def rarity(parts: DataFrame) -> np.ndarray:
-    """Class of each counter, 0 for rare: doublings of the mean count. Sums the tasks' counts
-    a bounded number at a time."""
+    """The counters summed over all tasks, a bounded number of tasks at a time."""
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, "int64") for c in group["counts"])
+        total = sum(np.frombuffer(c, "uint32").astype("int64") for c in group["counts"])
+        total = np.minimum(total, 0xFFFFFFFF).astype("uint32")
         return pd.DataFrame({"slice": [group["slice"].iloc[0]], "task": [int(group["task"].iloc[0])], "counts": [total.tobytes()]})
 
-    schema = "slice int, task long, counts binary"
+    schema = "slice long, task long, counts binary"
     rows = parts.where("slice >= 0").select("slice", "task", "counts")
     left = rows.groupBy("slice").count().agg(F.max("count")).first()[0] or 0
     while left > 1:
@@ -149,12 +166,11 @@ def rarity(parts: DataFrame) -> np.ndarray:
         salt = F.pmod(F.xxhash64("task", F.lit(groups)), F.lit(groups)) if groups > 1 else F.lit(0)
         rows = materialise(rows.groupBy("slice", salt.alias("salt")).applyInPandas(add, schema), "counts")
         left = groups
-    counts = np.zeros(COUNTERS, "int64")
+    counts = np.zeros(COUNTERS, "uint32")
     width = COUNTERS // COUNT_SLICES
     for r in rows.toLocalIterator():
-        counts[r["slice"] * width : (r["slice"] + 1) * width] += np.frombuffer(r["counts"], "int64")
-    mean = max(1.0, counts.mean())
-    return np.clip(np.log2(np.maximum(counts, 1) / mean), 0, 60).astype("uint8")
+        counts[r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["counts"], "uint32")
+    return counts
 
 
 def _text_of(sets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -176,16 +192,32 @@ def overlaps(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int) ->
     met = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
     met = met.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for whole in batches:
-            for i in range(0, len(whole), 512):
-                batch = whole.iloc[i : i + 512]
-                texts = dict(zip(batch["a"], batch["ta"])) | dict(zip(batch["b"], batch["tb"]))
-                found = dict(zip(texts, shingle_sets(list(texts.values()), words)))
-                o = [len(np.intersect1d(found[a], found[b], assume_unique=True)) for a, b in zip(batch["a"], batch["b"])]
-                yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "o": o})
+    def count(parts: Iterator[dict]) -> Iterator[dict]:
+        for part in parts:
+            a, b = part["a"], part["b"]
+            texts = dict(zip(a, part["ta"])) | dict(zip(b, part["tb"]))
+            found = dict(zip(texts, shingle_sets(list(texts.values()), words)))
+            o = [len(np.intersect1d(found[x], found[y], assume_unique=True)) for x, y in zip(a, b)]
+            yield {"a": a, "b": b, "o": o}
+
+    return materialise(map_slices(met.select("a", "b", "ta", "tb"), "a long, b long, o long", count), "overlaps")
+
+
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (``a, b, na, nb``) that the parity sketches do not rule out."""
+    sketch = sets.select("key", "parity")
+    met = pairs.join(sketch.select(F.col("key").alias("a"), F.col("parity").alias("x")), "a")
+    met = met.join(sketch.select(F.col("key").alias("b"), F.col("parity").alias("y")), "b")
+
+    def keep(parts: Iterator[dict]) -> Iterator[dict]:
+        for part in parts:
+            x, y = (np.frombuffer(b"".join(part[c]), "uint8").reshape(-1, PARITY // 8) for c in ("x", "y"))
+            differ = np.bitwise_count(x ^ y).sum(1, dtype="int64")
+            both = np.array(part["na"]) + np.array(part["nb"])
+            kept = np.flatnonzero((both - differ) * (SCALE + SHARE) >= 2 * both * SHARE)
+            yield {c: [part[c][i] for i in kept] for c in ("a", "b", "na", "nb")}
 
-    return materialise(met.mapInPandas(count, "a long, b long, o long"), "overlaps")
+    return map_slices(met.select("a", "b", "na", "nb", "x", "y"), "a long, b long, na long, nb long", keep)
 
 
 def _links(o: Column, na: Column, nb: Column) -> Column:
@@ -215,53 +247,71 @@ def components(links: DataFrame) -> DataFrame:
     return materialise(labels, "components")
 
 
-def postings(rows: DataFrame, classes: np.ndarray, buckets: int, words: int) -> DataFrame:
+def postings(rows: DataFrame, common: np.ndarray, buckets: int, words: int) -> DataFrame:
     """Prefix tokens of the sets of ``rows`` (``key, comp, text``), packed: for each bucket of
-    tokens, the tokens, the number of the set and the place, beside the sets' own table."""
+    tokens, the tokens, the number of the set and the place, beside the sets' own table. A
+    null key is that of a set on its own and is computed here."""
     schema = "bucket long, token binary, number binary, place binary, keys array<long>, comps array<long>, sizes array<long>"
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            token, number, place, keys, comps, sizes = [], [], [], [], [], []
-            for key, comp, tokens in zip(batch["key"], batch["comp"], shingle_sets(batch["text"].tolist(), words)):
-                n = len(tokens)
-                order = np.lexsort((tokens, classes[_slot(tokens)]))[: n - math.ceil(n * SHARE / SCALE) + 1]
-                token.append(tokens[order])
-                number.append(np.full(len(order), len(keys), "uint32"))
-                place.append(np.arange(len(order), dtype="uint32"))
-                keys.append(key)
-                comps.append(comp)
-                sizes.append(n)
-            if not token:
-                continue
-            token, number, place = map(np.concatenate, (token, number, place))
-            bucket = (token % np.uint64(buckets)).astype("int64")
-            order = np.argsort(bucket, kind="stable")
-            bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            short = (mix(token) >> np.uint64(32)).astype("uint32")
-            for b in np.unique(bucket):
-                here = order[bounds[b] : bounds[b + 1]]
-                used, inner = np.unique(number[here], return_inverse=True)
-                yield pd.DataFrame(
-                    {
-                        "bucket": [b], "token": [short[here].tobytes()], "number": [inner.astype("uint32").tobytes()],
-                        "place": [place[here].tobytes()], "keys": [[keys[i] for i in used]],
-                        "comps": [[comps[i] for i in used]], "sizes": [[sizes[i] for i in used]],
-                    }
-                )
-
-    return rows.mapInPandas(pack, schema)
+    def packed(token, number, place, keys, comps, sizes) -> Iterator[dict]:
+        token, number, place = map(np.concatenate, (token, number, place))
+        keys, comps, sizes = (np.array(c, "int64") for c in (keys, comps, sizes))
+        bucket = (token % np.uint64(buckets)).astype("int64")
+        order = np.argsort(bucket, kind="stable")
+        bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        short = (mix(token) >> np.uint64(32)).astype("uint32")
+        for b in np.unique(bucket).tolist():
+            here = order[bounds[b] : bounds[b + 1]]
+            used, inner = np.unique(number[here], return_inverse=True)
+            yield {
+                "bucket": [b], "token": [short[here].tobytes()], "number": [inner.astype("uint32").tobytes()],
+                "place": [place[here].tobytes()], "keys": [keys[used]], "comps": [comps[used]], "sizes": [sizes[used]],
+            }
+
+    def pack(parts: Iterator[dict]) -> Iterator[dict]:
+        held, n = ([], [], [], [], [], []), 0
+        for part in parts:
+            for key, comp, tokens in zip(part["key"], part["comp"], shingle_sets(part["text"], words)):
+                size = len(tokens)
+                if not size:
+                    continue
+                if key is None:
+                    key = comp = _set_keys(tokens)[0]
+                order = np.lexsort((tokens, common[_slot(tokens)]))[: size - math.ceil(size * SHARE / SCALE) + 1]
+                row = (tokens[order], np.full(len(order), len(held[3]), "uint32"), np.arange(len(order), dtype="uint32"), key, comp, size)
+                for column, value in zip(held, row):
+                    column.append(value)
+                n += len(order)
+            if n > HELD_POSTINGS:
+                yield from packed(*held)
+                held, n = ([], [], [], [], [], []), 0
+        if n:
+            yield from packed(*held)
+
+    return map_slices(rows.select("key", "comp", "text"), schema, pack)
 
 
 def _candidates(group: pd.DataFrame) -> pd.DataFrame:
     """Candidate pairs of one bucket: neighbours in a token's list, one step further each
     time; an entry stops at the first partner that is too large for it."""
-    parts = []
-    for row in group.itertuples(index=False):
-        number = np.frombuffer(row.number, "uint32")
-        own = [np.asarray(c, "int64")[number] for c in (row.keys, row.comps, row.sizes)]
-        parts.append((np.frombuffer(row.token, "uint32"), *own, np.frombuffer(row.place, "uint32").astype("int64")))
+    tokens = [np.frombuffer(t, "uint32") for t in group["token"]]
+    together = np.concatenate(tokens)
+    order = np.argsort(together, kind="stable")
+    same = np.diff(together[order]) == 0
+    several = np.zeros(len(order), bool)  # tokens of one set only are left out at once
+    several[order[1:]] = same
+    several[order[:-1]] |= same
+    parts, at = [], 0
+    for row, own in zip(group.itertuples(index=False), tokens):
+        here = several[at : at + len(own)]
+        at += len(own)
+        number = np.frombuffer(row.number, "uint32")[here]
+        columns = [np.asarray(c, "int64")[number] for c in (row.keys, row.comps, row.sizes)]
+        parts.append((own[here], *columns, np.frombuffer(row.place, "uint32")[here].astype("int64")))
+    del together, order, same, several
     token, key, comp, size, place = map(np.concatenate, zip(*parts))
+    if not len(token):
+        return pd.DataFrame({"a": np.zeros(0, "int64"), "b": np.zeros(0, "int64")})
     order = np.lexsort((place, key, size, token))
     token, key, comp, size, place = (c[order] for c in (token, key, comp, size, place))
     # Lists with one component only are skipped.
@@ -304,11 +354,11 @@ def jaccard_components(
     text = text_or_empty(text_col)
     stamped = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), stamp(text_col).alias("t"))
     described = materialise(describe(stamped, words), "shingle-sets")
-    listed = described.where("slice < 0").withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id")))
+    listed = described.where("slice < 0")
     place = F.struct("doc_id", "t")
     sets = listed.where("n > 0").groupBy("key").agg(
         F.min(place).alias("place"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n_same"),
-        F.first("n").alias("n"), F.first("bands").alias("bands"),
+        F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity"),
         F.when(F.min("key2") != F.max("key2"), F.raise_error(F.lit("two sets share a key"))).alias("clash"),
     )
     sets = materialise(sets.where("clash IS NULL").drop("clash"), "distinct-sets")
@@ -318,7 +368,7 @@ def jaccard_components(
     band = sets.select("key", F.posexplode("bands").alias("band", "value"))
     pivots = band.groupBy("band", "value").agg(F.min("key").alias("pivot"), F.count(F.lit(1)).alias("k")).where("k > 1")
     star = band.join(pivots, ["band", "value"]).where("key <> pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b"))
-    known = overlaps(star, sets, stamped, words)
+    known = overlaps(possible(_with_sizes(star.distinct(), sized), sets), sets, stamped, words)
     known = _with_sizes(known, sized)
     linked = known.where(_links(F.col("o"), F.col("na"), F.col("nb")))
     first = components(linked)
@@ -336,19 +386,12 @@ def jaccard_components(
     own = _text_of(labelled.select("key", "place", "comp"), stamped.where(aside))
     alone = stamped.where(~aside)
 
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for i in range(0, len(batch), 1024):
-                part = batch.iloc[i : i + 1024]
-                kept = [(_set_keys(s)[0], t) for s, t in zip(shingle_sets(part["text"].tolist(), words), part["text"]) if len(s)]
-                yield pd.DataFrame({"key": [k for k, _ in kept], "comp": [k for k, _ in kept], "text": [t for _, t in kept]})
-
-    single = alone.select("text").mapInPandas(keyed, "key long, comp long, text string")
-    rows = single.unionByName(own.select("key", "comp", "text"))
-    classes = rarity(described)
-    lists = postings(rows, classes, buckets, words)
+    none = F.lit(None).cast("long")
+    rows = alone.select(none.alias("key"), none.alias("comp"), "text").unionByName(own.select("key", "comp", "text"))
+    common = rarity(described)
+    lists = postings(rows, common, buckets, words)
     candidates = lists.groupBy("bucket").applyInPandas(_candidates, "a long, b long").distinct()
-    candidates = materialise(_with_sizes(candidates, sized), "candidates")
+    candidates = materialise(possible(_with_sizes(candidates, sized), sets), "candidates")
 
     # 3. answers
     more = _answers(candidates, closest, sized, sets, stamped, words)
