@@ -11,7 +11,9 @@ one set from the start.
    a table of fixed size). Two sets that link share a token in their prefixes. Lists of a
    token are ordered by set size, and within a list a partner is skipped when its size or
    the places of the token rule a link out: everything behind it in the list goes with it.
-   Sets of one component skip each other, and a list within one component is not read.
+   Sets of one component skip each other, and a list within one component is not read. A
+   first round takes neighbours in each list only, which joins large groups of similar sets
+   by a number of pairs that grows with the lists; the second takes all that is left.
 3. Answers. A parity sketch of each set (256 bytes) bounds the overlap of a candidate pair
    and rules most out. For a pair (y, z) that is left, the pivots' overlap is computed first; it bounds the
    pair's own overlap to within the differences of y and z from their pivots, which
@@ -291,9 +293,8 @@ def postings(rows: DataFrame, common: np.ndarray, buckets: int, words: int) -> D
     return map_slices(rows.select("key", "comp", "text"), schema, pack)
 
 
-def _candidates(group: pd.DataFrame) -> pd.DataFrame:
-    """Candidate pairs of one bucket: neighbours in a token's list, one step further each
-    time; an entry stops at the first partner that is too large for it."""
+def _read_lists(group: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """``token, key, comp, size, place`` of the tokens of a bucket that several sets have."""
     tokens = [np.frombuffer(t, "uint32") for t in group["token"]]
     together = np.concatenate(tokens)
     order = np.argsort(together, kind="stable")
@@ -310,6 +311,35 @@ def _candidates(group: pd.DataFrame) -> pd.DataFrame:
         parts.append((own[here], *columns, np.frombuffer(row.place, "uint32")[here].astype("int64")))
     del together, order, same, several
     token, key, comp, size, place = map(np.concatenate, zip(*parts))
+    return token, key, comp, size, place
+
+
+def _may_link(size_x, size_y, place_x, place_y) -> np.ndarray:
+    """Whether the places of a first common token leave enough to link."""
+    most = 1 + np.minimum(size_x - 1 - place_x, size_y - 1 - place_y)
+    return most * (SCALE + SHARE) >= (size_x + size_y) * SHARE
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+
+
+def _neighbours(group: pd.DataFrame) -> pd.DataFrame:
+    """Each set with its neighbours in a token's list, in an order of its own for each token:
+    as many pairs as entries, and other partners in each list."""
+    token, key, comp, size, place = _read_lists(group)
+    order = np.lexsort((mix(key.view("uint64") ^ mix(token.astype("uint64"))), token))
+    token, key, comp, size, place = (c[order] for c in (token, key, comp, size, place))
+    x, y = np.arange(len(token) - 1), np.arange(1, len(token))
+    hit = (token[x] == token[y]) & (comp[x] != comp[y]) & _may_link(size[x], size[y], place[x], place[y])
+    pairs = _pairs(key[x[hit]], key[y[hit]])
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def _candidates(group: pd.DataFrame) -> pd.DataFrame:
+    """Candidate pairs of one bucket: partners in a token's list, one step further each
+    time; an entry stops at the first partner that is too large for it."""
+    token, key, comp, size, place = _read_lists(group)
     if not len(token):
         return pd.DataFrame({"a": np.zeros(0, "int64"), "b": np.zeros(0, "int64")})
     order = np.lexsort((place, key, size, token))
@@ -329,9 +359,8 @@ def _candidates(group: pd.DataFrame) -> pd.DataFrame:
         small = size[x] * (SCALE + SHARE) - 2 * SHARE * size[x]
         goes_on = (token[x] == token[y]) & (size[x] * SCALE >= size[y] * SHARE) & (place[x] * (SCALE + SHARE) <= small)
         at, x, y = at[goes_on], x[goes_on], y[goes_on]
-        most = 1 + np.minimum(size[x] - 1 - place[x], size[y] - 1 - place[y])
-        hit = (comp[x] != comp[y]) & (most * (SCALE + SHARE) >= (size[x] + size[y]) * SHARE)
-        found.append(np.stack([np.minimum(key[x[hit]], key[y[hit]]), np.maximum(key[x[hit]], key[y[hit]])], 1))
+        hit = (comp[x] != comp[y]) & _may_link(size[x], size[y], place[x], place[y])
+        found.append(_pairs(key[x[hit]], key[y[hit]]))
         if len(found) > 256:
             found = [np.unique(np.concatenate(found), axis=0)]
         step += 1
@@ -375,33 +404,48 @@ def jaccard_components(
     closest = linked.groupBy(F.col("a").alias("key")).agg(F.max(F.struct("o", "b")).alias("best"))
     closest = materialise(closest.select("key", F.col("best.b").alias("pivot"), F.col("best.o").alias("shared")), "pivots")
 
-    # 2. index
+    # 2. index: neighbours in the lists first, so that large groups of similar sets become
+    # components before all partners are asked for
+    links = linked.select("a", "b")
+    common = rarity(described)
+    for neighbours_only in (True, False):
+        found = _indexed(listed, sets, stamped, first, common, words, neighbours_only)
+        candidates = materialise(possible(_with_sizes(found, sized), sets), "candidates")
+        # 3. answers
+        more = _answers(candidates, closest, sized, sets, stamped, words)
+        links = links.unionByName(more)
+        first = components(links)
+    named = sets.select("key", "least_id", "n_same").join(first, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    ids = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
+    named = named.join(ids, "label").select("key", "component_id", "n_same")
+    out = listed.select("doc_id", F.col("n").alias("n_shingles"), "key", "t").join(named, "key", "left")
+    own_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", own_id.alias("component_id"), "n_same", "t")
+
+
+def _indexed(
+    listed: DataFrame, sets: DataFrame, docs: DataFrame, label: DataFrame, common: np.ndarray, words: int,
+    neighbours_only: bool,
+) -> DataFrame:
+    """Candidate pairs ``a, b`` of sets in different components (``label``: ``key, label`` of
+    those that have more than one set). Only documents of such sets, or of sets with several
+    documents, are joined with their labels; the others are their own component."""
     total = sets.agg(F.sum(F.floor(F.col("n") / 4) + 1)).first()[0] or 0
     buckets = max(1, int(total) // BUCKET_POSTINGS)
-    labelled = sets.join(first, "key", "left").select("key", "place", "n_same", F.coalesce("label", "key").alias("comp"), F.col("label").isNotNull().alias("related"))
+    labelled = sets.join(label, "key", "left").select(
+        "key", "place", "n_same", F.coalesce("label", "key").alias("comp"), F.col("label").isNotNull().alias("related")
+    )
     several = materialise(labelled.where("related OR n_same > 1"), "related-sets")
     mark = F.xxhash64("doc_id", "t")
     known_docs = listed.where("n > 0").join(several.select("key"), "key", "left_semi").select("doc_id", "t")
     aside = maybe_in(known_docs, mark, mark)
-    own = _text_of(labelled.select("key", "place", "comp"), stamped.where(aside))
-    alone = stamped.where(~aside)
-
+    own = _text_of(labelled.select("key", "place", "comp"), docs.where(aside))
     none = F.lit(None).cast("long")
-    rows = alone.select(none.alias("key"), none.alias("comp"), "text").unionByName(own.select("key", "comp", "text"))
-    common = rarity(described)
-    lists = postings(rows, common, buckets, words)
-    candidates = lists.groupBy("bucket").applyInPandas(_candidates, "a long, b long").distinct()
-    candidates = materialise(possible(_with_sizes(candidates, sized), sets), "candidates")
-
-    # 3. answers
-    more = _answers(candidates, closest, sized, sets, stamped, words)
-    label = components(linked.select("a", "b").unionByName(more))
-    named = sets.select("key", "least_id", "n_same").join(label, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    ids = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    named = named.join(ids, "label").select("key", "component_id", "n_same")
-    out = listed.select("doc_id", F.col("n").alias("n_shingles"), "key", "t").join(named, "key", "left")
-    own_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own_id.alias("component_id"), "n_same", "t")
+    alone = docs.where(~aside).select(none.alias("key"), none.alias("comp"), "text")
+    lists = postings(alone.unionByName(own.select("key", "comp", "text")), common, buckets, words)
+    schema = "a long, b long"
+    work = _neighbours if neighbours_only else _candidates
+    return lists.groupBy("bucket").applyInPandas(work, schema).distinct()
 
 
 def _with_sizes(pairs: DataFrame, sized: DataFrame) -> DataFrame:
