@@ -48,7 +48,15 @@ class Plan:
     cost: float = 0.0
 
 
-def _fill(counts: np.ndarray, length: int, size: int) -> int:
+class _Left:
+    """Pieces left of each length, and all lengths in order."""
+
+    def __init__(self, counts: dict[int, int]):
+        self.left = dict(counts)
+        self.present = sorted(counts)
+
+
+def _fill(counts: _Left, length: int, size: int) -> int:
     """Tokens one bin of ``size`` would hold after ``length``: the longest lengths left
     that fit, one after the other."""
     used, below = length, length
@@ -66,12 +74,6 @@ def _fill(counts: np.ndarray, length: int, size: int) -> int:
     return used
 
 
-class _Left:
-    def __init__(self, counts: dict[int, int]):
-        self.left = dict(counts)
-        self.present = sorted(counts)
-
-
 def pack_histogram(
     counts: dict[int, int], sizes: Sequence[int] = SIZES, cost: Callable[[int], float] = sequence_cost,
     opening: int | None = None,
