@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import drop_rows, stamp, text_or_empty
 from millrace.llm.exact_dedup import exact_duplicates
-from millrace.llm.hashing import maybe_in
 from millrace.llm.jaccard import jaccard_components
 from millrace.llm.langid import document_records, identify
 from millrace.llm.packing import pack
@@ -36,15 +35,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, that with the smallest id. Of rows that
-    repeat an id and its text one stays, also where a group has no id at all."""
+    repeat an id and its text one stays, also where a group has no id at all. Built-in
+    functions only."""
     judged = materialise(exact_duplicates(docs).select("doc_id", "keep_id", "kept", "t"), "pipeline-exact")
-    single = drop_rows(docs, judged.where("NOT kept AND keep_id IS NOT NULL"))
+    single = drop_rows(docs, judged.where("NOT kept AND keep_id IS NOT NULL"), thin=False)
     again = judged.where("kept OR keep_id IS NULL").groupBy("doc_id", "t").count().where("count > 1")
     again = materialise(again.select("doc_id", "t"), "pipeline-repeated")
-    mark = F.xxhash64("doc_id", stamp("text"))
-    marked = single.withColumn("_again", maybe_in(again, F.xxhash64("doc_id", "t"), mark))
-    once = marked.where("_again").withColumn("_t", text_or_empty("text")).dropDuplicates(["doc_id", "_t"]).drop("_t")
-    return marked.where("NOT _again").unionByName(once).drop("_again")
+    if again.isEmpty():
+        return single
+    others = drop_rows(single, again, thin=False)
+    named = again.select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (stamp("text") == F.col("_t"))
+    repeated = single.join(named, same, "left_semi").withColumn("_text", text_or_empty("text"))
+    return others.unionByName(repeated.dropDuplicates(["doc_id", "_text"]).drop("_text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

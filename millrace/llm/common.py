@@ -48,9 +48,10 @@ def stamp(text: str = "text") -> Column:
     return F.xxhash64(text_or_empty(text))
 
 
-def drop_rows(docs: DataFrame, gone: DataFrame, text: str = "text") -> DataFrame:
+def drop_rows(docs: DataFrame, gone: DataFrame, text: str = "text", thin: bool = True) -> DataFrame:
     """``docs`` without the rows whose id and text stamp are in ``gone`` (``doc_id, t``; the
-    id may be null). Only rows that may be in it are shuffled. Columns stay as they are."""
+    id may be null). With ``thin`` only rows that may be in it are shuffled, which a Python
+    filter finds; without it all rows are. Columns stay as they are."""
     gone = materialise(
         gone.select(
             F.coalesce("doc_id", F.lit(0)).alias("_d"), F.col("doc_id").isNull().alias("_n"), F.col("t").alias("_t"),
@@ -58,11 +59,16 @@ def drop_rows(docs: DataFrame, gone: DataFrame, text: str = "text") -> DataFrame
         ).distinct(),
         "gone",
     )
+    if not thin:
+        return docs.join(gone, _same_row(gone, text), "left_anti")
     marked = docs.withColumn("_maybe", maybe_in(gone, F.col("_mark"), F.xxhash64("doc_id", stamp(text))))
-    same = (
+    left = marked.where("_maybe").join(gone, _same_row(gone, text), "left_anti")
+    return marked.where("NOT _maybe").unionByName(left).drop("_maybe")
+
+
+def _same_row(gone: DataFrame, text: str) -> Column:
+    return (
         (F.coalesce(F.col("doc_id"), F.lit(0)) == gone["_d"])
         & (F.col("doc_id").isNull() == gone["_n"])
         & (stamp(text) == gone["_t"])
     )
-    left = marked.where("_maybe").join(gone, same, "left_anti")
-    return marked.where("NOT _maybe").unionByName(left).drop("_maybe")
