@@ -39,8 +39,8 @@ def test_sliced_plan_equals_sql(spark, con, tiny_tasks, key):
 def test_keys_match_the_contract():
     import __spark_entry__ as entry
 
-    assert set(entry.queries()) == set(QUERIES)
-    assert set(entry.oracle_sql()) == {k for k, q in QUERIES.items() if q.oracle}
+    assert set(QUERIES) <= set(entry.queries())  # the queries of millrace.llm come beside them
+    assert {k for k, q in QUERIES.items() if q.oracle} <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship(spark):
