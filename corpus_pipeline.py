@@ -21,8 +21,10 @@ from millrace.llm.packing import pack
 from millrace.llm.suffix_dedup import remove_repeats, whole_characters
 from millrace.sources.tables import materialise
 
-#: Passages of this many bytes that repeat are removed: about 40 words.
+#: Passages of this many bytes that repeat are removed (about 40 words), and those of this
+#: many words, however short they are.
 PASSAGE_BYTES = 256
+PASSAGE_WORDS = 51
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +63,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document, or the same one further up, has
     already; the first copy stays. ``n_chars`` follows the text. No document goes."""
-    cut = remove_repeats(docs, PASSAGE_BYTES, keep_first=True)
+    cut = remove_repeats(docs, PASSAGE_BYTES, keep_first=True, words=PASSAGE_WORDS)
     changed = F.col("_spans").isNotNull()
     text = F.when(changed, whole_characters(F.col("_kept"))).otherwise(F.col("text"))
     out = cut.withColumn("text", text)

@@ -15,6 +15,9 @@
    neighbour on the right is the next one. Windows with an earlier (or any) match repeat.
 4. Repeating windows become spans of their documents.
 
+Where a number of words is given too, strings of that many words repeat even if they have
+fewer bytes: each such string is a narrow row of its own, counted by two hashes.
+
 Copies cost one narrow row each. The windows of an anchor with more than
 ``OPEN_SEGMENTS`` different segments, such as the edges of a passage in very many
 documents, are counted by their own hashes in a distributed count instead of in one
@@ -37,6 +40,9 @@ from millrace.sources.tables import materialise
 MIN_BYTES = 400
 OPEN_SEGMENTS = 1_024
 BUCKET_SEGMENTS = 1_500
+#: Bytes that are white space between words, and those of letters and digits.
+BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+LETTER = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -291,6 +297,90 @@ def _count_windows(parts: DataFrame, min_bytes: int) -> DataFrame:
     return hits.select("doc_id", "t", "start", F.col("at").alias("a"), F.col("at").alias("b"), (place != F.col("least")).alias("earlier"))
 
 
+def word_windows(data: np.ndarray, words: int, max_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """``start, end`` of the strings of ``words`` words that have under ``max_bytes`` bytes.
+    Words stand between white space. The first may also begin and the last end at a sign
+    inside its word, so that marks around a passage do not hide it."""
+    none = np.zeros(0, "int64")
+    inside = np.concatenate([[False], ~BLANK[data], [False]])
+    begin, end = np.flatnonzero(inside[1:-1] & ~inside[:-2]), np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+    if len(begin) < words:
+        return none, none
+    first = np.flatnonzero(begin[words - 1 :] - end[: len(end) - words + 1] < max_bytes)
+    if not len(first):
+        return none, none
+    letter = np.concatenate([[False], LETTER[data], [False]])
+    rises = np.append(-1, np.flatnonzero(letter[1:-1] & ~letter[:-2]))
+    falls = np.append(np.flatnonzero(letter[1:-1] & ~letter[2:]) + 1, len(data) + 1)
+    last = first + words - 1
+    rise = rises[np.searchsorted(rises, end[first]) - 1]
+    fall = falls[np.searchsorted(falls, begin[last], "right")]
+    starts = begin[first], np.maximum(begin[first], rise)
+    ends = end[last], np.minimum(end[last], fall)
+    pairs = np.unique(np.concatenate([s << 32 | e for s in starts for e in ends]))
+    start, end = pairs >> 32, pairs & ((1 << 32) - 1)
+    short = end - start < max_bytes
+    return start[short], end[short]
+
+
+def _stretches(texts: list[str], least: int, around: int) -> Iterator[tuple[list[tuple[int, int, int]], bytes, list[int]]]:
+    """Chunks of texts, a blank between them, without those under ``least`` bytes. A text
+    longer than a chunk comes in parts, each with ``around`` bytes of its neighbours. Each
+    part: number of its text, place in the text, place where what it adds begins."""
+    owners, parts, size = [], [], 0
+    for number, text in enumerate(texts):
+        raw = text.encode("utf-8", "replace")
+        for begin in range(0, len(raw) if len(raw) >= least else 0, CHUNK_BYTES):
+            low = max(0, begin - around)
+            parts.append(raw[low : begin + CHUNK_BYTES + around] + b" ")
+            owners.append((number, low, begin))
+            size += len(parts[-1])
+            if size >= CHUNK_BYTES:
+                yield owners, b"".join(parts), [len(p) for p in parts]
+                owners, parts, size = [], [], 0
+    if parts:
+        yield owners, b"".join(parts), [len(p) for p in parts]
+
+
+def repeated_word_spans(
+    docs: DataFrame, words: int, max_bytes: int, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, t, begin, end`` as ``repeated_spans``, of strings of ``words`` words with
+    under ``max_bytes`` bytes; longer ones are found by their bytes."""
+    least = 2 * words - 1
+
+    def find(parts: Iterator[dict]) -> Iterator[dict]:
+        for part in parts:
+            ids, marks = part["doc_id"], part["t"]
+            for owners, raw, sizes in _stretches(part["text"], least, max_bytes):
+                data = np.frombuffer(raw, "uint8")
+                start, end = word_windows(data, words, max_bytes)
+                bounds = np.concatenate([[0], np.cumsum(sizes)])
+                piece = np.searchsorted(bounds, start, "right") - 1
+                number, low, added = (np.array(c, "int64")[piece] for c in zip(*owners))
+                begin = low + start - bounds[piece]
+                own = (end < bounds[piece + 1]) & (begin >= added) & (begin < added + CHUNK_BYTES)
+                if not own.any():
+                    continue
+                start, end, number = start[own], end[own], number[own].tolist()
+                one, two = Rolling(data), Rolling(data[::-1].copy())
+                yield {
+                    "doc_id": [ids[n] for n in number], "t": [marks[n] for n in number], "begin": begin[own],
+                    "size": end - start, "h": one.of(start, end).view("int64"),
+                    "g": two.of(len(data) - end, len(data) - start).view("int64"),
+                }
+
+    texts = _stamped(docs, id_col, text_col).where(F.octet_length("text") >= least)
+    rows = map_slices(texts, "doc_id long, t long, begin long, size long, h long, g long", find)
+    rows = materialise(rows, "word-windows")
+    place = F.struct("doc_id", "t", "begin")
+    equal = rows.groupBy("h", "g", "size").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).where("n > 1")
+    hits = rows.join(equal, ["h", "g", "size"])
+    if keep_first:
+        hits = hits.where(place != F.col("least"))
+    return hits.select("doc_id", "t", "begin", (F.col("begin") + F.col("size")).alias("end"))
+
+
 def merged_spans(spans: DataFrame) -> DataFrame:
     """``doc_id, t, spans``: the maximal runs of each text, in order, without overlap."""
 
@@ -340,11 +430,16 @@ def whole_characters(raw: Column) -> Column:
 
 
 def remove_repeats(
-    docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, min_bytes: int = MIN_BYTES, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text",
+    words: int | None = None,
 ) -> DataFrame:
     """``docs`` with the columns ``_n_bytes``, ``_spans`` (null without any) and ``_kept``
-    (the bytes that stay; cut within a character where the match ends there)."""
-    spans = merged_spans(repeated_spans(docs, min_bytes, keep_first, id_col, text_col))
+    (the bytes that stay; cut within a character where the match ends there). With
+    ``words``, strings of that many words count as well as those of ``min_bytes`` bytes."""
+    found = repeated_spans(docs, min_bytes, keep_first, id_col, text_col)
+    if words:
+        found = found.unionByName(repeated_word_spans(docs, words, min_bytes, keep_first, id_col, text_col))
+    spans = merged_spans(found)
     spans = spans.select(F.coalesce("doc_id", F.lit(0)).alias("_d"), F.col("doc_id").isNull().alias("_n"), F.col("t").alias("_t"), F.col("spans").alias("_spans"))
     spans = materialise(spans, "spans")
     text, id_ = text_or_empty(text_col), F.col(id_col)

@@ -48,6 +48,21 @@ def test_stages(spark, planted, tmp_path):
     assert set(packed["doc_id"].dropna()) == {d for d in suffix if d is not None}
 
 
+def test_passages_of_short_words(spark):
+    """51 words in under 256 bytes go, 50 stay; of a long text in parts as well."""
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}{i % 7}" for i in range(51)]
+    passage, less = " ".join(words), " ".join(reversed(words[1:]))
+    assert len(passage) < C.PASSAGE_BYTES
+    filler = " ".join(f"filler{i:07d}" for i in range(150_000))[: (1 << 21) - 100]
+    rows = [
+        (1, "Er sagt: " + passage + ". Und geht"), (2, "Da steht (" + passage + ")\nund mehr"), (3, filler + " " + passage + " ende"),
+        (4, "eins " + less + " zwei"), (5, "drei " + less + " vier"), (6, passage), (None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in C.suffix_dedup(spark, docs, "").collect()}
+    assert out == dict(rows) | {2: "Da steht ()\nund mehr", 3: filler + "  ende", 6: ""}
+
+
 def test_run(spark):
     out = C.run(spark, f"{TESTDATA}/sf0.001")
     assert out.count() > 0 and out.columns[0] == "doc_id"
