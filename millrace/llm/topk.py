@@ -234,14 +234,14 @@ def top_k(
 
     Vectors count as whole numbers floor(scale * x). Null vectors, those with a null or
     non-finite component and rows without an id take no part. Vectors of different lengths
-    do not meet. An id names one vector: rows with the query's own id are the query, and a
-    repeated row counts once. An empty table gives an empty result; other columns are not
+    do not meet. Every vector of an id takes part: rows with the query's own id are no
+    candidates of it, the ``k`` places of an id with several vectors that ask are shared by
+    them, and an id may be named more than once. Only a row that repeats both the id and
+    the vector of another counts once with it. An empty table gives an empty result; other columns are not
     read. Scores beyond 64 bits raise an error.
     """
     asks = table.withColumn("_asks", F.coalesce(is_query, F.lit(False)))
-    single = whole_vectors(asks, vector, scale, id_col).groupBy("vec_id").agg(
-        F.min("v").alias("v"), F.max("asks").alias("asks")
-    )
+    single = whole_vectors(asks, vector, scale, id_col).groupBy("vec_id", "v").agg(F.max("asks").alias("asks"))
     vectors = materialise(single, "topk-vectors")
     found = None
     for width in sorted(r["w"] for r in vectors.select(F.size("v").alias("w")).distinct().collect()):

@@ -286,6 +286,20 @@ def test_top_k(spark):
     assert top_k(table.limit(0), F.lit(True), 5).count() == 0
 
 
+def test_top_k_of_repeated_ids(spark):
+    """Every vector of an id asks and is found, as in the SQL of the query."""
+    rnd = random.Random(7)
+    rows = [(i % 60, [float(rnd.randrange(-9, 10)) for _ in range(4)]) for i in range(200)]
+    assert len({(i, tuple(v)) for i, v in rows}) == len(rows)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = top_k(table, F.col("vec_id") % 20 == 0, 5, scale=1, pivots=4, first_rings=(1,))
+    wanted = []
+    for q in (0, 20, 40):
+        scores = sorted((-sum(int(a * b) for a, b in zip(v, w)), c) for i, v in rows if i == q for c, w in rows if c != q)
+        wanted += [(q, rank, c, -s) for rank, (s, c) in enumerate(scores[:5], 1)]
+    assert tuples(found, "query_id", "rank", "vec_id", "score") == sorted(wanted, key=repr)
+
+
 # language and quality
 def test_language_of_odd_records(spark):
     en, de = "the cat and the dog were in the house with them", "der hund und die katze waren nicht mit ihm im haus"
