@@ -7,8 +7,10 @@ subdivided, and the measured ranges are dealt to the shards.
 
 A text whose copies hold more than a hundredth of a shard has a range of its own (at
 most 100 such texts for each shard, because their bytes add up). One that is larger
-than a shard is subdivided by the hash of the id. Everything the driver sees is a
-number of ranges: some for each shard, and one for each million rows.
+than a shard is subdivided by the hash of the id. So is one of more than a million rows,
+however few bytes they have; if it fits a shard, its pieces are dealt to one together.
+Everything the driver sees is a number of ranges: some for each shard, and one for each
+million rows.
 """
 
 from __future__ import annotations
@@ -44,6 +46,7 @@ class Ranges:
     splitters: np.ndarray
     heavy: np.ndarray  # hashes, sorted
     pieces: np.ndarray  # of each heavy text
+    together: np.ndarray  # whether its pieces share a shard
 
     def unit(self, key: Column, sub: Column) -> Column:
         splitters, heavy, pieces = self.splitters, self.heavy, self.pieces
@@ -62,6 +65,18 @@ class Ranges:
 
         return number(key, sub)
 
+    def deal(self, units: list[tuple[int, int]], shards: int) -> dict[int, int]:
+        """Shard of each unit, given as (unit, bytes); a text that fits one shard is one unit."""
+        first = np.concatenate([[0], np.cumsum(self.pieces)]).astype("int64")
+        leads, sums = {}, {}
+        for unit, size in units:
+            text = int(np.searchsorted(first, unit, "right")) - 1
+            whole = text < len(self.pieces) and self.together[text]
+            leads[unit] = int(first[text]) if whole else unit
+            sums[leads[unit]] = sums.get(leads[unit], 0) + size
+        shard_of = deal(list(sums.items()), int(first[-1]), shards)
+        return {unit: shard_of[lead] for unit, lead in leads.items()}
+
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     text = text_or_empty(text_col)
@@ -82,16 +97,19 @@ def fit_ranges(rows: DataFrame, shards: int) -> Ranges:
     total, n = int(whole["bytes"] or 0), int(whole["n"] or 0)
     share = total / shards
     limit = share / HEAVY_PARTS
-    heavy = sorted((r["key"], r["bytes"]) for r in texts.where(F.col("bytes") > limit).collect())
-    keys = np.array([k for k, _ in heavy], "int64")
-    pieces = np.array([1 if b <= share else math.ceil(b / limit) for _, b in heavy], "int64")
-    light_bytes = total - sum(b for _, b in heavy)
+    large = (F.col("bytes") > limit) | (F.col("n") > ROWS_PER_RANGE)
+    heavy = sorted((r["key"], r["bytes"], r["n"]) for r in texts.where(large).collect())
+    keys = np.array([k for k, _, _ in heavy], "int64")
+    together = np.array([b <= share for _, b, _ in heavy], bool)
+    by_rows = [math.ceil(n / ROWS_PER_RANGE) for _, _, n in heavy]
+    pieces = np.array([p if b <= share else max(p, math.ceil(b / limit)) for p, (_, b, _) in zip(by_rows, heavy)], "int64")
+    light_bytes = total - sum(b for _, b, _ in heavy)
     ranges = max(RANGES_PER_SHARD * shards, n // ROWS_PER_RANGE)
     splitters = np.array([], "int64")
     overfull: set[int] | None = None
     draws = ranges * DRAWS_PER_RANGE
     while light_bytes and (overfull is None or overfull):
-        here = Ranges(splitters, keys, pieces)
+        here = Ranges(splitters, keys, pieces, together)
         unit = here.unit(F.col("key"), F.col("sub"))
         light = rows.withColumn("unit", unit).where(F.col("unit") >= int(pieces.sum()))
         if overfull is not None:
@@ -103,12 +121,12 @@ def fit_ranges(rows: DataFrame, shards: int) -> Ranges:
         if not len(more):
             break
         splitters = np.union1d(splitters, more)
-        measured = Ranges(splitters, keys, pieces).unit(F.col("key"), F.col("sub"))
+        measured = Ranges(splitters, keys, pieces, together).unit(F.col("key"), F.col("sub"))
         sizes = rows.groupBy(measured.alias("unit")).agg(F.sum("size").alias("b"), F.min("key") < F.max("key"))
         sizes = sizes.toDF("unit", "b", "divisible").where(F.col("unit") >= int(pieces.sum()))
         bound = 3 * light_bytes / ranges
         overfull = {r["unit"] for r in sizes.where(F.col("divisible") & (F.col("b") > bound)).collect()}
-    return Ranges(splitters, keys, pieces)
+    return Ranges(splitters, keys, pieces, together)
 
 
 def deal(units: list[tuple[int, int]], first_light: int, shards: int) -> dict[int, int]:
@@ -159,7 +177,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_co
     fitted = fit_ranges(rows, shards)
     placed = materialise(rows.withColumn("unit", fitted.unit(F.col("key"), F.col("sub"))), "shard-units")
     sums = placed.groupBy("unit").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()
-    shard_of = deal([(r["unit"], r["b"]) for r in sums], int(fitted.pieces.sum()), shards)
+    shard_of = fitted.deal([(r["unit"], r["b"]) for r in sums], shards)
     filled = [0] * shards
     table = []
     for r in sorted(sums, key=lambda r: r["unit"]):
@@ -183,6 +201,6 @@ def write_shards(docs: DataFrame, shards: int, path: str, id_col: str = "doc_id"
     unit = fitted.unit(F.xxhash64(text), _unit(F.xxhash64(F.col(id_col), F.lit(1))))
     named = docs.withColumn("_unit", unit)
     sums = rows.groupBy(fitted.unit(F.col("key"), F.col("sub")).alias("unit")).agg(F.sum("size").alias("b")).collect()
-    shard_of = deal([(r["unit"], r["b"]) for r in sums], int(fitted.pieces.sum()), shards)
+    shard_of = fitted.deal([(r["unit"], r["b"]) for r in sums], shards)
     cases = docs.sparkSession.createDataFrame(list(shard_of.items()), "_unit long, shard int")
     named.join(F.broadcast(cases), "_unit").repartition("_unit").drop("_unit").write.partitionBy("shard").parquet(path)

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import suffix_dedup
+from millrace.llm import sharding, suffix_dedup
 from millrace.llm.bpe import Codec, decode, encode
 from millrace.llm.catalog import word_vocabulary
 from millrace.llm.exact_dedup import exact_duplicates, grow_directory
@@ -132,6 +132,21 @@ def test_hot_text_is_spread_and_others_stay_together(spark, tmp_path):
     assert shard_by_bytes(documents(spark, []), 8).count() == 0
 
 
+def test_many_rows_of_few_bytes(spark, monkeypatch, tmp_path):
+    """A text of very many rows is numbered in pieces, and still shares one shard."""
+    monkeypatch.setattr(sharding, "ROWS_PER_RANGE", 50)
+    rows = [(i, None if i % 2 else "") for i in range(600)] + [(i, f"{i} " * 200) for i in range(600, 900)]
+    found = shard_by_bytes(documents(spark, rows), 4).toPandas()
+    empty = found[found["size"] == sharding.RECORD_BYTES]
+    assert len(found) == len(rows) and len(empty) == 600
+    assert empty["shard"].nunique() == 1 and empty.groupby("unit").size().max() < 120
+    assert all(sorted(g["slot"]) == list(range(len(g))) for _, g in found.groupby("shard"))
+    write_shards(documents(spark, rows), 4, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert sorted(r["doc_id"] for r in back.select("doc_id").collect()) == list(range(900))
+    assert back.where("coalesce(text, '') = ''").select("shard").distinct().count() == 1
+
+
 # packing
 def test_pack_holds_every_token_once(spark):
     rows = [(i, "w " * (i * 37 % 700)) for i in range(300)] + [(None, None), (1, ""), (2, "x " * 5000), (2, "x " * 5000)]
