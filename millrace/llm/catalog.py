@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import decode, encode
+from millrace.llm.byte_bpe import decode_bytes, encode_bytes
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.jaccard import jaccard_components
 from millrace.llm.langid import document_records, identify, page_records
 from millrace.llm.packing import pack
+from millrace.llm.prefix_trie import conversation_trie
 from millrace.llm.quality import quality_scores
 from millrace.llm.sharding import shard_by_bytes
 from millrace.llm.suffix_dedup import remove_repeats
 from millrace.llm.topk import top_k
 from millrace.llm.url_filter import judge_urls
+from millrace.llm.vector_codes import books_digest, compress
 from millrace.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +155,98 @@ def op8_suffix_dedup(t: Tables) -> DataFrame:
 @query
 def op2_ngram_jaccard(t: Tables) -> DataFrame:
     return jaccard_components(t.documents).drop("t")
+
+
+@query
+def op11_prefix_trie(t: Tables) -> DataFrame:
+    return conversation_trie(t.conversations).drop("node", "parent")
+
+
+# CRC-32 of the decimal digits, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint,
+        [ascii(x)::bigint for x in string_split(conv_id::varchar, '')]), lambda crc, x: list_reduce(
+            list_prepend(xor(crc, x), range(8)), lambda a, i: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+ORACLES["op11_prefix_trie"] = f"""
+    WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, list({{'role': role, 'text': text}}
+              ORDER BY turn NULLS FIRST, sha256(strlen(role)::varchar || ':' || role || text)) AS own
+          FROM t GROUP BY conv_id),
+    s AS (SELECT conv_id, own, {CRC32} % 6 AS h FROM c),
+    r AS (SELECT s.conv_id, list_concat(coalesce(b.own[1:s.h], []), s.own[s.h + 1:]) AS turns
+          FROM s LEFT JOIN c b ON b.conv_id = s.conv_id - s.conv_id % 100),
+    m AS (SELECT conv_id, len(turns) AS size, unnest(range(len(turns) + 1)) AS depth, turns FROM r),
+    k AS (SELECT conv_id, size, depth, sha256(turns[1:depth]::varchar) AS node,
+                 CASE WHEN depth > 0 THEN sha256(turns[1:depth - 1]::varchar) END AS parent,
+                 CASE WHEN depth > 0 THEN length(turns[depth].text) ELSE 0 END AS chars FROM m),
+    n AS (SELECT node, depth, parent, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+                 sha256(coalesce(string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+          FROM k GROUP BY ALL),
+    g AS (SELECT parent AS node, count(*) AS n_children FROM n GROUP BY parent),
+    f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN g USING (node)),
+    path AS (SELECT DISTINCT a.node AS above, b.node AS below FROM k a JOIN k b USING (conv_id) WHERE a.depth <= b.depth),
+    sub AS (SELECT above AS node, count(*) FILTER (f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.chars) AS saved
+            FROM path JOIN f ON f.node = path.below GROUP BY above)
+    SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+           saved::bigint AS saved_tokens, f.ends_sha256
+    FROM f JOIN sub USING (node) LEFT JOIN n p ON p.node = f.parent
+"""
+
+
+@query
+def op12_vector_codes(t: Tables) -> DataFrame:
+    coded, books = compress(t.embeddings)
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books_digest(books)).alias("codebooks_sha256"))
+
+
+def vector_code_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """The same codes step by step: every entry is compared with every part."""
+    steps = [f"""
+    e AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row, vec_id, label,
+                 [floor({scale} * x::double)::bigint for x in embedding] AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    x AS MATERIALIZED (SELECT row, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})]::double[] AS v
+          FROM e, range({parts}) r(p)),
+    b0 AS MATERIALIZED (SELECT p, row - 1 AS k, v FROM x WHERE row <= {entries})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+    d{i} AS (SELECT row, p, x.v, k, (list_dot_product(x.v, x.v) + list_dot_product(b.v, b.v)
+                 - 2 * list_dot_product(x.v, b.v))::bigint AS gap FROM x JOIN b{i} b USING (p)),
+    a{i} AS MATERIALIZED (SELECT row, p, any_value(v) AS v, min({{'gap': gap, 'k': k}}) AS near FROM d{i} GROUP BY row, p)""")
+        if i < rounds:
+            steps.append(f"""
+    u{i} AS (SELECT p, near.k AS k, unnest(v)::bigint AS c, unnest(range(len(v))) AS place FROM a{i}),
+    s{i} AS (SELECT p, k, place, sum(c)::bigint AS total, count(*) AS n FROM u{i} GROUP BY ALL),
+    w{i} AS (SELECT p, k, list(((total - ((total % n) + n) % n) // n)::double ORDER BY place) AS v FROM s{i} GROUP BY p, k),
+    b{i + 1} AS MATERIALIZED (SELECT p, k, coalesce(w.v, b.v) AS v FROM b{i} b LEFT JOIN w{i} w USING (p, k))""")
+    return f"""
+    WITH {",".join(steps)},
+    z AS (SELECT row, string_agg(format('{{:02x}}', near.k), '' ORDER BY p) AS code, sum(near.gap)::bigint AS error
+          FROM a{rounds} GROUP BY row),
+    flat AS (SELECT p, k, unnest(v)::bigint AS c, unnest(range(len(v))) AS place FROM b{rounds}),
+    h AS (SELECT sha256(string_agg(c::varchar, ',' ORDER BY p, k, place)) AS codebooks_sha256 FROM flat)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::bigint AS label_error, codebooks_sha256
+    FROM z JOIN e USING (row), h
+"""
+
+
+ORACLES["op12_vector_codes"] = vector_code_sql()
+
+
+def rank_vocabulary() -> tuple[str, str]:
+    """Path of the rank file and its pattern."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query
+def op13_byte_bpe(t: Tables) -> DataFrame:
+    path, pattern = rank_vocabulary()
+    return decode_bytes(encode_bytes(t.documents, path, pattern), path, pattern).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from check import TESTDATA, connect
 
-from millrace.llm.catalog import ORACLES, QUERIES, word_vocabulary
+from millrace.llm.catalog import ORACLES, QUERIES, rank_vocabulary, word_vocabulary
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 
@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, key):
 def test_all_operators_have_a_query():
     import __spark_entry__ as entry
 
-    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14))
     assert set(QUERIES) < set(entry.queries()) and "pipeline" in entry.queries()
 
 
@@ -67,3 +67,21 @@ def test_languages(spark):
     rows = QUERIES["op9_language_id"](spark, SF_DIR).toPandas()
     assert (rows["lang"] == rows["declared"]).mean() > 0.98
     assert rows["accepted"].all() and rows["confidence"].between(0, 1).all()
+
+
+def test_byte_codes_equal_those_of_the_library(spark):
+    import base64
+
+    import tiktoken
+
+    path, pattern = rank_vocabulary()
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    for row in QUERIES["op13_byte_bpe"](spark, SF_DIR).collect():
+        ids = library.encode_ordinary(texts[row["doc_id"]] or "")
+        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(packed).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(library.decode_bytes(ids)).hexdigest()
