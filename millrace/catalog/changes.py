@@ -164,17 +164,30 @@ def merge_by_source(t):
     "guarded_insert",
     oracle=f"""
     WITH s AS (SELECT item, SUM(quantity) AS stock, MAX(moved) AS last FROM ({MOVES}) GROUP BY item)
-    SELECT c_custkey AS item, CAST(CASE WHEN COALESCE(stock, 0) - 3000 >= 0 AND COALESCE(last < TIMESTAMP '2024-01-30 12:00:00', TRUE) THEN 1 ELSE 0 END AS BIGINT) AS accepted
-    FROM customer LEFT JOIN s ON item = c_custkey
+    , a AS (SELECT c_custkey AS item, COALESCE(stock, 0) AS s0, last, CASE WHEN COALESCE(stock, 0) >= 3000 AND COALESCE(last < TIMESTAMP '2024-01-30 12:00:00', TRUE) THEN 1 ELSE 0 END AS t1
+            FROM customer LEFT JOIN s ON item = c_custkey),
+    b AS (SELECT *, CASE WHEN s0 - 3000 * t1 >= 2500 AND COALESCE(last < TIMESTAMP '2024-01-30 18:00:00', TRUE) THEN 1 ELSE 0 END AS t2 FROM a),
+    c AS (SELECT *, CASE WHEN t2 = 0 AND s0 - 3000 * t1 >= 1000 AND COALESCE(last < TIMESTAMP '2024-01-30 18:00:00', TRUE) THEN 1 ELSE 0 END AS t3 FROM b),
+    d AS (SELECT *, CASE WHEN COALESCE(last < TIMESTAMP '2024-02-01', TRUE) THEN 1 ELSE 0 END AS t4 FROM c),
+    e AS (SELECT *, CASE WHEN s0 - 3000 * t1 - 2500 * t2 - 1000 * t3 + 700 * t4 >= 600 AND COALESCE(last < TIMESTAMP '2024-02-02', TRUE) THEN 1 ELSE 0 END AS t5 FROM d)
+    SELECT item, CAST(n AS BIGINT) AS n, CAST(accepted AS BIGINT) AS accepted
+    FROM (SELECT item, unnest([1, 2, 3, 4, 5]) AS n, unnest([t1, t2, t3, t4, t5]) AS accepted FROM e)
     """,
 )
 def guarded_insert(t):
-    """A withdrawal of 3,000 is tried on every customer's stock."""
-    wanted = t.customer.select(
-        F.col("c_custkey").alias("item"), ntz("2024-01-30 12:00:00").alias("moved"), F.lit(-3000).cast("bigint").alias("quantity")
-    )
-    tried = M.guard_inserts(movements(t), wanted, "item", "moved", "quantity")
-    return tried.select("item", big("accepted").alias("accepted"))
+    """Withdrawals are tried one after the other on every customer's stock: two of them at
+    one time, of which at most one can be entered, and a delivery before the last."""
+    tries = [
+        ("2024-01-30 12:00:00", -3000), ("2024-01-30 18:00:00", -2500), ("2024-01-30 18:00:00", -1000),
+        ("2024-02-01 00:00:00", 700), ("2024-02-02 00:00:00", -600),
+    ]
+    rows = [
+        F.struct(F.lit(n).alias("n"), ntz(at).alias("moved"), F.lit(moved).cast("bigint").alias("quantity"))
+        for n, (at, moved) in enumerate(tries, 1)
+    ]
+    wanted = t.customer.select(F.col("c_custkey").alias("item"), F.inline(F.array(*rows)))
+    tried = M.guard_inserts(movements(t), wanted, "item", "moved", "quantity", ["n"])
+    return tried.select("item", big("n").alias("n"), big("accepted").alias("accepted"))
 
 
 @query(

@@ -68,16 +68,20 @@ def json_is_valid(t):
     "json_modify",
     oracle="""
     SELECT event_id, '{"info":{"name":"' || event_type || '","address":{"zip":1.5,"town":"' || event_type || '-town"}},"k":' ||
-      (CAST(json_extract_string(props, '$.k') AS BIGINT) + 1000) || '}' AS props FROM events
+      (CAST(json_extract_string(props, '$.k') AS BIGINT) + 1000) || ',"tags":[1,' ||
+      CASE WHEN event_type = 'click' THEN 'null' ELSE '"' || event_type || '"' END || ']}' AS props FROM events
     """,
 )
 def json_modify(t):
-    """A number at the top and a text further down are set; the other members stay."""
+    """A number at the top, a text further down and an element of an array, which clicks
+    set to null, are changed; the other members stay."""
     k = F.get_json_object("props", "$.k")
-    name = F.concat(F.lit('{"info":{"name":"'), "event_type", F.lit('","address":{"zip":1.5}},"k":'), k, F.lit("}"))
+    name = F.concat(F.lit('{"info":{"name":"'), "event_type", F.lit('","address":{"zip":1.5}},"k":'), k, F.lit(',"tags":[1,2]}'))
     town = F.concat("event_type", F.lit("-town"))
     done = X.set_value(X.set_value(name, "$.k", big(k) + 1000), "$.info.address.town", town)
-    return t.events.select("event_id", done.alias("props"))
+    rows = t.events.select("event_id", "event_type", done.alias("props"))
+    tag = F.when(F.col("event_type") != "click", F.col("event_type"))
+    return rows.select("event_id", X.set_value(F.col("props"), "$.tags[1]", tag).alias("props"))
 
 
 @query("json_explode_typed", oracle=LINES)

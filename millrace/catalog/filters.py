@@ -266,20 +266,18 @@ def in_subquery(t):
 @query(
     "not_in_null_aware",
     oracle="""
-    WITH u AS (SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS k
-               FROM orders WHERE o_totalprice > 400000)
-    SELECT 'with_null' AS variant, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT k FROM u)
+    WITH u AS (SELECT CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_orderkey END AS k FROM lineitem)
+    SELECT 'with_null' AS variant, o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT k FROM u)
     UNION ALL
-    SELECT 'null_removed', c_custkey FROM customer WHERE c_custkey NOT IN (SELECT k FROM u WHERE k IS NOT NULL)
+    SELECT 'null_removed', o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT k FROM u WHERE k IS NOT NULL)
     """,
 )
 def not_in_null_aware(t):
-    used = t.orders.where(F.col("o_totalprice") > 400000).select(
-        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("k")
-    )
+    """Orders without a line that was kept; returned lines do not name their order."""
+    used = t.lineitem.select(F.when(F.col("l_returnflag") != "R", F.col("l_orderkey")).alias("k"))
     forms = {"with_null": used, "null_removed": used.where(F.col("k").isNotNull())}
     a, b = [
-        X.not_in(t.customer, "c_custkey", values, "k").select(F.lit(name).alias("variant"), "c_custkey")
+        X.not_in(t.orders, "o_orderkey", values, "k").select(F.lit(name).alias("variant"), "o_orderkey")
         for name, values in forms.items()
     ]
     return a.unionByName(b)
@@ -315,14 +313,13 @@ def correlated_max_filter(t):
 @query(
     "correlated_count",
     oracle="""
-    SELECT c_custkey, (SELECT COUNT(*) FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000) AS n_orders
-    FROM customer
+    SELECT o_orderkey, (SELECT COUNT(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n_lines FROM orders
     """,
 )
 def correlated_count(t):
-    counts = t.orders.where(F.col("o_totalprice") > 400000).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    joined = t.customer.join(counts, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return joined.select("c_custkey", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_orders"))
+    counts = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    joined = t.orders.join(counts, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    return joined.select("o_orderkey", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_lines"))
 
 
 @query(

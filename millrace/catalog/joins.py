@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.catalog.common import SUPPLIER_MONTHS_SQL, big, day, money, real, supplier_months
 from millrace.operators import joins as J
 from millrace.registry import query
+from millrace.sources.tables import materialise
 
 def latest():
     return [F.desc("o_orderdate"), F.desc("o_orderkey")]
@@ -60,13 +64,12 @@ def bushy_join(t):
 @query(
     "left_outer_join",
     oracle="""
-    SELECT c_custkey, o_orderkey FROM customer
-      LEFT JOIN orders ON o_custkey = c_custkey AND o_orderpriority = '1-URGENT'
+    SELECT o_orderkey, CAST(l_linenumber AS BIGINT) AS line FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
     """,
 )
 def left_outer_join(t):
-    urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT")
-    return J.left_outer_join(t.customer, urgent, "c_custkey", "o_custkey").select("c_custkey", "o_orderkey")
+    lines = J.left_outer_join(t.orders, t.lineitem, "o_orderkey", "l_orderkey")
+    return lines.select("o_orderkey", big("l_linenumber").alias("line"))
 
 
 @query(
@@ -171,19 +174,15 @@ def nonequi_self_join(t):
     """,
 )
 def interval_join(t):
-    """Key equality and a month range. Every month is sent to the (at most three)
-    months it counts for, and those are grouped: no pair is ever tested and the
-    table is not joined with itself."""
-    sent = supplier_months(t).select(
-        "empid",
-        F.posexplode(F.array([F.add_months("ordmonth", k) for k in range(3)])).alias("age", "ordmonth"),
-        "qty",
-    )
-    sums = sent.groupBy("empid", "ordmonth").agg(
-        F.sum("qty").alias("q"), F.count(F.lit(1)).alias("months"), F.min("age").alias("youngest")
+    """Key equality and a month range: a month counts from its own to the second after it."""
+    months = materialise(supplier_months(t), "supplier-months")
+    counted = months.select(
+        F.col("empid").alias("key"), F.col("ordmonth").alias("begins"), F.add_months("ordmonth", 2).alias("ends"), "qty"
     )
-    present = sums.where(F.col("youngest") == 0)
-    return present.select("empid", day("ordmonth").alias("ordmonth"), real("q").alias("qty3"), "months")
+    asked = months.select(F.col("empid").alias("key"), "ordmonth")
+    met = J.points_in_intervals(asked, counted, "ordmonth", "begins", "ends", ["key"])
+    sums = met.groupBy("key", "ordmonth").agg(real(F.sum("qty")).alias("qty3"), F.count(F.lit(1)).alias("months"))
+    return sums.select(F.col("key").alias("empid"), day("ordmonth").alias("ordmonth"), "qty3", "months")
 
 
 @query(
@@ -210,25 +209,25 @@ def asof_prior_lookup(t):
 @query(
     "semi_join",
     oracle="""
-    SELECT c_custkey, c_name FROM customer
-    WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000)
+    SELECT o_orderkey, o_custkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
     """,
 )
 def semi_join(t):
-    large = t.orders.where(F.col("o_totalprice") > 450000)
-    return t.customer.join(large, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("c_custkey", "c_name")
+    """Orders with lines."""
+    with_lines = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    return with_lines.select("o_orderkey", "o_custkey")
 
 
 @query(
     "anti_join",
     oracle="""
-    SELECT c_custkey, c_name FROM customer
-    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000)
+    SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
     """,
 )
 def anti_join(t):
-    large = t.orders.where(F.col("o_totalprice") > 450000)
-    return t.customer.join(large, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey", "c_name")
+    """Orders without lines."""
+    without = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti")
+    return without.select("o_orderkey", "o_custkey")
 
 
 @query(
@@ -341,12 +340,26 @@ def join_hints(t):
 @query(
     "relational_division",
     oracle="""
-    SELECT o_custkey FROM orders GROUP BY o_custkey
+    WITH wanted AS (SELECT 'all' AS divisor, o_orderpriority FROM orders
+                    UNION SELECT 'unknown status', o_orderpriority FROM orders WHERE o_orderstatus = 'X')
+    SELECT 'counted' AS form, 'all' AS divisor, o_custkey FROM orders GROUP BY o_custkey
     HAVING COUNT(DISTINCT o_orderpriority) = (SELECT COUNT(DISTINCT o_orderpriority) FROM orders)
+    UNION ALL
+    SELECT 'not exists', d.divisor, o_custkey FROM (SELECT DISTINCT o_custkey FROM orders) c,
+      (VALUES ('all'), ('unknown status')) d(divisor)
+    WHERE NOT EXISTS (SELECT 1 FROM wanted w WHERE w.divisor = d.divisor AND w.o_orderpriority NOT IN
+      (SELECT o.o_orderpriority FROM orders o WHERE o.o_custkey = c.o_custkey))
     """,
 )
 def relational_division(t):
-    return J.divide(t.orders, "o_custkey", "o_orderpriority", t.orders.select("o_orderpriority").distinct())
+    """Customers with orders of every priority, counted and in the form NOT EXISTS; in that
+    form all customers have every priority of a status that no order has."""
+    found = []
+    for form, divisor in (("counted", "all"), ("not exists", "all"), ("not exists", "unknown status")):
+        wanted = t.orders if divisor == "all" else t.orders.where(F.col("o_orderstatus") == "X")
+        keys = J.divide(t.orders, "o_custkey", "o_orderpriority", wanted, all_if_empty=form == "not exists")
+        found.append(keys.select(F.lit(form).alias("form"), F.lit(divisor).alias("divisor"), "o_custkey"))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query(

@@ -21,15 +21,19 @@ def event_stream(t):
     SELECT o_orderkey, 'o_orderstatus' AS "column", o_orderstatus AS old_value, 'N' AS new_value FROM orders WHERE {FINISHED} AND NOT {LOW}
     UNION ALL
     SELECT o_orderkey, 'version', CAST({VERSION} AS VARCHAR), CAST({VERSION} - 1 AS VARCHAR) FROM orders WHERE {FINISHED} AND NOT {LOW} AND {LARGE}
+    UNION ALL
+    SELECT o_orderkey, 'o_orderstatus', 'N', 'S' FROM orders WHERE {FINISHED} AND NOT {LOW} AND {LARGE}
     """,
 )
 def stream_change_log(t):
+    """Finished orders change; large ones change a second time in the same batch."""
     arriving = R.read_stream(t.spark, t.path("orders"), t.orders.schema).where(F.expr(FINISHED))
     stale = F.when(F.expr(LARGE), 1).otherwise(0)
+    status = F.when(F.expr(LARGE), F.array(F.lit("N"), F.lit("S"))).otherwise(F.array(F.lit("N")))
     changes = arriving.select(
-        "o_orderkey", F.lit("N").alias("o_orderstatus"), (big(F.year("o_orderdate")) - stale).alias("version")
+        "o_orderkey", F.posexplode(status).alias("step", "o_orderstatus"), (big(F.year("o_orderdate")) - stale).alias("version")
     )
-    log = R.stream_change_log(changes, stored(t), ["o_orderkey"], ["o_orderstatus", "version"])
+    log = R.stream_change_log(changes, stored(t), ["o_orderkey"], ["o_orderstatus", "version"], ["step"])
     return log.select("o_orderkey", "column", "old_value", "new_value")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,11 +27,18 @@ def set_value(s: Column, path: str, value: Column) -> Column:
 
     The document is taken apart along the path only; other members keep their values
     (numbers are written in their shortest form, blanks between members go). Missing members of the path are added; a member of the path that is no object is
-    replaced by one. A null value gives ``null``; a null document stays null, and what
-    is no JSON object gives null.
+    replaced by one. A step may end in indexes (``$.b[0]``, ``$.rows[2][1].x``): an element
+    that exists is replaced, one at the length of the array is appended, and a path through
+    an element or array that is not there leaves the document as it is. A null value gives
+    ``null``; a null document stays null, and what is no JSON object gives null.
     """
-    names = path.removeprefix("$.").split(".")
-    return F.when(F.substring(F.ltrim(s), 1, 1) == "{", _put(s, names, F.coalesce(_as_json(value), F.lit("null"))))
+    steps: list[str | int] = []
+    for part in path.removeprefix("$.").split("."):
+        name, *indexes = re.split(r"\[(\d+)\]", part)
+        if not name or "[" in name or any(indexes[1::2]):
+            raise ValueError(f"not a member path: {path}")
+        steps += [name, *map(int, indexes[::2])]
+    return F.when(F.substring(F.ltrim(s), 1, 1) == "{", _put(s, steps, F.when(value.isNull(), "null").otherwise(_as_json(value))))
 
 
 def _as_json(value: Column) -> Column:
@@ -57,12 +66,49 @@ def _members(s: Column) -> Column:
     return _let(F.struct(raw.alias("raw"), kinds.alias("kinds")), read)
 
 
-def _put(s: Column, names: list[str], value: Column) -> Column:
+def _elements(s: Column) -> Column:
+    """The elements of an array as JSON texts; null for what is no array."""
+    raw, kinds = F.from_json(s, "array<string>"), F.from_json(s, "array<variant>")
+
+    def read(both: Column) -> Column:
+        def element(text: Column, kind: Column) -> Column:
+            is_text = F.schema_of_variant(kind) == "STRING"
+            return F.when(is_text, _as_json(text)).otherwise(F.coalesce(text, F.lit("null")))
+
+        return F.zip_with(both["raw"], both["kinds"], element)
+
+    return F.when(F.substring(F.ltrim(s), 1, 1) == "[", _let(F.struct(raw.alias("raw"), kinds.alias("kinds")), read))
+
+
+def _put_element(s: Column, index: int, rest: list, value: Column) -> Column:
+    """``s`` with the element replaced or appended; as it is where there is no such place."""
+
+    def write(elements: Column) -> Column:
+        own = F.get(elements, F.lit(index))
+        new = _put(own, rest, value) if rest else value
+
+        def place(text: Column) -> Column:
+            replaced = F.transform(elements, lambda e, i: F.when(i == index, text).otherwise(e))
+            done = F.when(own.isNotNull(), replaced)
+            if not rest:
+                done = done.when(F.size(elements) == index, F.concat(elements, F.array(text)))
+            return F.coalesce(F.concat(F.lit("["), F.array_join(done, ","), F.lit("]")), s)
+
+        return _let(F.coalesce(new, own) if rest else new, place)
+
+    return _let(_elements(s), write)
+
+
+def _put(s: Column, names: list[str | int], value: Column) -> Column:
     name, *rest = names
+    if isinstance(name, int):
+        return _put_element(s, name, rest, value)
 
     def write(members: Column) -> Column:
         own = F.get(F.filter(members, lambda e: e["key"] == name), 0)["value"]
-        if rest:
+        if rest and isinstance(rest[0], int):
+            new = _put(own, rest, value)  # null without the member: nothing is changed
+        elif rest:
             start = F.when(F.substring(own, 1, 1) == "{", own).otherwise("{}")
             new = _put(start, rest, value)
         else:
@@ -73,7 +119,7 @@ def _put(s: Column, names: list[str], value: Column) -> Column:
             kept = F.transform(members, lambda e: F.when(e["key"] == name, pair(text)).otherwise(e))
             added = F.when(own.isNull(), F.concat(members, F.array(pair(text)))).otherwise(kept)
             shown = F.transform(added, lambda e: F.concat(_as_json(e["key"]), F.lit(":"), e["value"]))
-            return F.concat(F.lit("{"), F.array_join(shown, ","), F.lit("}"))
+            return F.when(text.isNull(), s).otherwise(F.concat(F.lit("{"), F.array_join(shown, ","), F.lit("}")))
 
         return _let(new, place)
 

@@ -7,10 +7,12 @@ must hold one row per key; every function that applies one checks that.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.plans.merging import full_join, stored_changes
 from millrace.plans.ordered import heat_of, neighbours, running
@@ -122,16 +124,44 @@ def rebuild_history(
     return chained.withColumn("previous_quantity", F.when(F.col("previous_date").isNotNull(), before))
 
 
-def guard_inserts(log: DataFrame, candidates: DataFrame, item: str, at: str, quantity: str) -> DataFrame:
-    """Candidate log rows with ``accepted``: stock may not turn negative and no
-    later entry may exist. Several candidates of one item are refused: what the first
-    leaves would decide about the second."""
-    candidates = stored_changes(candidates, [item])
-    stock = log.groupBy(item).agg(F.sum(quantity).alias("_stock"), F.max(at).alias("_last"))
-    joined = candidates.join(stock, item, "left")
-    enough = F.coalesce("_stock", F.lit(0)) + F.col(quantity) >= 0
-    latest = F.coalesce(F.col("_last") < F.col(at), F.lit(True))
-    return joined.withColumn("accepted", enough & latest).drop("_stock", "_last")
+def guard_inserts(
+    log: DataFrame, candidates: DataFrame, item: str, at: str, quantity: str, order: Sequence[str] = ()
+) -> DataFrame:
+    """Candidate log rows with ``accepted``: stock may not turn negative and no entry of the
+    same or a later time may exist.
+
+    The candidates of an item are judged one after the other, by time, then by the columns
+    ``order``, then by quantity; what was accepted changes the stock and is the latest entry
+    for the next. A candidate without an item meets no stock and no other candidate; one
+    without a quantity is refused; one without a time is judged by the stock alone.
+
+    Candidates that a stored entry refuses are decided by a join. The others are sorted by
+    item and time, and each task folds its sorted rows in a stream, holding one batch: the
+    decisions of an item depend on each other, so its candidates pass through one task.
+    """
+    stock = log.groupBy(F.col(item).alias("_item")).agg(F.sum(quantity).alias("_stock"), F.max(at).alias("_last"))
+    joined = candidates.join(stock, F.col(item) == F.col("_item"), "left").drop("_item")
+    late = F.coalesce(F.col("_last") >= F.col(at), F.lit(False))
+    refused = joined.where(late).drop("_stock", "_last").withColumn("accepted", F.lit(False))
+    open_ = joined.where(~late).drop("_last")
+    sort = [item, at, *order, quantity]
+    ordered = open_.repartition(item).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in sort])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, stock, last = None, None, None
+        for batch in batches:
+            verdicts = []
+            for who, when, moved, opening in zip(*(batch.column(c).to_pylist() for c in (item, at, quantity, "_stock"))):
+                if who is None or who != current:
+                    current, stock, last = who, 0 if opening is None else opening, None
+                fits = moved is not None and stock + moved >= 0 and not (when is not None and last is not None and last >= when)
+                verdicts.append(fits)
+                if fits:
+                    stock, last = stock + moved, last if when is None else when
+            yield batch.append_column("accepted", pa.array(verdicts, pa.bool_()))
+
+    kinds = T.StructType([*ordered.schema.fields, T.StructField("accepted", T.BooleanType())])
+    return ordered.mapInArrow(fold, kinds).drop("_stock").unionByName(refused)
 
 
 def update_single_row(df: DataFrame, condition: Column, **values: Column) -> DataFrame:

@@ -66,8 +66,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return stored
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the file system that holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file, not a folder, of this name."""
+    path, files = _located(spark, path)
+    return files.exists(path) and files.getFileStatus(path).isFile()
+
+
 def discard(stored: DataFrame) -> None:
     """Delete what ``materialise`` wrote for this DataFrame; it cannot be read afterwards."""
-    jvm = stored.sparkSession._jvm
-    path = jvm.org.apache.hadoop.fs.Path(stored.millrace_path)
-    path.getFileSystem(stored.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    path, files = _located(stored.sparkSession, stored.millrace_path)
+    files.delete(path, True)

@@ -1,6 +1,7 @@
 """Small hand-checked inputs."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +67,36 @@ def test_subtree_levels_and_cycles(spark, rows):
     assert rows(out.select("id", "lvl")) == [(1, 0), (2, 1), (3, 1), (4, 2), (5, 3)]
     assert rows(G.subtree(nodes, "id", "boss", 1, max_levels=1).select("id")) == [(1,), (2,), (3,)]
     assert rows(G.subtree(nodes, "id", "boss", 6).select("id", "lvl")) == [(6, 0), (7, 1)]
+    assert rows(G.subtree(nodes, "id", "boss", 1, max_levels=0).select("id", "lvl")) == [(1, 0)]
+    with pytest.raises(ValueError, match="cycle"):
+        G.subtree(nodes, "id", "boss", 1, refuse_cycles=True)
+    assert rows(G.subtree(nodes.where("id < 6"), "id", "boss", 2, refuse_cycles=True).select("id")) == [(2,), (4,), (5,)]
+    assert rows(G.subtree(nodes, "id", "boss", 77).select("id")) == []
+
+
+def test_subtree_of_a_long_chain_takes_few_steps(spark, monkeypatch):
+    stored = []
+    keep = G.materialise
+    monkeypatch.setattr(G, "materialise", lambda df, name: stored.append(name) or keep(df, name))
+    n = 10_000
+    chain = spark.range(n).select(F.col("id"), F.when(F.col("id") > 0, F.col("id") - 1).alias("boss"))
+    out = G.subtree(chain, "id", "boss", 3)
+    assert out.where(F.col("lvl") != F.col("id") - 3).isEmpty() and out.count() == n - 3
+    assert len(stored) <= 9
+    assert G.subtree(chain, "id", "boss", 0, max_levels=70).count() == 71
+
+
+def test_subtree_equals_a_plain_walk(spark, rows):
+    draw = random.Random(3)
+    above = {i: draw.choice([None, draw.randint(0, 199), 5]) for i in range(200)}  # cycles, several roots, a hot parent
+    nodes = spark.createDataFrame(list(above.items()), "id int, boss int")
+    for most in (None, 1, 2, 5):
+        level, frontier, lvl = {5: 0}, [5], 0
+        while frontier and (most is None or lvl < most):
+            lvl += 1
+            frontier = [i for i, up in above.items() if up in frontier and i not in level]
+            level.update(dict.fromkeys(frontier, lvl))
+        assert rows(G.subtree(nodes, "id", "boss", 5, max_levels=most).select("id", "lvl")) == sorted(level.items(), key=repr)
 
 
 def test_common_targets_include_the_node_itself(spark, rows):
@@ -131,6 +162,9 @@ def test_divide(spark, rows):
     df = spark.createDataFrame([("x", 1), ("x", 2), ("y", 1), ("z", 1), ("z", 2), ("z", 3)], "k string, m int")
     wanted = spark.createDataFrame([(1,), (2,)], "m int")
     assert rows(J.divide(df, "k", "m", wanted)) == [("x",), ("z",)]
+    assert rows(J.divide(df, "k", "m", wanted, all_if_empty=True)) == [("x",), ("z",)]
+    assert rows(J.divide(df, "k", "m", wanted.where("m > 5"))) == []
+    assert rows(J.divide(df, "k", "m", wanted.where("m > 5"), all_if_empty=True)) == [("x",), ("y",), ("z",)]
 
 
 def test_group_by_all_keeps_empty_groups(spark, rows):
@@ -238,6 +272,11 @@ def test_only_a_percent_sign_makes_a_pattern(spark, rows):
         ("{}", "$.a.b", '{"a":{"b":"v"}}'),
         ('{"a":5,"s":"1"}', "$.a.b", '{"a":{"b":"v"},"s":"1"}'),
         (None, "$.a", None), ("[1]", "$.a", None), ("no", "$.a", None),
+        ('{"a":1,"b":[1,"2",null]}', "$.b[1]", '{"a":1,"b":[1,"v",null]}'),
+        ('{"b":[1,"2"]}', "$.b[2]", '{"b":[1,"2","v"]}'), ('{"b":[1]}', "$.b[5]", '{"b":[1]}'),
+        ('{"a":1}', "$.b[0]", '{"a":1}'), ('{"b":7}', "$.b[0]", '{"b":7}'),
+        ('{"r":[[1,2],[3,{"x":4}]]}', "$.r[1][1].x", '{"r":[[1,2],[3,{"x":"v"}]]}'),
+        ('{"r":[{"y":1}]}', "$.r[0].x.z", '{"r":[{"y":1,"x":{"z":"v"}}]}'), ('{"r":[1]}', "$.r[0].x", '{"r":[1]}'),
     ],
 )
 def test_json_member_is_set_by_path(spark, doc, path, wanted):
@@ -245,6 +284,71 @@ def test_json_member_is_set_by_path(spark, doc, path, wanted):
     assert df.select(JS.set_value(F.col("s"), path, F.lit("v"))).first()[0] == wanted
 
 
+def test_json_member_set_to_null_is_json(spark):
+    docs = ['{"a":1,"b":[1,2]}', "{}", '{"a":{"x":"y"}}']
+    df = spark.createDataFrame([(d,) for d in docs], "s string")
+    for value in (F.lit(None), F.lit(None).cast("int"), F.lit(None).cast("string")):
+        found = [r[0] for r in df.select(JS.set_value(F.col("s"), "$.a", value)).collect()]
+        assert found == ['{"a":null,"b":[1,2]}', '{"a":null}', '{"a":null}']
+    assert df.select(JS.set_value(F.col("s"), "$.b[0]", F.lit(None))).first()[0] == '{"a":1,"b":[null,2]}'
+    with pytest.raises(ValueError, match="not a member path"):
+        JS.set_value(F.col("s"), "$.b[x]y", F.lit(1))
+
+
+INTERVALS = {
+    "number": ("double", lambda n: n / 4),
+    "date": ("date", lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)),
+    "timestamp": ("timestamp", lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=n * 977)),
+    "clock": ("timestamp_ntz", lambda n: dt.datetime(1969, 12, 31, 23) + dt.timedelta(seconds=n / 2)),
+}
+
+
+@pytest.mark.parametrize("kind", INTERVALS)
+@pytest.mark.parametrize("closed", [True, False])
+def test_overlapping_intervals(spark, rows, kind, closed):
+    """Lengths from nothing to nearly everything, reversed and open ends, hot keys."""
+    draw, (ddl, make) = random.Random(7), INTERVALS[kind]
+
+    def side(n, first):
+        out = []
+        for i in range(n):
+            start = draw.randint(-500, 500)
+            length = draw.choice([0, 1, 1, 3, 10, 10, 60, 900, -5])
+            ends = [make(start), make(start + length)]
+            if draw.random() < 0.05:
+                ends[draw.randint(0, 1)] = None
+            out.append((first + i, draw.choice(["hot", "hot", "x", None]), *ends))
+        return out
+
+    a, b = side(120, 0), side(90, 1000)
+    left = spark.createDataFrame(a, f"i int, k string, a0 {ddl}, a1 {ddl}")
+    right = spark.createDataFrame(b, f"j int, k string, b0 {ddl}, b1 {ddl}")
+
+    def meet(p, q, keyed=True):
+        if None in (p[2], p[3], q[2], q[3]) or keyed and (p[1] is None or p[1] != q[1]) or p[2] > p[3] or q[2] > q[3]:
+            return False
+        if closed:
+            return p[2] <= q[3] and q[2] <= p[3]
+        return p[2] < q[3] and q[2] < p[3] and p[2] < p[3] and q[2] < q[3]
+
+    for width in (None, 5, 100_000):
+        found = J.overlapping(left, right, ("a0", "a1"), ("b0", "b1"), ["k"], closed, width)
+        assert found.columns == ["i", "k", "a0", "a1", "j", "b0", "b1"]
+        assert rows(found.select("i", "j")) == sorted(((p[0], q[0]) for p in a for q in b if meet(p, q)), key=repr)
+    found = J.overlapping(left.drop("k"), right.drop("k"), ("a0", "a1"), ("b0", "b1"), closed=closed)
+    assert rows(found.select("i", "j")) == sorted(((p[0], q[0]) for p in a for q in b if meet(p, q, False)), key=repr)
+    points = J.points_in_intervals(left, right, "a0", "b0", "b1", ["k"], closed)
+    inside = lambda p, q: meet((0, p[1], p[2], p[2]), q) if closed else (
+        None not in (p[1], p[2], q[2], q[3]) and p[1] == q[1] and q[2] <= p[2] < q[3])
+    assert rows(points.select("i", "j")) == sorted(((p[0], q[0]) for p in a for q in b if inside(p, q)), key=repr)
+
+
+def test_overlapping_nothing(spark):
+    left, right = spark.createDataFrame([], "a0 int, a1 int"), spark.createDataFrame([(1, 2)], "b0 int, b1 int")
+    assert J.overlapping(left, right, ("a0", "a1"), ("b0", "b1")).count() == 0
+    assert J.overlapping(right, left, ("b0", "b1"), ("a0", "a1")).count() == 0
+
+
 def test_orders_keep_all_their_lines(spark):
     lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
     counted = order_xml(order_lines(lines)).select(F.size(F.split("doc", "<OrderDetail ")) - 1).toPandas()
