@@ -8,16 +8,16 @@ one set from the start.
    exactly; sets that link are one component, and the overlap with its pivot tells how much
    a set differs from it.
 2. Index. The tokens of a set are ordered from rare to common (counts of all documents, in
-   a table of fixed size). Two sets that link share a token in their prefixes. Lists of a
-   token are ordered by set size, and within a list a partner is skipped when its size or
-   the places of the token rule a link out: everything behind it in the list goes with it.
-   Sets of one component skip each other, and a list within one component is not read. A
-   first round takes neighbours in each list only, which joins large groups of similar sets
-   by a number of pairs that grows with the lists; the second takes all that is left.
-3. Answers. A parity sketch of each set (256 bytes) bounds the overlap of a candidate pair
-   and rules most out. For a pair (y, z) that is left, the pivots' overlap is computed first; it bounds the
-   pair's own overlap to within the differences of y and z from their pivots, which
-   decides most pairs of similar sets. What is left is computed itself.
+   a table of fixed size). Two sets that link share a token in their prefixes. Postings are
+   narrow rows that Spark sorts by token, set size and place, and each task reads its lists
+   in a stream. Within a list a partner is skipped when its size or the places of the token
+   rule a link out, and sets of one component skip each other. Long lists are cut into
+   blocks; a pair of blocks whose sizes, places or components leave no link is skipped as a
+   whole, and those that are left are rows that Spark spreads.
+3. Answers. The index names pairs of pivots, not of sets, so a set that is close to a large
+   group of similar sets meets it once. The overlap of two pivots bounds that of their sets
+   to within what these have beyond them; parity sketches (256 bytes a set) bound it before
+   it is computed. That decides most groups as a whole. What is left is computed itself.
 
 Every link is decided by the exact overlap of whole sets or by bounds that prove it. Hashes
 are 64 bits; two different shingles of one pair of documents would have to collide to
@@ -31,12 +31,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import map_slices, stamp, text_or_empty
-from millrace.llm.hashing import CHUNK_BYTES, Rolling, maybe_in, mix
-from millrace.sources.tables import materialise
+from millrace.llm.hashing import Rolling, maybe_in, mix
+from millrace.sources.tables import discard, materialise
 
 WORDS = 5
 #: Links need an intersection of at least SHARE of SCALE parts of the union.
@@ -47,9 +48,10 @@ COUNTERS = 1 << 21
 PARITY = 2048
 COUNT_SLICES = 64
 SUM_ROWS = 256
-BUCKET_POSTINGS = 1_000_000
-#: Postings a task packs at one time.
-HELD_POSTINGS = 700_000
+#: Texts are cut into shingles in stretches of about this many bytes.
+CHUNK_BYTES = 1 << 19
+#: Entries of a block of a token's list.
+BLOCK_ENTRIES = 256
 MULTIPLIERS = mix(np.arange(1, 64, dtype="uint64")) | np.uint64(1)
 
 
@@ -205,8 +207,10 @@ def overlaps(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int) ->
     return materialise(map_slices(met.select("a", "b", "ta", "tb"), "a long, b long, o long", count), "overlaps")
 
 
-def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (``a, b, na, nb``) that the parity sketches do not rule out."""
+def sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (``a, b, na, nb, gain``) for which the parity sketches leave an overlap that
+    reaches a link together with ``gain``: SCALE + SHARE times the overlap plus it is not
+    negative."""
     sketch = sets.select("key", "parity")
     met = pairs.join(sketch.select(F.col("key").alias("a"), F.col("parity").alias("x")), "a")
     met = met.join(sketch.select(F.col("key").alias("b"), F.col("parity").alias("y")), "b")
@@ -216,10 +220,16 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             x, y = (np.frombuffer(b"".join(part[c]), "uint8").reshape(-1, PARITY // 8) for c in ("x", "y"))
             differ = np.bitwise_count(x ^ y).sum(1, dtype="int64")
             both = np.array(part["na"]) + np.array(part["nb"])
-            kept = np.flatnonzero((both - differ) * (SCALE + SHARE) >= 2 * both * SHARE)
-            yield {c: [part[c][i] for i in kept] for c in ("a", "b", "na", "nb")}
+            kept = np.flatnonzero((both - differ) * (SCALE + SHARE) + 2 * np.array(part["gain"]) >= 0)
+            yield {c: [part[c][i] for i in kept] for c in ("a", "b", "na", "nb", "gain")}
+
+    return map_slices(met.select("a", "b", "na", "nb", "gain", "x", "y"), "a long, b long, na long, nb long, gain long", keep)
 
-    return map_slices(met.select("a", "b", "na", "nb", "x", "y"), "a long, b long, na long, nb long", keep)
+
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (``a, b, na, nb``) that the parity sketches do not rule out."""
+    own = pairs.withColumn("gain", -F.lit(SHARE) * (F.col("na") + F.col("nb")))
+    return sketched(own, sets).drop("gain")
 
 
 def _links(o: Column, na: Column, nb: Column) -> Column:
@@ -249,69 +259,29 @@ def components(links: DataFrame) -> DataFrame:
     return materialise(labels, "components")
 
 
-def postings(rows: DataFrame, common: np.ndarray, buckets: int, words: int) -> DataFrame:
-    """Prefix tokens of the sets of ``rows`` (``key, comp, text``), packed: for each bucket of
-    tokens, the tokens, the number of the set and the place, beside the sets' own table. A
-    null key is that of a set on its own and is computed here."""
-    schema = "bucket long, token binary, number binary, place binary, keys array<long>, comps array<long>, sizes array<long>"
-
-    def packed(token, number, place, keys, comps, sizes) -> Iterator[dict]:
-        token, number, place = map(np.concatenate, (token, number, place))
-        keys, comps, sizes = (np.array(c, "int64") for c in (keys, comps, sizes))
-        bucket = (token % np.uint64(buckets)).astype("int64")
-        order = np.argsort(bucket, kind="stable")
-        bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        short = (mix(token) >> np.uint64(32)).astype("uint32")
-        for b in np.unique(bucket).tolist():
-            here = order[bounds[b] : bounds[b + 1]]
-            used, inner = np.unique(number[here], return_inverse=True)
-            yield {
-                "bucket": [b], "token": [short[here].tobytes()], "number": [inner.astype("uint32").tobytes()],
-                "place": [place[here].tobytes()], "keys": [keys[used]], "comps": [comps[used]], "sizes": [sizes[used]],
-            }
+def postings(rows: DataFrame, common: np.ndarray, words: int) -> DataFrame:
+    """Prefix tokens of the sets of ``rows`` (``pivot, comp, text``), a row each: the token, the
+    size of the set, the place of the token in it, the set's pivot and its component. A null
+    pivot is that of a set on its own and is computed here."""
 
-    def pack(parts: Iterator[dict]) -> Iterator[dict]:
-        held, n = ([], [], [], [], [], []), 0
+    def spread(parts: Iterator[dict]) -> Iterator[dict]:
         for part in parts:
-            for key, comp, tokens in zip(part["key"], part["comp"], shingle_sets(part["text"], words)):
+            held = []
+            for pivot, comp, tokens in zip(part["pivot"], part["comp"], shingle_sets(part["text"], words)):
                 size = len(tokens)
                 if not size:
                     continue
-                if key is None:
-                    key = comp = _set_keys(tokens)[0]
+                if pivot is None:
+                    pivot = comp = _set_keys(tokens)[0]
                 order = np.lexsort((tokens, common[_slot(tokens)]))[: size - math.ceil(size * SHARE / SCALE) + 1]
-                row = (tokens[order], np.full(len(order), len(held[3]), "uint32"), np.arange(len(order), dtype="uint32"), key, comp, size)
-                for column, value in zip(held, row):
-                    column.append(value)
-                n += len(order)
-            if n > HELD_POSTINGS:
-                yield from packed(*held)
-                held, n = ([], [], [], [], [], []), 0
-        if n:
-            yield from packed(*held)
-
-    return map_slices(rows.select("key", "comp", "text"), schema, pack)
-
-
-def _read_lists(group: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    """``token, key, comp, size, place`` of the tokens of a bucket that several sets have."""
-    tokens = [np.frombuffer(t, "uint32") for t in group["token"]]
-    together = np.concatenate(tokens)
-    order = np.argsort(together, kind="stable")
-    same = np.diff(together[order]) == 0
-    several = np.zeros(len(order), bool)  # tokens of one set only are left out at once
-    several[order[1:]] = same
-    several[order[:-1]] |= same
-    parts, at = [], 0
-    for row, own in zip(group.itertuples(index=False), tokens):
-        here = several[at : at + len(own)]
-        at += len(own)
-        number = np.frombuffer(row.number, "uint32")[here]
-        columns = [np.asarray(c, "int64")[number] for c in (row.keys, row.comps, row.sizes)]
-        parts.append((own[here], *columns, np.frombuffer(row.place, "uint32")[here].astype("int64")))
-    del together, order, same, several
-    token, key, comp, size, place = map(np.concatenate, zip(*parts))
-    return token, key, comp, size, place
+                held.append((tokens[order].view("int64"), size, pivot, comp))
+            if held:
+                length = [len(t) for t, *_ in held]
+                size, pivot, comp = (np.repeat(np.array(c, "int64"), length) for c in list(zip(*held))[1:])
+                place = np.concatenate([np.arange(n) for n in length])
+                yield {"token": np.concatenate([t for t, *_ in held]), "size": size, "place": place, "pivot": pivot, "comp": comp}
+
+    return map_slices(rows.select("pivot", "comp", "text"), "token long, size long, place long, pivot long, comp long", spread)
 
 
 def _may_link(size_x, size_y, place_x, place_y) -> np.ndarray:
@@ -324,48 +294,127 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
 
 
-def _neighbours(group: pd.DataFrame) -> pd.DataFrame:
-    """Each set with its neighbours in a token's list, in an order of its own for each token:
-    as many pairs as entries, and other partners in each list."""
-    token, key, comp, size, place = _read_lists(group)
-    order = np.lexsort((mix(key.view("uint64") ^ mix(token.astype("uint64"))), token))
-    token, key, comp, size, place = (c[order] for c in (token, key, comp, size, place))
-    x, y = np.arange(len(token) - 1), np.arange(1, len(token))
-    hit = (token[x] == token[y]) & (comp[x] != comp[y]) & _may_link(size[x], size[y], place[x], place[y])
-    pairs = _pairs(key[x[hit]], key[y[hit]])
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-
-def _candidates(group: pd.DataFrame) -> pd.DataFrame:
-    """Candidate pairs of one bucket: partners in a token's list, one step further each
-    time; an entry stops at the first partner that is too large for it."""
-    token, key, comp, size, place = _read_lists(group)
-    if not len(token):
-        return pd.DataFrame({"a": np.zeros(0, "int64"), "b": np.zeros(0, "int64")})
-    order = np.lexsort((place, key, size, token))
-    token, key, comp, size, place = (c[order] for c in (token, key, comp, size, place))
-    # Lists with one component only are skipped.
-    starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-    lengths = np.diff(np.append(starts, len(token)))
-    mixed = np.maximum.reduceat(comp, starts) != np.minimum.reduceat(comp, starts)
-    keep = np.repeat(mixed, lengths)
-    token, key, comp, size, place = (c[keep] for c in (token, key, comp, size, place))
-    found = []
-    at, step = np.arange(len(token)), 1
+def _within(columns: list[np.ndarray]) -> np.ndarray:
+    """Pairs of pivots from lists in the order of token and size: partners one step further
+    each time; an entry stops at the first partner that is too large for it, or when its
+    place leaves too little for any."""
+    token, size, place, pivot, comp = columns
+    # the smaller set has the larger part of itself in common: its prefix is shorter
+    early = place * (SCALE + SHARE) <= size * (SCALE - SHARE)
+    at, step, found = np.flatnonzero(early), 1, [np.zeros((0, 2), "int64")]
     while len(at):
         at = at[at + step < len(token)]
-        x, y = at, at + step
-        # the smaller set has the larger part of itself in common: its prefix is shorter
-        small = size[x] * (SCALE + SHARE) - 2 * SHARE * size[x]
-        goes_on = (token[x] == token[y]) & (size[x] * SCALE >= size[y] * SHARE) & (place[x] * (SCALE + SHARE) <= small)
-        at, x, y = at[goes_on], x[goes_on], y[goes_on]
-        hit = (comp[x] != comp[y]) & _may_link(size[x], size[y], place[x], place[y])
-        found.append(_pairs(key[x[hit]], key[y[hit]]))
-        if len(found) > 256:
-            found = [np.unique(np.concatenate(found), axis=0)]
+        y = at + step
+        goes_on = (token[at] == token[y]) & (size[at] * SCALE >= size[y] * SHARE)
+        at, y = at[goes_on], y[goes_on]
+        hit = (comp[at] != comp[y]) & _may_link(size[at], size[y], place[at], place[y])
+        if hit.any():
+            found.append(_pairs(pivot[at[hit]], pivot[y[hit]]))
         step += 1
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), "int64")
-    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _across(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Pairs of pivots between two blocks of one list, ``x`` before ``y``."""
+    (size, place, pivot, comp), other = ([c[:, None] for c in x], [c[None, :] for c in y])
+    hit = (comp != other[3]) & (size * SCALE >= other[0] * SHARE) & _may_link(size, other[0], place, other[1])
+    i, j = np.nonzero(hit)
+    return _pairs(x[2][i], y[2][j])
+
+
+LISTED = pa.schema([
+    ("a", pa.int64()), ("b", pa.int64()), ("token", pa.int64()), ("no", pa.int64()), ("low", pa.int64()), ("high", pa.int64()),
+    ("early", pa.int64()), ("comp_low", pa.int64()), ("comp_high", pa.int64()), ("entries", pa.binary()),
+])
+LISTED_DDL = ", ".join(f"{f.name} {'binary' if f.name == 'entries' else 'long'}" for f in LISTED)
+
+
+def read_lists(sorted_postings: DataFrame, block: int) -> DataFrame:
+    """Reads postings sorted by token, size and place. Lists of up to ``block`` entries give
+    pairs of pivots at once. Longer ones are cut into blocks: each gives the pairs within it,
+    and a row of its own with the bounds that let a pair of blocks be skipped (sizes, earliest
+    place, components). A task holds a batch and the part of a list that is not yet a block."""
+
+    def rows(pairs: np.ndarray, blocks: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if len(pairs):
+            empty = [None] * len(pairs)
+            columns = {"a": pairs[:, 0], "b": pairs[:, 1]} | {f: empty for f in LISTED.names[2:]}
+            yield pa.RecordBatch.from_pydict(columns, LISTED)
+        if blocks:
+            columns = dict(zip(LISTED.names, [[None] * len(blocks)] * 2 + [list(c) for c in zip(*blocks)]))
+            yield pa.RecordBatch.from_pydict(columns, LISTED)
+
+    def described(token: int, no: int, columns: list[np.ndarray]) -> tuple:
+        _, size, place, _, comp = columns
+        bounds = (size.min(), size.max(), place.min(), comp.min(), comp.max())
+        return (token, no, *map(int, bounds), np.stack(columns[1:]).astype("<i8").tobytes())
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, no = [np.zeros(0, "int64")] * 5, 0  # of the last token so far; blocks it had
+        for last, batch in _with_end(batches):
+            if batch is not None:
+                held = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, batch.columns)]
+            token = held[0]
+            if not len(token):
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            ends = np.append(starts[1:], len(token))
+            blocks, pairs, short = [], [], np.ones(len(token), bool)
+            for start, end in zip(starts.tolist(), ends.tolist()) if no or (ends - starts).max() > block else ():
+                own_no = no if start == 0 else 0
+                ongoing = end == len(token) and not last
+                if not own_no and end - start <= block:
+                    continue
+                short[start:end] = False
+                at = start
+                while end - at > block or at < end and not ongoing:
+                    part = [c[at : min(end, at + block)] for c in held]
+                    blocks.append(described(int(token[start]), own_no, part))
+                    pairs.append(_within(part))
+                    at, own_no = at + len(part[0]), own_no + 1
+                if ongoing:
+                    keep, kept_no = at, own_no
+            if last:
+                keep, kept_no = len(token), 0
+            elif short[starts[-1]]:
+                keep, kept_no = int(starts[-1]), 0
+            short[keep:] = False
+            pairs.append(_within([c[short] for c in held]))
+            yield from rows(np.unique(np.concatenate(pairs), axis=0), blocks)
+            held, no = [c[keep:] for c in held], kept_no
+
+    return sorted_postings.mapInArrow(read, LISTED_DDL)
+
+
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch | None]]:
+    for batch in batches:
+        yield False, batch
+    yield True, None
+
+
+def block_pairs(blocks: DataFrame) -> DataFrame:
+    """Pairs of pivots from different blocks of one list; pairs of blocks whose bounds leave no
+    link are never made, and each that is left is a row of its own."""
+    names = ["no", "low", "high", "early", "comp_low", "comp_high", "entries"]
+    x, y = (blocks.select("token", *[F.col(n).alias(f"{n}_{side}") for n in names]) for side in "xy")
+    one = (F.col("comp_low_x") == F.col("comp_high_y")) & (F.col("comp_high_x") == F.col("comp_low_y"))
+    met = x.join(y, "token").where(
+        (F.col("no_x") < F.col("no_y"))
+        & (F.col("high_x") * SCALE >= F.col("low_y") * SHARE)
+        & (F.col("early_x") * (SCALE + SHARE) <= F.col("high_x") * (SCALE - SHARE))
+        & ~one
+    )
+
+    def compare(parts: Iterator[dict]) -> Iterator[dict]:
+        for part in parts:
+            found = [np.zeros((0, 2), "int64")]
+            for x, y in zip(part["entries_x"], part["entries_y"]):
+                found.append(_across(*(list(np.frombuffer(e, "<i8").reshape(4, -1)) for e in (x, y))))
+            pairs = np.unique(np.concatenate(found), axis=0)
+            yield {"a": pairs[:, 0], "b": pairs[:, 1]}
+
+    spread = met.repartition("token", "no_x", "no_y")
+    return map_slices(spread.select("entries_x", "entries_y"), "a long, b long", compare)
 
 
 def jaccard_components(
@@ -404,17 +453,16 @@ def jaccard_components(
     closest = linked.groupBy(F.col("a").alias("key")).agg(F.max(F.struct("o", "b")).alias("best"))
     closest = materialise(closest.select("key", F.col("best.b").alias("pivot"), F.col("best.o").alias("shared")), "pivots")
 
-    # 2. index: neighbours in the lists first, so that large groups of similar sets become
-    # components before all partners are asked for
-    links = linked.select("a", "b")
-    common = rarity(described)
-    for neighbours_only in (True, False):
-        found = _indexed(listed, sets, stamped, first, common, words, neighbours_only)
-        candidates = materialise(possible(_with_sizes(found, sized), sets), "candidates")
-        # 3. answers
-        more = _answers(candidates, closest, sized, sets, stamped, words)
-        links = links.unionByName(more)
-        first = components(links)
+    # 2. index, 3. answers
+    groups = sets.join(first, "key", "left").join(closest, "key", "left").select(
+        "key", "place", "n_same", "n", F.coalesce("label", "key").alias("comp"), F.coalesce("pivot", "key").alias("pivot"),
+        (F.col("n") - F.coalesce("shared", "n")).alias("beyond"), F.col("label").isNotNull().alias("related"),
+    )
+    groups = materialise(groups, "groups")
+    found = _indexed(listed, groups, stamped, rarity(described), words)
+    more = _answers(found, groups, sets, stamped, words)
+    links = linked.select("a", "b").unionByName(more)
+    first = components(links)
     named = sets.select("key", "least_id", "n_same").join(first, "key", "left").withColumn("label", F.coalesce("label", "key"))
     ids = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     named = named.join(ids, "label").select("key", "component_id", "n_same")
@@ -423,29 +471,27 @@ def jaccard_components(
     return out.select("doc_id", "n_shingles", own_id.alias("component_id"), "n_same", "t")
 
 
-def _indexed(
-    listed: DataFrame, sets: DataFrame, docs: DataFrame, label: DataFrame, common: np.ndarray, words: int,
-    neighbours_only: bool,
-) -> DataFrame:
-    """Candidate pairs ``a, b`` of sets in different components (``label``: ``key, label`` of
-    those that have more than one set). Only documents of such sets, or of sets with several
-    documents, are joined with their labels; the others are their own component."""
-    total = sets.agg(F.sum(F.floor(F.col("n") / 4) + 1)).first()[0] or 0
-    buckets = max(1, int(total) // BUCKET_POSTINGS)
-    labelled = sets.join(label, "key", "left").select(
-        "key", "place", "n_same", F.coalesce("label", "key").alias("comp"), F.col("label").isNotNull().alias("related")
-    )
-    several = materialise(labelled.where("related OR n_same > 1"), "related-sets")
+def _indexed(listed: DataFrame, groups: DataFrame, docs: DataFrame, common: np.ndarray, words: int) -> DataFrame:
+    """Pairs ``a, b`` of pivots for which sets of different components share a prefix token.
+    Only documents of sets that have a component or several documents are joined with their
+    group; the others are their own. Stored."""
+    several = materialise(groups.where("related OR n_same > 1").select("key", "place", "comp", "pivot"), "related-sets")
     mark = F.xxhash64("doc_id", "t")
     known_docs = listed.where("n > 0").join(several.select("key"), "key", "left_semi").select("doc_id", "t")
     aside = maybe_in(known_docs, mark, mark)
-    own = _text_of(labelled.select("key", "place", "comp"), docs.where(aside))
+    own = _text_of(groups.select("key", "place", "comp", "pivot"), docs.where(aside))
     none = F.lit(None).cast("long")
-    alone = docs.where(~aside).select(none.alias("key"), none.alias("comp"), "text")
-    lists = postings(alone.unionByName(own.select("key", "comp", "text")), common, buckets, words)
-    schema = "a long, b long"
-    work = _neighbours if neighbours_only else _candidates
-    return lists.groupBy("bucket").applyInPandas(work, schema).distinct()
+    alone = docs.where(~aside).select(none.alias("pivot"), none.alias("comp"), "text")
+    rows = postings(alone.unionByName(own.select("pivot", "comp", "text")), common, words)
+    ordered = rows.repartition("token").sortWithinPartitions("token", "size", "place", "pivot")
+    lists = materialise(read_lists(ordered, BLOCK_ENTRIES), "lists")
+    pairs = lists.where("a IS NOT NULL").select("a", "b")
+    blocks = lists.where("a IS NULL").drop("a", "b")
+    if not blocks.isEmpty():
+        pairs = pairs.unionByName(block_pairs(blocks))
+    pairs = materialise(pairs.distinct(), "pivot-pairs")
+    discard(lists)
+    return pairs
 
 
 def _with_sizes(pairs: DataFrame, sized: DataFrame) -> DataFrame:
@@ -453,31 +499,33 @@ def _with_sizes(pairs: DataFrame, sized: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b")
 
 
-def _answers(candidates: DataFrame, closest: DataFrame, sized: DataFrame, sets: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """Links ``a, b`` among the candidates (``a, b, na, nb``). With pivots p of a and q of b,
-    the overlap of a and b is that of p and q, less at most what p and q have beyond a and b,
-    plus at most what a and b have beyond p and q."""
-    pivot = closest.join(sized.select(F.col("key").alias("pivot"), F.col("n").alias("np")), "pivot")
-    pivot = pivot.select("key", "pivot", (F.col("np") - F.col("shared")).alias("lost"), "shared")
-    known = candidates
+def _answers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """Links ``a, b`` that connect the sets of the pivot pairs, as far as components go.
+
+    For x of pivot p and y of pivot q the overlap is at most that of p and q plus what x and
+    y have beyond p and q. The largest such gain of each pivot's sets bounds all their pairs
+    together: first with the overlap that the sketches of p and q allow, then with their
+    exact one. Pivots that link connect their sets. Of the others, sets whose own gain
+    still allows a link are paired, and decided by sketch and exact overlap."""
+    whole, share = F.lit(SCALE + SHARE), F.lit(SHARE)
+    gain = groups.groupBy(F.col("pivot").alias("key")).agg(F.max(whole * F.col("beyond") - share * F.col("n")).alias("gain"))
+    asked = pairs
     for side in ("a", "b"):
-        own = pivot.select(F.col("key").alias(side), F.col("pivot").alias(f"p{side}"), F.col("lost").alias(f"l{side}"), F.col("shared").alias(f"s{side}"))
-        known = known.join(own, side, "left")
-    known = known.select(
-        "a", "b", "na", "nb",
-        F.coalesce("pa", "a").alias("pa"), F.coalesce("pb", "b").alias("pb"),
-        (F.coalesce("la", F.lit(0)) + F.coalesce("lb", F.lit(0))).alias("less"),
-        (F.col("na") - F.coalesce("sa", "na") + F.col("nb") - F.coalesce("sb", "nb")).alias("more"),
-    )
-    known = materialise(known, "candidate-pivots")
-    asked = known.where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
-    found = overlaps(asked, sets, docs, words).select(F.col("a").alias("x"), F.col("b").alias("y"), "o")
-    met = known.join(found, (F.least("pa", "pb") == F.col("x")) & (F.greatest("pa", "pb") == F.col("y")), "left")
-    least, most = F.col("o") - F.col("less"), F.col("o") + F.col("more")
-    sure = F.coalesce(_links(least, F.col("na"), F.col("nb")), F.lit(False))
-    never = F.coalesce(~_links(most, F.col("na"), F.col("nb")), F.lit(False))
-    judged = materialise(met.select("a", "b", "na", "nb", sure.alias("sure"), never.alias("never")), "judged")
-    left = judged.where("NOT sure AND NOT never")
+        asked = asked.join(gain.select(F.col("key").alias(side), F.col("gain").alias(f"g{side}")), side)
+    asked = _with_sizes(asked.withColumn("gain", F.col("ga") + F.col("gb")).select("a", "b", "gain"), sets.select("key", "n"))
+    asked = materialise(sketched(asked, sets), "asked-pivots")
+    known = overlaps(asked, sets, docs, words).join(asked, ["a", "b"])
+    known = materialise(known, "known-pivots")
+    linked = _links(F.col("o"), F.col("na"), F.col("nb"))
+    open_ = known.where(~linked & (whole * F.col("o") + F.col("gain") >= 0)).select(F.col("a").alias("p"), F.col("b").alias("q"), "o")
+    x, y = (
+        groups.select(F.col("pivot").alias(pivot), F.col("key").alias(key), F.col("n").alias(f"n{key}"), F.col("beyond").alias(f"m{key}"))
+        for pivot, key in (("p", "a"), ("q", "b"))
+    )
+    near = whole * (F.col("o") + F.col("ma") + F.col("mb")) >= share * (F.col("na") + F.col("nb"))
+    pivots = (F.col("a") == F.col("p")) & (F.col("b") == F.col("q"))
+    left = open_.join(x, "p").join(y, "q").where(near & ~pivots)
+    left = materialise(possible(left.select("a", "b", "na", "nb").distinct(), sets), "candidates")
     exact = overlaps(left, sets, docs, words).join(left.select("a", "b", "na", "nb"), ["a", "b"])
     exact = exact.where(_links(F.col("o"), F.col("na"), F.col("nb")))
-    return judged.where("sure").select("a", "b").unionByName(exact.select("a", "b"))
+    return known.where(linked).select("a", "b").unionByName(exact.select("a", "b"))
