@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bpe import decode, encode
 from millrace.llm.byte_bpe import decode_bytes, encode_bytes
+from millrace.llm.common import text_or_empty
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.jaccard import jaccard_components
 from millrace.llm.langid import document_records, identify, page_records
@@ -17,7 +18,7 @@ from millrace.llm.packing import pack
 from millrace.llm.prefix_trie import conversation_trie
 from millrace.llm.quality import quality_scores
 from millrace.llm.sharding import shard_by_bytes
-from millrace.llm.suffix_dedup import remove_repeats
+from millrace.llm.suffix_dedup import remove_repeats, whole_characters
 from millrace.llm.topk import top_k
 from millrace.llm.url_filter import judge_urls
 from millrace.llm.vector_codes import books_digest, compress
@@ -140,7 +141,7 @@ ORACLES["op1_topk"] = """
 
 @query
 def op8_suffix_dedup(t: Tables) -> DataFrame:
-    """Every copy goes here, the first one too."""
+    """Every copy goes here, the first one too. ``text`` is what is left of the text."""
     cut = remove_repeats(t.documents.select("doc_id", "text"), 400, keep_first=False)
     removed = F.aggregate("_spans", F.lit(0).cast("long"), lambda sum_, s: sum_ + s["end"] - s["begin"])
     return cut.select(
@@ -149,6 +150,7 @@ def op8_suffix_dedup(t: Tables) -> DataFrame:
         F.coalesce(removed, F.lit(0)).alias("n_removed"),
         F.coalesce(F.size("_spans"), F.lit(0)).cast("long").alias("n_spans"),
         F.sha2("_kept", 256).alias("kept_sha256"),
+        F.when(F.col("_spans").isNull(), text_or_empty()).otherwise(whole_characters(F.col("_kept"))).alias("text"),
     )
 
 

@@ -38,6 +38,8 @@ from millrace.llm.hashing import CHUNK_BYTES, Rolling, maybe_in, mix
 from millrace.sources.tables import materialise
 
 MIN_BYTES = 400
+#: Windows a task hashes at one time.
+HELD_WINDOWS = 100_000
 OPEN_SEGMENTS = 1_024
 BUCKET_SEGMENTS = 1_500
 #: Bytes that are white space between words, and those of letters and digits.
@@ -273,21 +275,31 @@ def _count_windows(parts: DataFrame, min_bytes: int) -> DataFrame:
     counted by Spark. Every window is one narrow row, and equal ones meet in a sum."""
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def table(held: list[tuple]) -> pd.DataFrame:
+            length = [len(at) for *_, at, _, _ in held]
+            out = {name: np.repeat([r[i] for r in held], length) for i, name in enumerate(("doc_id", "none", "t", "start"))}
+            return pd.DataFrame(out | {name: np.concatenate([r[i] for r in held]) for i, name in ((4, "at"), (5, "h"), (6, "g"))})
+
         for batch in batches:
+            held, n = [], 0
             for row in batch.itertuples(index=False):
                 data = np.frombuffer(row.data, "uint8")
                 at = np.arange(len(data) - min_bytes + 1)
                 one, two = Rolling(data), Rolling(data[::-1].copy())
                 back = len(data) - at
-                yield pd.DataFrame(
-                    {
-                        "doc_id": row.doc_id, "none": row.none, "t": row.t, "start": row.start,
-                        "at": at.astype("int32"), "h": one.of(at, at + min_bytes).view("int64"),
-                        "g": two.of(back - min_bytes, back).view("int64"),
-                    }
-                )
-
-    rows = parts.select("doc_id", "t", "start", "data").dropDuplicates(["doc_id", "t", "start"])
+                h, g = one.of(at, at + min_bytes).view("int64"), two.of(back - min_bytes, back).view("int64")
+                held.append((row.doc_id, row.none, row.t, row.start, at.astype("int32"), h, g))
+                n += len(at)
+                if n > HELD_WINDOWS:
+                    yield table(held)
+                    held, n = [], 0
+            if held:
+                yield table(held)
+
+    # The rows are few and small, but each becomes many: they are dealt to all tasks.
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["doc_id", "t", "start"]
+    rows = parts.select(*keys, "data").repartition(tasks, *keys).dropDuplicates(keys)
     rows = flagged(rows).mapInPandas(hashes, "doc_id long, none boolean, t long, start long, at int, h long, g long")
     rows = rows.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
     rows = materialise(rows, "hot-windows")
