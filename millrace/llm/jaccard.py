@@ -11,7 +11,7 @@ one set from the start.
    a table of fixed size). Two sets that link share a token in their prefixes. Postings are
    narrow rows that Spark sorts by token, set size and place, and each task reads its lists
    in a stream. Within a list a partner is skipped when its size or the places of the token
-   rule a link out, and sets of one component skip each other. Long lists are cut into
+   or a small parity sketch (16 bytes) rule a link out, and sets of one component skip each other. Long lists are cut into
    blocks; a pair of blocks whose sizes, places or components leave no link is skipped as a
    whole, and those that are left are rows that Spark spreads.
 3. Answers. The index names pairs of pivots, not of sets, so a set that is close to a large
@@ -46,6 +46,8 @@ BANDS, BAND_ROWS = 6, 2
 COUNTERS = 1 << 21
 #: Bits of the parity sketch of a set.
 PARITY = 2048
+#: Bits of the one that goes with every posting.
+SMALL_PARITY = 128
 COUNT_SLICES = 64
 SUM_ROWS = 256
 #: Texts are cut into shingles in stretches of about this many bytes.
@@ -111,10 +113,10 @@ def _bands(tokens: np.ndarray) -> list[int]:
     return mix((packed * MULTIPLIERS[:BAND_ROWS]).sum(1, dtype="uint64")).view("int64").tolist()
 
 
-def _parity(tokens: np.ndarray) -> bytes:
-    """One bit for each of PARITY classes of tokens: whether the set has an odd number of
+def _parity(tokens: np.ndarray, bits: int = PARITY) -> bytes:
+    """One bit for each of ``bits`` classes of tokens: whether the set has an odd number of
     them. Two sets differ by at least as many tokens as their sketches differ by bits."""
-    odd = np.bincount((tokens >> np.uint64(20)).astype("int64") % PARITY, minlength=PARITY) & 1
+    odd = np.bincount((tokens >> np.uint64(20)).astype("int64") % bits, minlength=bits) & 1
     return np.packbits(odd.astype("uint8")).tobytes()
 
 
@@ -261,8 +263,9 @@ def components(links: DataFrame) -> DataFrame:
 
 def postings(rows: DataFrame, common: np.ndarray, words: int) -> DataFrame:
     """Prefix tokens of the sets of ``rows`` (``pivot, comp, text``), a row each: the token, the
-    size of the set, the place of the token in it, the set's pivot and its component. A null
-    pivot is that of a set on its own and is computed here."""
+    size of the set and the place of the token in it (``rank``, one number), the set's pivot
+    and component, and a small parity sketch of the set (``s0, s1``). A null pivot is that of
+    a set on its own and is computed here."""
 
     def spread(parts: Iterator[dict]) -> Iterator[dict]:
         for part in parts:
@@ -274,14 +277,16 @@ def postings(rows: DataFrame, common: np.ndarray, words: int) -> DataFrame:
                 if pivot is None:
                     pivot = comp = _set_keys(tokens)[0]
                 order = np.lexsort((tokens, common[_slot(tokens)]))[: size - math.ceil(size * SHARE / SCALE) + 1]
-                held.append((tokens[order].view("int64"), size, pivot, comp))
+                sketch = np.frombuffer(_parity(tokens, SMALL_PARITY), "<i8")
+                held.append((tokens[order].view("int64"), size, pivot, comp, *sketch.tolist()))
             if held:
                 length = [len(t) for t, *_ in held]
-                size, pivot, comp = (np.repeat(np.array(c, "int64"), length) for c in list(zip(*held))[1:])
+                size, *others = (np.repeat(np.array(c, "int64"), length) for c in list(zip(*held))[1:])
                 place = np.concatenate([np.arange(n) for n in length])
-                yield {"token": np.concatenate([t for t, *_ in held]), "size": size, "place": place, "pivot": pivot, "comp": comp}
+                columns = (np.concatenate([t for t, *_ in held]), size << 32 | place, *others)
+                yield dict(zip(("token", "rank", "pivot", "comp", "s0", "s1"), columns))
 
-    return map_slices(rows.select("pivot", "comp", "text"), "token long, size long, place long, pivot long, comp long", spread)
+    return map_slices(rows.select("pivot", "comp", "text"), "token long, rank long, pivot long, comp long, s0 long, s1 long", spread)
 
 
 def _may_link(size_x, size_y, place_x, place_y) -> np.ndarray:
@@ -290,6 +295,14 @@ def _may_link(size_x, size_y, place_x, place_y) -> np.ndarray:
     return most * (SCALE + SHARE) >= (size_x + size_y) * SHARE
 
 
+def _alike(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Whether the small sketches of two sets allow a link: the sets differ by at least as many
+    tokens as these by bits. ``x`` and ``y``: sizes and the two halves of the sketches."""
+    differ = sum(np.bitwise_count((a ^ b).view("uint64")).astype("int64") for a, b in zip(x[1:], y[1:]))
+    both = x[0] + y[0]
+    return (both - differ) * (SCALE + SHARE) >= 2 * both * SHARE
+
+
 def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
 
@@ -298,7 +311,7 @@ def _within(columns: list[np.ndarray]) -> np.ndarray:
     """Pairs of pivots from lists in the order of token and size: partners one step further
     each time; an entry stops at the first partner that is too large for it, or when its
     place leaves too little for any."""
-    token, size, place, pivot, comp = columns
+    token, size, place, pivot, comp, *sketch = columns
     # the smaller set has the larger part of itself in common: its prefix is shorter
     early = place * (SCALE + SHARE) <= size * (SCALE - SHARE)
     at, step, found = np.flatnonzero(early), 1, [np.zeros((0, 2), "int64")]
@@ -308,18 +321,21 @@ def _within(columns: list[np.ndarray]) -> np.ndarray:
         goes_on = (token[at] == token[y]) & (size[at] * SCALE >= size[y] * SHARE)
         at, y = at[goes_on], y[goes_on]
         hit = (comp[at] != comp[y]) & _may_link(size[at], size[y], place[at], place[y])
-        if hit.any():
-            found.append(_pairs(pivot[at[hit]], pivot[y[hit]]))
+        i, j = at[hit], y[hit]
+        near = _alike([c[i] for c in (size, *sketch)], [c[j] for c in (size, *sketch)])
+        if near.any():
+            found.append(_pairs(pivot[i[near]], pivot[j[near]]))
         step += 1
     return np.unique(np.concatenate(found), axis=0)
 
 
 def _across(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     """Pairs of pivots between two blocks of one list, ``x`` before ``y``."""
-    (size, place, pivot, comp), other = ([c[:, None] for c in x], [c[None, :] for c in y])
+    (size, place, _, comp, *_), other = ([c[:, None] for c in x], [c[None, :] for c in y])
     hit = (comp != other[3]) & (size * SCALE >= other[0] * SHARE) & _may_link(size, other[0], place, other[1])
     i, j = np.nonzero(hit)
-    return _pairs(x[2][i], y[2][j])
+    near = _alike([x[c][i] for c in (0, 4, 5)], [y[c][j] for c in (0, 4, 5)])
+    return _pairs(x[2][i[near]], y[2][j[near]])
 
 
 LISTED = pa.schema([
@@ -330,7 +346,7 @@ LISTED_DDL = ", ".join(f"{f.name} {'binary' if f.name == 'entries' else 'long'}"
 
 
 def read_lists(sorted_postings: DataFrame, block: int) -> DataFrame:
-    """Reads postings sorted by token, size and place. Lists of up to ``block`` entries give
+    """Reads postings sorted by token and rank. Lists of up to ``block`` entries give
     pairs of pivots at once. Longer ones are cut into blocks: each gives the pairs within it,
     and a row of its own with the bounds that let a pair of blocks be skipped (sizes, earliest
     place, components). A task holds a batch and the part of a list that is not yet a block."""
@@ -345,15 +361,17 @@ def read_lists(sorted_postings: DataFrame, block: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict(columns, LISTED)
 
     def described(token: int, no: int, columns: list[np.ndarray]) -> tuple:
-        _, size, place, _, comp = columns
+        _, size, place, _, comp, *_ = columns
         bounds = (size.min(), size.max(), place.min(), comp.min(), comp.max())
         return (token, no, *map(int, bounds), np.stack(columns[1:]).astype("<i8").tobytes())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, no = [np.zeros(0, "int64")] * 5, 0  # of the last token so far; blocks it had
+        held, no = [np.zeros(0, "int64")] * 7, 0  # of the last token so far; blocks it had
         for last, batch in _with_end(batches):
             if batch is not None:
-                held = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, batch.columns)]
+                token, rank, *others = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+                fresh = (token, rank >> 32, rank & 0xFFFFFFFF, *others)
+                held = [np.concatenate([h, c]) for h, c in zip(held, fresh)]
             token = held[0]
             if not len(token):
                 continue
@@ -409,7 +427,7 @@ def block_pairs(blocks: DataFrame) -> DataFrame:
         for part in parts:
             found = [np.zeros((0, 2), "int64")]
             for x, y in zip(part["entries_x"], part["entries_y"]):
-                found.append(_across(*(list(np.frombuffer(e, "<i8").reshape(4, -1)) for e in (x, y))))
+                found.append(_across(*(list(np.frombuffer(e, "<i8").reshape(6, -1)) for e in (x, y))))
             pairs = np.unique(np.concatenate(found), axis=0)
             yield {"a": pairs[:, 0], "b": pairs[:, 1]}
 
@@ -483,7 +501,7 @@ def _indexed(listed: DataFrame, groups: DataFrame, docs: DataFrame, common: np.n
     none = F.lit(None).cast("long")
     alone = docs.where(~aside).select(none.alias("pivot"), none.alias("comp"), "text")
     rows = postings(alone.unionByName(own.select("pivot", "comp", "text")), common, words)
-    ordered = rows.repartition("token").sortWithinPartitions("token", "size", "place", "pivot")
+    ordered = rows.repartition("token").sortWithinPartitions("token", "rank", "pivot")
     lists = materialise(read_lists(ordered, BLOCK_ENTRIES), "lists")
     pairs = lists.where("a IS NOT NULL").select("a", "b")
     blocks = lists.where("a IS NULL").drop("a", "b")

@@ -17,10 +17,12 @@ def test_lists_give_all_pairs_that_may_link(spark, block):
     rows = set()
     for p in range(120):
         size, comp = rnd.choice([8, 9, 10, 12, 40, 41, 400]), rnd.choice([p, 7, 7])
+        sketch = rnd.choice([0, 1, 0xFF, -1]), rnd.choice([0, -2])
         for token in {5, rnd.randrange(-4, 4), 10_000 + p}:
-            rows.add((token, size, rnd.randrange(0, 1 + size // 4), p, comp))
-    df = spark.createDataFrame(sorted(rows), "token long, size long, place long, pivot long, comp long").repartition(3, "token")
-    lists = read_lists(df.sortWithinPartitions("token", "size", "place", "pivot"), block).cache()
+            rows.add((token, size, rnd.randrange(0, 1 + size // 4), p, comp, *sketch))
+    packed = [(t, size << 32 | place, *others) for t, size, place, *others in sorted(rows)]
+    df = spark.createDataFrame(packed, "token long, rank long, pivot long, comp long, s0 long, s1 long").repartition(3, "token")
+    lists = read_lists(df.sortWithinPartitions("token", "rank", "pivot"), block).cache()
     pairs = lists.where("a IS NOT NULL").select("a", "b").unionByName(block_pairs(lists.where("a IS NULL").drop("a", "b")))
     found = {tuple(r) for r in pairs.collect()}
     wanted, allowed = set(), set()
@@ -30,7 +32,9 @@ def test_lists_give_all_pairs_that_may_link(spark, block):
                 pair = (min(x[3], y[3]), max(x[3], y[3]))
                 allowed.add(pair)
                 # A link needs 175 * overlap >= 75 * (both sizes), and the overlap is at most what follows the token.
-                if 100 * x[1] >= 75 * y[1] and bool(_may_link(*(np.array(v) for v in (x[1], y[1], x[2], y[2])))):
+                differ = sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(x[5:], y[5:]))
+                near = 175 * (x[1] + y[1] - differ) >= 150 * (x[1] + y[1])
+                if near and 100 * x[1] >= 75 * y[1] and bool(_may_link(*(np.array(v) for v in (x[1], y[1], x[2], y[2])))):
                     wanted.add(pair)
     assert wanted <= found <= allowed and wanted
 
