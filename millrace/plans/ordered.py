@@ -3,8 +3,9 @@
 A window over ``PARTITION BY key ORDER BY x`` puts a whole key into one task, and
 a window without keys puts the whole table there. The functions here use the
 plain window while every group is small. Larger groups are cut into slices along
-the order columns; each slice is worked on alone, a one-row summary per slice is
-scanned for the carry, and the carry is joined back. Results are the same.
+the order columns by Spark's range partitioner; each slice is worked on alone, a
+one-row summary per slice is scanned for the carry, and the carry is joined back.
+Results are the same.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ from millrace.sources.tables import materialise
 #: Largest group (rows) that one task handles; override by this session setting.
 HOT_ROWS = 2_000_000
 HOT_ROWS_CONF = "millrace.hotRows"
-#: Most cut points in one list; tables that need more are cut in two stages.
-MAX_CUTS = 16_384
-CUTS_CONF = "millrace.maxCuts"
+#: Most slices of one table, which bounds the range partitioner's sample; beyond that
+#: number slices grow, and a task sorts its slice with spills.
+MAX_SLICES = 16_384
+SLICES_CONF = "millrace.maxSlices"
 
 START = W.unboundedPreceding
 
@@ -100,8 +102,8 @@ def by_heat(
     ``at_most`` is an upper bound of the row count if one is already known; the
     rows are counted otherwise. The hot keys are a stored table, which is joined as
     its size suggests, so the limit is the same for every table. When hot keys exist
-    the input is written once, because the sliced plan reads it for counts, cut
-    points and summaries. Both plans give the columns and types of ``plain``.
+    the input is written once, because the sliced plan reads it for counts, the
+    partitioner's sample and its slices. Both plans give the columns and types of ``plain``.
     ``heat``: the answer, if a former step of a chain has found it.
     """
     heat = heat or heat_of(df, keys, at_most)
@@ -121,37 +123,24 @@ def _typed_like(model: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add ``_slice``, a number that grows with the order columns, and ``_group``,
-    the key and slice as one value to partition and join by.
+    """Add ``_slice``, a number that grows with the keys and the order columns.
 
-    Cut points are the order values of a hash sample, so every slice holds about
-    the same number of rows whatever the distribution. The sample depends on the
-    values alone and is the same each time it is computed.
+    A slice is a partition of Spark's range partitioner, so all slices hold about the
+    same number of rows whatever the distribution. The rows are stored with the numbers
+    of their slices, which therefore stay what they are when a task is run again.
     """
-    most = int(df.sparkSession.conf.get(CUTS_CONF, str(MAX_CUTS)))
-    step = max(1, hot_rows(df) // 2)
-    coarse = max(step, df.count() // most)
-    here = F.struct(*order)
-
-    def sampled(every: int) -> Column:
-        return F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0
-
-    def position(cuts: Column) -> Column:
-        """Binary search: how many cut points are not above this row."""
-        jumps = F.array(*[F.lit(1 << i) for i in range(most.bit_length() + 1, -1, -1)])
-        above = lambda at, jump: F.when(F.get(cuts, at + jump - 1) <= here, jump).otherwise(0)
-        return F.aggregate(jumps, F.lit(0), lambda at, jump: at + above(at, jump))
-
-    # The projections collapse into one, in which the cuts are a constant.
-    cuts = df.where(sampled(coarse)).agg(F.array_sort(F.collect_set(here)).alias("cuts")).scalar()
-    df = df.withColumn("_cuts", cuts).withColumn("_slice", position(F.col("_cuts")).cast("long")).drop("_cuts")
-    if coarse > step:
-        # Slices of the first stage are too large: each gets cut points of its own.
-        own = df.where(sampled(step)).groupBy("_slice").agg(F.array_sort(F.collect_set(here)).alias("_own"))
-        df = df.join(materialise(own, "cuts"), "_slice", "left")
-        inner = F.coalesce(position(F.col("_own")), F.lit(0))
-        df = df.withColumn("_slice", F.shiftleft("_slice", 32) + inner).drop("_own")
-    return df.withColumn("_group", F.struct(*keys, "_slice"))
+    conf = df.sparkSession.conf
+    most = int(conf.get(SLICES_CONF, str(MAX_SLICES)))
+    wanted = -(-df.count() // max(1, hot_rows(df) // 2))
+    number = min(most, max(wanted, int(conf.get("spark.sql.shuffle.partitions"))))
+    ranged = df.repartitionByRange(number, *keys, *order)
+    return materialise(ranged.withColumn("_slice", F.spark_partition_id().cast("long")), "slices")
+
+
+def _with_carry(df: DataFrame, keys: Sequence[str], carry: DataFrame) -> DataFrame:
+    """Join one row of each slice and key. They are stored, so the planner knows that they
+    are small and the rows need no further shuffle."""
+    return join_null_safe(df, materialise(carry, "carry"), ["_slice", *keys])
 
 
 def running(
@@ -180,13 +169,13 @@ def running_sliced(
 ) -> DataFrame:
     """``running`` for an input whose keys are all hot."""
     d = with_slices(df, keys, order)
-    local = W.partitionBy("_group").orderBy(*order).rowsBetween(START, 0)
-    parts = d.groupBy("_group").agg(*[_FOLD[f][0](x).alias(f"_p_{n}") for n, (f, x) in aggs.items()])
-    before = W.partitionBy(*[F.col("_group")[k] for k in keys]).orderBy("_group._slice").rowsBetween(START, -1)
+    local = W.partitionBy("_slice", *keys).orderBy(*order).rowsBetween(START, 0)
+    parts = d.groupBy("_slice", *keys).agg(*[_FOLD[f][0](x).alias(f"_p_{n}") for n, (f, x) in aggs.items()])
+    before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(START, -1)
     carry = parts.select(
-        "_group", *[_FOLD[f][1](F.col(f"_p_{n}")).over(before).alias(f"_c_{n}") for n, (f, _) in aggs.items()]
+        "_slice", *keys, *[_FOLD[f][1](F.col(f"_p_{n}")).over(before).alias(f"_c_{n}") for n, (f, _) in aggs.items()]
     )
-    d = d.withColumns({n: _FOLD[f][0](x).over(local) for n, (f, x) in aggs.items()}).join(carry, "_group")
+    d = _with_carry(d.withColumns({n: _FOLD[f][0](x).over(local) for n, (f, x) in aggs.items()}), keys, carry)
     combined = {}
     for n, (f, _) in aggs.items():
         own, prior = F.col(n), F.col(f"_c_{n}")
@@ -194,7 +183,7 @@ def running_sliced(
             combined[n] = F.coalesce(own + prior, own, prior)
         else:
             combined[n] = (F.least if f == "min" else F.greatest)(own, prior)
-    return d.withColumns(combined).drop("_group", "_slice", *[f"_c_{n}" for n in aggs])
+    return d.withColumns(combined).drop("_slice", *[f"_c_{n}" for n in aggs])
 
 
 def number_rows(
@@ -229,12 +218,12 @@ def neighbours(
         d = with_slices(d, keys, order)
         columns = sorted({*previous.values(), *following.values()})
         row, place = F.struct(*columns), F.struct(*order)
-        ends = d.groupBy("_group").agg(F.min_by(row, place).alias("_first"), F.max_by(row, place).alias("_last"))
-        across = W.partitionBy(*[F.col("_group")[k] for k in keys]).orderBy("_group._slice")
+        ends = d.groupBy("_slice", *keys).agg(F.min_by(row, place).alias("_first"), F.max_by(row, place).alias("_last"))
+        across = W.partitionBy(*keys).orderBy("_slice")
         carry = ends.select(
-            "_group", F.lag("_last").over(across).alias("_before"), F.lead("_first").over(across).alias("_after")
+            "_slice", *keys, F.lag("_last").over(across).alias("_before"), F.lead("_first").over(across).alias("_after")
         )
-        w = W.partitionBy("_group").orderBy(*order)
+        w = W.partitionBy("_slice", *keys).orderBy(*order)
         d = d.withColumns(
             {
                 "_inner": F.lag(F.lit(True)).over(w),
@@ -243,7 +232,7 @@ def neighbours(
                 **{n: F.lead(x).over(w) for n, x in following.items()},
             }
         )
-        d = d.join(carry, "_group")
+        d = _with_carry(d, keys, carry)
         return d.withColumns(
             {
                 **{
@@ -255,7 +244,7 @@ def neighbours(
                     for n, x in following.items()
                 },
             }
-        ).drop("_group", "_slice", "_inner", "_outer", "_before", "_after")
+        ).drop("_slice", "_inner", "_outer", "_before", "_after")
 
     return by_heat(df, keys, plain, sliced, at_most, heat)
 

@@ -162,11 +162,11 @@ def test_both_plans_give_the_same_columns_types_and_rows(spark, data, rows, name
     try:
         sliced = BOTH_PLANS[name](df)
         assert sliced.dtypes == dtypes and rows(sliced) == found
-        spark.conf.set(O.CUTS_CONF, "4")  # cut points in two stages
+        spark.conf.set(O.SLICES_CONF, "4")  # fewer and larger slices
         assert rows(BOTH_PLANS[name](df)) == found
     finally:
         spark.conf.unset(O.HOT_ROWS_CONF)
-        spark.conf.unset(O.CUTS_CONF)
+        spark.conf.unset(O.SLICES_CONF)
 
 
 def test_moving_sums_of_unknown_values(spark, rows):
