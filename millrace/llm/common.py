@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.hashing import maybe_in
@@ -17,6 +18,9 @@ BLANKS = r"[\x20\x09-\x0D]+"
 
 #: Rows whose texts are Python objects at one time.
 SLICE_ROWS = 256
+#: Bytes of an Arrow batch in the jobs of ``small_batches``.
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 KINDS = {
     "long": pa.int64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(),
@@ -24,6 +28,18 @@ KINDS = {
 }
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside send Arrow batches of at most BATCH_BYTES to Python: beside the rows
+    that sorts and joins hold, a task then has little memory outside the heap."""
+    before = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, before)
+
+
 def map_slices(df: DataFrame, schema: str, work: Callable[[Iterator[dict]], Iterator[dict]]) -> DataFrame:
     """``work`` maps the rows of a partition, as column lists of a few rows, to column lists
     of ``schema``. Arrow batches are never turned into Python objects as a whole."""
@@ -34,6 +50,7 @@ def map_slices(df: DataFrame, schema: str, work: Callable[[Iterator[dict]], Iter
         parts = (b.slice(i, SLICE_ROWS).to_pydict() for b in batches for i in range(0, b.num_rows, SLICE_ROWS))
         for columns in work(parts):
             yield pa.RecordBatch.from_pydict(columns, schema=into)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(go, schema)
 

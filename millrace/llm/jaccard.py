@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_slices, stamp, text_or_empty
+from millrace.llm.common import map_slices, small_batches, stamp, text_or_empty
 from millrace.llm.hashing import Rolling, maybe_in, mix
 from millrace.sources.tables import discard, materialise
 
@@ -447,6 +447,11 @@ def jaccard_components(
     row without an id belongs to its component, whose smallest id is null if no row has one.
     Other columns are not read.
     """
+    with small_batches(docs.sparkSession):
+        return _components(docs, words, id_col, text_col)
+
+
+def _components(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
     text = text_or_empty(text_col)
     stamped = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), stamp(text_col).alias("t"))
     described = materialise(describe(stamped, words), "shingle-sets")
