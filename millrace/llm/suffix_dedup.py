@@ -21,7 +21,7 @@ fewer bytes: each such string is a narrow row of its own, counted by two hashes.
 Copies cost one narrow row each. The windows of an anchor with more than
 ``OPEN_SEGMENTS`` different segments, such as the edges of a passage in very many
 documents, are counted by their own hashes in a distributed count instead of in one
-bucket, with the same result.
+bucket, with the same result; runs of windows that repeat, or cannot, are counted as one.
 """
 
 from __future__ import annotations
@@ -35,12 +35,15 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import map_slices, text_or_empty
 from millrace.llm.hashing import CHUNK_BYTES, Rolling, maybe_in, mix
+from millrace.plans.ordered import join_null_safe
 from millrace.sources.tables import materialise
 
 MIN_BYTES = 400
 #: Windows a task hashes at one time.
 HELD_WINDOWS = 100_000
 OPEN_SEGMENTS = 1_024
+#: Neighbouring windows of a hot anchor's segment that are looked at together.
+STRIDE = 16
 BUCKET_SEGMENTS = 1_500
 #: Bytes that are white space between words, and those of letters and digits.
 BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -201,7 +204,7 @@ def repeated_spans(
     open_ = materialise(kinds.join(several, "anchor"), "open-segments")
     bytes_ = _bytes_of(open_, texts, min_bytes)
     windows = _compare(bytes_.where(F.col("kinds") <= OPEN_SEGMENTS), min_bytes, open_).unionByName(
-        _count_windows(bytes_.where(F.col("kinds") > OPEN_SEGMENTS), min_bytes)
+        _count_windows(bytes_.where(F.col("kinds") > OPEN_SEGMENTS), min_bytes, gram)
     )
     windows = materialise(windows, "repeated-windows")
     counted = F.col("earlier") if keep_first else F.lit(True)
@@ -270,9 +273,63 @@ def _compare(parts: DataFrame, min_bytes: int, open_: DataFrame) -> DataFrame:
     return out.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
 
 
-def _count_windows(parts: DataFrame, min_bytes: int) -> DataFrame:
-    """The same for anchors with very many segments: windows as two hashes of 64 bits each,
-    counted by Spark. Every window is one narrow row, and equal ones meet in a sum."""
+def _runs(data: bytes, anchor: int, min_bytes: int, gram: int, stride: int) -> dict[str, np.ndarray]:
+    """Runs of up to ``stride`` neighbouring windows of a segment. Places are counted from the
+    anchor, so equal windows are in runs of one number ``k`` and at one place in them. ``at``,
+    ``end``: the first window of the run and the one after its last; ``core``: hash of the
+    bytes that all windows such a run can have hold; ``hull``, ``hull2``: hashes of all its
+    bytes; ``full``: whether the segment has all windows of the run."""
+    raw = np.frombuffer(data, "uint8")
+    one, two = Rolling(raw), Rolling(raw[::-1].copy())
+    n, place = len(raw) - min_bytes + 1, np.arange(len(raw) - gram + 1)
+    found = int((one.of(place, place + gram).view("int64") == anchor).argmax())
+    k = np.arange((found - n + 1) // stride, found // stride + 1)
+    last = found - k * stride
+    first = last - stride + 1
+    at, end = np.maximum(first, 0), np.minimum(last + 1, n)
+    stop = end - 1 + min_bytes
+    return {
+        "k": k, "at": at, "end": end, "full": (first >= 0) & (last < n), "core": one.of(last, first + min_bytes).view("int64"),
+        "hull": one.of(at, stop).view("int64"), "hull2": two.of(len(raw) - stop, len(raw) - at).view("int64"),
+    }
+
+
+def _count_windows(parts: DataFrame, min_bytes: int, gram: int) -> DataFrame:
+    """The same for anchors with very many segments, counted by Spark. Segments come as runs
+    of neighbouring windows. No window of a run repeats unless the bytes that all of them hold
+    do; and if all bytes of a run repeat, every window of it does, and one of the equal runs
+    stands for them. What is left are the runs in which segments begin to differ, and one of
+    each group of equal ones: their windows are narrow rows, told apart by two hashes of 64
+    bits each."""
+    # The rows are few and small, but each becomes many: they are dealt to all tasks.
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["doc_id", "t", "start"]
+    stride = max(1, min(STRIDE, min_bytes // 2))
+    rows = parts.select("anchor", *keys, "data").repartition(tasks, *keys).dropDuplicates(keys)
+    rows = materialise(rows, "hot-segments")
+
+    def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = [_runs(data, anchor, min_bytes, gram, stride) for data, anchor in zip(batch["data"], batch["anchor"])]
+            if held:
+                whose = np.repeat(np.arange(len(batch)), [len(r["k"]) for r in held])
+                same = {c: batch[c].to_numpy()[whose] for c in ("doc_id", "none", "t", "start", "anchor")}
+                yield pd.DataFrame(same | {c: np.concatenate([r[c] for r in held]) for c in held[0]})
+
+    kinds = "doc_id long, none boolean, t long, start long, anchor long, k long, at long, end long, full boolean, core long, hull long, hull2 long"
+    made = flagged(rows).mapInPandas(runs, kinds).withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
+    made = materialise(made, "hot-runs")
+    place = F.struct("doc_id", "t", F.col("start") + F.col("at"))
+    several = made.groupBy("anchor", "k", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    equal = made.where("full").groupBy("anchor", "k", "hull", "hull2", "full")
+    equal = equal.agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).where("n > 1").drop("n")
+    open_ = made.join(several, ["anchor", "k", "core"]).join(equal, ["anchor", "k", "hull", "hull2", "full"], "left")
+    open_ = materialise(open_.withColumn("stands", F.col("least").isNull() | place.eqNullSafe(F.col("least"))), "open-runs")
+    whole = open_.where("least IS NOT NULL").select(
+        *keys, F.col("at").cast("int").alias("a"), (F.col("end") - 1).cast("int").alias("b"), (~F.col("stands")).alias("earlier")
+    )
+    listed = open_.where("stands").groupBy(*keys).agg(F.collect_list(F.struct("at", "end")).alias("runs"))
+    listed = join_null_safe(rows.select(*keys, "data"), listed, keys).repartition(tasks, *keys)
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def table(held: list[tuple]) -> pd.DataFrame:
@@ -284,7 +341,7 @@ def _count_windows(parts: DataFrame, min_bytes: int) -> DataFrame:
             held, n = [], 0
             for row in batch.itertuples(index=False):
                 data = np.frombuffer(row.data, "uint8")
-                at = np.arange(len(data) - min_bytes + 1)
+                at = np.concatenate([np.arange(r["at"], r["end"]) for r in row.runs])
                 one, two = Rolling(data), Rolling(data[::-1].copy())
                 back = len(data) - at
                 h, g = one.of(at, at + min_bytes).view("int64"), two.of(back - min_bytes, back).view("int64")
@@ -296,17 +353,13 @@ def _count_windows(parts: DataFrame, min_bytes: int) -> DataFrame:
             if held:
                 yield table(held)
 
-    # The rows are few and small, but each becomes many: they are dealt to all tasks.
-    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["doc_id", "t", "start"]
-    rows = parts.select(*keys, "data").repartition(tasks, *keys).dropDuplicates(keys)
-    rows = flagged(rows).mapInPandas(hashes, "doc_id long, none boolean, t long, start long, at int, h long, g long")
-    rows = rows.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
-    rows = materialise(rows, "hot-windows")
-    place = F.struct("doc_id", "t", F.col("start") + F.col("at"))
-    equal = rows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).where("n > 1")
-    hits = rows.join(equal, ["h", "g"])
-    return hits.select("doc_id", "t", "start", F.col("at").alias("a"), F.col("at").alias("b"), (place != F.col("least")).alias("earlier"))
+    single = flagged(listed).mapInPandas(hashes, "doc_id long, none boolean, t long, start long, at int, h long, g long")
+    single = single.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
+    single = materialise(single, "hot-windows")
+    same = single.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).where("n > 1")
+    hits = single.join(same, ["h", "g"])
+    hits = hits.select(*keys, F.col("at").alias("a"), F.col("at").alias("b"), (place != F.col("least")).alias("earlier"))
+    return whole.unionByName(hits)
 
 
 def word_windows(data: np.ndarray, words: int, max_bytes: int) -> tuple[np.ndarray, np.ndarray]:
