@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from millrace.catalog.common import big, money, real, text
 from millrace.catalog.sources import ORDER_LINES_SQL
 from millrace.functions import json as X
-from millrace.functions.text import contains_word
 from millrace.operators import changes as M
+from millrace.operators.text_index import build_index, search_index
 from millrace.registry import query
 from millrace.sources.documents import order_json, order_lines, order_xml, parse_order_xml
 from millrace.sources.tables import work_path
@@ -236,14 +236,11 @@ def json_computed_column(t):
     """,
 )
 def text_contains_terms(t):
-    """One pass over the texts answers both searches."""
-    found = F.array_compact(
-        F.array(
-            F.when(contains_word(F.col("text"), "than"), "one"),
-            F.when(contains_word(F.col("text"), "than", "eaux"), "either"),
-        )
-    )
-    return t.documents.select(F.explode(found).alias("search"), "doc_id")
+    """One index answers both searches; the texts are read once, when it is built."""
+    path = work_path(t.spark, "text-index")
+    build_index(t.documents, "doc_id", "text", path)
+    found = search_index(t.spark, path, {"one": [["than"]], "either": [["than", "eaux"]]})
+    return found.select("search", F.col("id").alias("doc_id"))
 
 
 def event_xml(t):

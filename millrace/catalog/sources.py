@@ -222,12 +222,10 @@ def _count_per_bucket(df):
     oracle=COUNT_PER_BUCKET.format(f"SELECT {BUCKET_SQL} AS bucket FROM orders"),
 )
 def partition_switch_in(t):
-    path = work_path(t.spark, "switch-in")
     date = F.col("o_orderdate")
-    P.write_partitioned(t.orders.where(date < bounds()[-1]), path, date, bounds())
+    table = P.PartitionedTable.create(t.orders.where(date < bounds()[-1]), work_path(t.spark, "switch-in"), "o_orderdate", bounds())
     staged = t.orders.where(date >= bounds()[-1])
-    P.switch_in(staged, path, len(YEARS) + 1, "o_orderdate", bounds()[-1], ntz("9999-01-01"))
-    return _count_per_bucket(t.spark.read.parquet(path))
+    return _count_per_bucket(table.switch_in(staged, len(YEARS) + 1).read())
 
 
 @query(
@@ -238,12 +236,10 @@ def partition_switch_in(t):
 )
 def partition_switch_out(t):
     """Remaining partitions, and the archived one as bucket -1."""
-    path, archive = work_path(t.spark, "switch-out"), work_path(t.spark, "archive")
-    P.write_partitioned(t.orders, path, F.col("o_orderdate"), bounds())
-    P.switch_out(t.spark, path, archive, 1)
-    left = t.spark.read.parquet(path)
-    archived = t.spark.read.parquet(archive).withColumn("bucket", F.lit(-1))
-    return _count_per_bucket(left.unionByName(archived))
+    table = P.PartitionedTable.create(t.orders, work_path(t.spark, "switch-out"), "o_orderdate", bounds())
+    table = table.switch_out(1, "oldest")
+    archived = table.switched_out("oldest").withColumn("bucket", F.lit(-1))
+    return _count_per_bucket(table.read().unionByName(archived))
 
 
 @query(
@@ -256,7 +252,6 @@ def partition_switch_out(t):
 )
 def partition_split_merge(t):
     """Year 2000 is split in halves; the emptied oldest partition is merged away."""
-    routed = t.orders.withColumn(P.BUCKET, P.partition_number(F.col("o_orderdate"), bounds()))
-    emptied = routed.where(F.col(P.BUCKET) != 1)
-    split = P.split_partition(emptied, F.col("o_orderdate"), ntz("2000-07-01"), 6)
-    return _count_per_bucket(P.merge_partition(split, 1))
+    table = P.PartitionedTable.create(t.orders, work_path(t.spark, "split-merge"), "o_orderdate", bounds())
+    table = table.switch_out(1, "oldest").split(ntz("2000-07-01")).merge(1)
+    return _count_per_bucket(table.read())

@@ -78,7 +78,34 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return files.exists(path) and files.getFileStatus(path).isFile()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    path, files = _located(spark, path)
+    return files.exists(path)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    path, files = _located(spark, path)
+    if not files.exists(path):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+
+
+def rename_new(spark: SparkSession, old: str, new: str) -> None:
+    """Give a folder its final name, in one step; an error if the name is taken."""
+    target, files = _located(spark, new)
+    files.mkdirs(target.getParent())
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    context.rename(_located(spark, old)[0], target, none)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds."""
+    path, files = _located(spark, path)
+    files.delete(path, True)
+
+
 def discard(stored: DataFrame) -> None:
     """Delete what ``materialise`` wrote for this DataFrame; it cannot be read afterwards."""
-    path, files = _located(stored.sparkSession, stored.millrace_path)
-    files.delete(path, True)
+    remove(stored.sparkSession, stored.millrace_path)

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 import re
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -188,20 +189,87 @@ def test_deleted_rows(table, rows):
     assert rows(V.deleted_rows(table, ["id"]).select("id", "x")) == [(2, "c")]
 
 
+def numbers(spark, *ends):
+    return spark.range(*ends).withColumnRenamed("id", "k")
+
+
 def test_switch_in_checks_bounds(spark):
-    path = work_path(spark, "switch-test")
-    df = spark.range(10).withColumnRenamed("id", "k")
-    PA.write_partitioned(df, path, F.col("k"), [F.lit(5)])
+    table = PA.PartitionedTable.create(numbers(spark, 10), work_path(spark, "switch-test"), "k", [F.lit(5), F.lit(10)])
+    with pytest.raises(ValueError, match="bounds"):
+        table.switch_in(numbers(spark, 10), 3)
     with pytest.raises(ValueError, match="bounds"):
-        PA.switch_in(df, path, 2, "k", F.lit(5), F.lit(20))
-    PA.switch_in(spark.range(12, 15).withColumnRenamed("id", "k"), path, 3, "k", F.lit(10), F.lit(20))
-    assert spark.read.parquet(path).groupBy("bucket").count().count() == 3
+        table.switch_in(spark.createDataFrame([(None,)], "k bigint"), 3)
+    table = table.switch_in(numbers(spark, 12, 15), 3)
+    assert table.read().groupBy("bucket").count().count() == 3
 
 
-def test_merge_of_a_filled_partition_is_refused(spark):
-    df = spark.range(10).withColumn("bucket", PA.partition_number(F.col("id"), [F.lit(5)]))
+def test_merge_of_a_filled_partition_is_refused(spark, rows):
+    table = PA.PartitionedTable.create(numbers(spark, 10), work_path(spark, "merge-test"), "k", [F.lit(5)])
     with pytest.raises(ValueError, match="not empty"):
-        PA.merge_partition(df, 1)
+        table.merge(1)
+    with pytest.raises(ValueError, match="no next"):
+        table.merge(2)
+    assert rows(table.merge(1, filled=True).read()) == [(k, 1) for k in range(10)]
+
+
+def files_of(table):
+    return {p.name: sorted(f.name for f in p.iterdir()) for p in (Path(table.path.removeprefix("file:")) / "data").iterdir() if p.is_dir()}
+
+
+def test_split_writes_one_partition(spark, rows):
+    some = numbers(spark, 30).unionByName(spark.createDataFrame([(None,)], "k bigint"))
+    table = PA.PartitionedTable.create(some, work_path(spark, "split-test"), "k", [F.lit(10), F.lit(20)])
+    before = files_of(table)
+    after = table.split(F.lit(13))
+    written = files_of(after)
+    assert {n: f for n, f in written.items() if n in before} == before and len(written) == len(before) + 2
+    expected = [(k, 1 + (k >= 10) + (k >= 13) + (k >= 20)) for k in range(30)] + [(None, 1)]
+    assert rows(after.read()) == sorted(expected, key=repr)
+    assert rows(table.read().where("bucket = 2").select("k")) == [(k,) for k in range(10, 20)]  # the list before
+    with pytest.raises(ValueError, match="begins here"):
+        after.split(F.lit(20))
+    after.clean()
+    assert len(files_of(after)) == 4
+    assert rows(PA.PartitionedTable(spark, table.path).read()) == sorted(expected, key=repr)
+
+
+def test_of_two_changes_of_one_list_one_fails(spark, rows):
+    table = PA.PartitionedTable.create(numbers(spark, 10), work_path(spark, "race-test"), "k", [F.lit(5)])
+    table.split(F.lit(7))
+    with pytest.raises(Exception, match="[Ee]xist"):
+        table.switch_out(1, "low")
+    again = PA.PartitionedTable(spark, table.path)
+    assert again.version == 2 and not again.archives and again.read().count() == 10
+
+
+def test_change_that_stops_half_way_changes_nothing(spark, monkeypatch):
+    table = PA.PartitionedTable.create(numbers(spark, 10), work_path(spark, "stop-test"), "k", [F.lit(5)])
+
+    def stop(*_):
+        raise OSError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(PA, "rename_new", stop)
+        for change in (lambda: table.split(F.lit(7)), lambda: table.switch_out(2, "high")):
+            with pytest.raises(OSError):
+                change()
+    again = PA.PartitionedTable(spark, table.path)
+    assert again.version == 1 and again.read().count() == 10
+    assert again.switch_out(2, "high").switched_out("high").count() == 5
+
+
+def test_partition_number_prunes_folders(spark):
+    table = PA.PartitionedTable.create(numbers(spark, 10), work_path(spark, "prune-test"), "k", [F.lit(5)])
+    plan = table.read().where("bucket = 2")
+    assert len(plan.select(F.input_file_name().alias("f")).distinct().collect()) >= 1
+    assert re.search(r"PartitionFilters: \[[^]]+part", plan._jdf.queryExecution().executedPlan().toString())
+
+
+def test_partitions_of_an_empty_table(spark, rows):
+    table = PA.PartitionedTable.create(numbers(spark, 0), work_path(spark, "no-rows"), "k", [F.lit(5)])
+    assert rows(table.read()) == [] and table.read().columns == ["k", "bucket"]
+    table = table.split(F.lit(9)).switch_in(numbers(spark, 5, 7), 2)
+    assert rows(table.read()) == [(5, 2), (6, 2)]
 
 
 def test_boundary_belongs_to_the_right(spark, rows):
@@ -277,21 +345,22 @@ def test_wide_changes_are_not_broadcast(spark, target):
 
 
 def test_switch_in_refuses_a_filled_partition(spark):
-    path = work_path(spark, "switch-filled")
-    PA.write_partitioned(spark.range(10).withColumnRenamed("id", "k"), path, F.col("k"), [F.lit(5)])
+    table = PA.PartitionedTable.create(numbers(spark, 10), work_path(spark, "switch-filled"), "k", [F.lit(5)])
     with pytest.raises(ValueError, match="not empty"):
-        PA.switch_in(spark.range(7, 8).withColumnRenamed("id", "k"), path, 2, "k", F.lit(5), F.lit(20))
-    assert spark.read.parquet(path).count() == 10
+        table.switch_in(numbers(spark, 7, 8), 2)
+    assert table.read().count() == 10
 
 
 def test_switched_out_rows_leave_the_table(spark, rows):
-    path, archive = work_path(spark, "switch-left"), work_path(spark, "switch-archive")
-    PA.write_partitioned(spark.range(10).withColumnRenamed("id", "k"), path, F.col("k"), [F.lit(5)])
-    PA.switch_out(spark, path, archive, 1)
-    assert rows(spark.read.parquet(path).select("k")) == [(k,) for k in range(5, 10)]
-    assert rows(spark.read.parquet(archive)) == [(k,) for k in range(5)]
-    PA.switch_in(spark.range(3).withColumnRenamed("id", "k"), path, 1, "k", F.lit(0), F.lit(5))
-    assert spark.read.parquet(path).count() == 8
+    table = PA.PartitionedTable.create(numbers(spark, 10), work_path(spark, "switch-left"), "k", [F.lit(5)])
+    table = table.switch_out(1, "low")
+    assert rows(table.read().select("k")) == [(k,) for k in range(5, 10)]
+    assert rows(table.switched_out("low")) == [(k,) for k in range(5)]
+    with pytest.raises(ValueError, match="archive"):
+        table.switch_out(2, "low")
+    table = table.switch_in(numbers(spark, 3), 1)
+    table.clean()
+    assert table.read().count() == 8 and table.switched_out("low").count() == 5
 
 
 def test_unknown_deletion_does_not_delete(spark, table, rows):
