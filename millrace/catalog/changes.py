@@ -145,7 +145,7 @@ SELECT user_id AS item, ts AS moved, event_type, event_id,
 )
 def merge_by_source(t):
     """The log lacks sign-ups. Changes insert them, replace clicks (+5) and remove
-    errors (quantity 0); later balances move accordingly."""
+    errors (quantity 0); later balances move accordingly, from the stored ones."""
     moves = movements(t).where(F.col("quantity") != 0)
     kind = F.col("event_type")
     log = moves.where(kind != "signup").select("item", "moved", "quantity")
@@ -153,7 +153,8 @@ def merge_by_source(t):
     zero_clicks = movements(t).where((F.col("quantity") == 0) & (kind == "click"))
     changes = moves.where(kind.isin("signup", "click", "error")).unionByName(zero_clicks)
     changes = changes.select("item", "moved", new_quantity.alias("quantity"))
-    done = M.rebuild_history(log, changes, "item", "moved", "quantity")
+    names = ("item", "moved", "quantity")
+    done = M.rebuild_history(M.chain_history(log, *names), changes, *names)
     stamp = lambda x: F.date_format(x, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return done.select(
         "item", stamp("moved").alias("moved"), "quantity", "current_quantity", "previous_quantity", stamp("previous_date").alias("previous_date")

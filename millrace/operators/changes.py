@@ -19,6 +19,8 @@ from millrace.plans.ordered import heat_of, neighbours, running
 from millrace.sources.tables import materialise
 
 ACTION = "action"
+#: What a chained log holds besides item, time and quantity.
+BALANCES = ("current_quantity", "previous_quantity", "previous_date")
 
 
 def _true(condition: Column) -> Column:
@@ -100,28 +102,69 @@ def apply_flags(
     )
 
 
+def chain_history(log: DataFrame, item: str, at: str, quantity: str) -> DataFrame:
+    """The log with current and previous quantity and previous date of every entry: running
+    sums over the entries of an item in the order of time."""
+    log = materialise(log.select(item, at, quantity), "history")
+    heat = heat_of(log, [item])
+    chained = running(
+        neighbours(log, [item], [at], previous={"previous_date": at}, heat=heat),
+        [item], [at], heat=heat, current_quantity=("sum", F.col(quantity)),
+    )
+    return _with_previous(chained, quantity)
+
+
+def _with_previous(chained: DataFrame, quantity: str) -> DataFrame:
+    before = F.col("current_quantity") - F.col(quantity)
+    return chained.withColumn("previous_quantity", F.when(F.col("previous_date").isNotNull(), before))
+
+
 def rebuild_history(
     log: DataFrame, changes: DataFrame, item: str, at: str, quantity: str
 ) -> DataFrame:
     """Insert, replace or (quantity 0) remove entries anywhere in item histories.
 
-    Returns the log with current and previous quantity and previous date. Only
-    items named in the changes are different from before; balances are recomputed
-    as running sums instead of shifting later rows one by one.
+    Returns the log with current and previous quantity and previous date. Balances are
+    recomputed as running sums instead of shifting later rows one by one. Where the log
+    already holds these columns (``BALANCES``, from ``chain_history`` or an earlier change),
+    only what the changes reach is recomputed: entries of other items, and those before the
+    first change of their item, pass through as they are, and the last of those gives the
+    balance from which the recomputed ones go on. An entry without a time is before all
+    others.
     """
     keys = [item, at]
-    c = changes.select(*keys, F.col(quantity).alias("_q"), F.lit(True).alias("_changed"))
-    merged = full_join(log.select(*keys, quantity), c, keys)
-    merged = merged.withColumn(quantity, F.when(F.col("_changed"), F.col("_q")).otherwise(F.col(quantity)))
-    merged = merged.where((F.col(quantity) != 0) | F.col("_changed").isNull()).select(*keys, quantity)
-    merged = materialise(merged, "history")
-    heat = heat_of(merged, [item])
-    chained = running(
-        neighbours(merged, [item], [at], previous={"previous_date": at}, heat=heat),
-        [item], [at], heat=heat, current_quantity=("sum", F.col(quantity)),
-    )
-    before = F.col("current_quantity") - F.col(quantity)
-    return chained.withColumn("previous_quantity", F.when(F.col("previous_date").isNotNull(), before))
+    named = changes.select(*keys, F.col(quantity).alias("_q"), F.lit(True).alias("_changed"))
+    c = stored_changes(named, keys)
+
+    def changed(entries: DataFrame) -> DataFrame:
+        merged = full_join(entries.select(*keys, quantity), c, keys, stored=True)
+        merged = merged.withColumn(quantity, F.when(F.col("_changed"), F.col("_q")).otherwise(F.col(quantity)))
+        return merged.where((F.col(quantity) != 0) | F.col("_changed").isNull())
+
+    if not set(BALANCES) <= set(log.columns):
+        return chain_history(changed(log), item, at, quantity)
+    first = c.groupBy(F.col(item).alias("_item")).agg(
+        F.min(at).alias("_first"), F.max(F.col(at).isNull()).alias("_whole"), F.lit(True).alias("_touched")
+    )
+    met = log.join(materialise(first, "first-changes"), F.col(item).eqNullSafe(F.col("_item")), "left")
+    touched = F.col("_touched").isNotNull()
+    before = ~touched | (~F.col("_whole") & (F.col(at).isNull() | (F.col(at) < F.col("_first"))))
+    last = F.max(F.struct(F.col(at).alias("at"), F.col("current_quantity").alias("balance"))).alias("_last")
+    carry = materialise(met.where(before & touched).groupBy("_item").agg(last), "carry")
+
+    rebuilt = chain_history(changed(met.where(~before)), item, at, quantity)
+    kinds = {f.name: f.dataType for f in rebuilt.schema.fields}
+    joined = rebuilt.join(carry, F.col(item).eqNullSafe(F.col("_item")), "left")
+    balance = F.col("current_quantity") + F.coalesce(F.col("_last.balance"), F.lit(0))
+    moved = joined.withColumns(
+        {
+            "current_quantity": balance.cast(kinds["current_quantity"]),
+            "previous_date": F.coalesce("previous_date", "_last.at"),
+        }
+    )
+    columns = [*keys, quantity, *BALANCES]
+    same = met.where(before).select(*[F.col(x).cast(kinds[x]).alias(x) for x in columns])
+    return same.unionByName(_with_previous(moved, quantity).select(*[F.col(x).cast(kinds[x]).alias(x) for x in columns]))
 
 
 def guard_inserts(

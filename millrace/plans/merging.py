@@ -23,15 +23,17 @@ def stored_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return changes
 
 
-def full_join(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join of a table with its change rows, one per key.
+def full_join(target: DataFrame, changes: DataFrame, keys: Sequence[str], stored: bool = False) -> DataFrame:
+    """Full outer join of a table with its change rows, one per key. With ``stored`` the
+    changes come from ``stored_changes``.
 
     A full join would shuffle the table whatever the size of the changes. Stored rows
     with their changes are a left join, and the keys the table lacks an anti join with
     its key columns; the planner broadcasts what is small in either.
     """
     keys = list(keys)
-    changes = stored_changes(changes, keys)
+    if not stored:
+        changes = stored_changes(changes, keys)
     kept = target.join(changes, keys, "left")
     narrow = changes.select(*keys)
     met = materialise(target.select(*keys).join(narrow, keys, "left_semi").distinct(), "met-keys")

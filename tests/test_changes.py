@@ -88,6 +88,40 @@ def test_history_insert_in_the_middle_and_removal(spark, rows):
     assert rows(shown) == [(10, 5, 5, None, None), (15, 1, 6, 5, 10), (20, -2, 4, 6, 15)]
 
 
+@pytest.mark.parametrize("kind", ["bigint", "decimal(18,2)"])
+def test_stored_history_is_recomputed_where_changes_reach(spark, rows, kind):
+    """Against a plain loop: items and times without a value, a hot item, repeated changes."""
+    draw = random.Random(5)
+    number = int if kind == "bigint" else Decimal
+    names = ("item", "at", "q")
+    stored = {(i, a): draw.randint(-9, 9) for i in [*range(9), None] for a in draw.sample(range(80), 6)}
+    stored |= {(2, a): draw.randint(-9, 9) for a in range(80)} | {(7, None): 4}
+    log = M.chain_history(spark.createDataFrame([(i, a, number(q)) for (i, a), q in stored.items()], f"item int, at int, q {kind}"), *names)
+    for touched in ([2, 3, 7], [4, 11], []):
+        changes = {(i, a): draw.choice([0, 0, 3, -5]) for i in touched for a in draw.sample(range(100), 5)}
+        changes |= {(2, 60): 0} if 2 in touched else {}
+        given = spark.createDataFrame([(i, a, number(q)) for (i, a), q in changes.items()], f"item int, at int, q {kind}")
+        log = M.rebuild_history(log, given, *names)
+        stored = {k: q for k, q in (stored | changes).items() if q != 0 or k not in changes}
+        wanted = []
+        for i in {i for i, _ in stored}:
+            total, previous = 0, None
+            for a in sorted((a for j, a in stored if j == i), key=lambda a: (a is not None, a)):
+                q = stored[i, a]
+                wanted.append((i, a, q, total + q, None if previous is None else total, previous))
+                total, previous = total + q, a
+        plain = [tuple(int(x) if isinstance(x, Decimal) else x for x in r) for r in rows(log.select(*names, *M.BALANCES))]
+        assert sorted(plain, key=repr) == sorted(wanted, key=repr)
+
+
+def test_untouched_items_see_no_window(spark):
+    log = M.chain_history(spark.createDataFrame([(1, 10, 5), (1, 20, 1), (2, 10, 7)], "item int, at int, q bigint"), "item", "at", "q")
+    marked = log.withColumn("current_quantity", F.when(F.col("item") == 2, 700).otherwise(F.col("current_quantity")))
+    change = spark.createDataFrame([(1, 20, 2)], "item int, at int, q bigint")
+    out = M.rebuild_history(marked, change, "item", "at", "q")
+    assert sorted(tuple(r) for r in out.select("item", "at", "current_quantity").collect()) == [(1, 10, 5), (1, 20, 7), (2, 10, 700)]
+
+
 def test_guarded_inserts(spark, rows):
     log = spark.createDataFrame([(1, 10, 5), (2, 10, 5), (3, 50, 9)], "item int, at int, q int")
     tries = spark.createDataFrame([(1, 20, -5), (2, 20, -6), (3, 20, -1), (4, 20, -1)], "item int, at int, q int")
