@@ -16,6 +16,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.tables import discard, materialise
+
 #: A term that ends with this stands for all words that begin with it.
 ANY_END = "*"
 MAX_CLAUSES = 60
@@ -27,9 +29,13 @@ def words_of(text: Column) -> Column:
 
 
 def build_index(docs: DataFrame, id_col: str, text_col: str, path: str) -> None:
-    """Write the postings of ``docs`` to ``path``. Rows with one id are one document."""
+    """Write the postings of ``docs`` to ``path``. Rows with one id are one document; a word
+    they share is listed for each, and counts once in a search. The postings are stored
+    before they are dealt, so that finding the ranges does not read the texts again."""
     found = docs.select(F.explode(words_of(F.col(text_col))).alias("word"), F.col(id_col).alias("id"))
-    found.distinct().repartitionByRange("word", "id").sortWithinPartitions("word", "id").write.parquet(path)
+    found = materialise(found, "postings")
+    found.repartitionByRange("word", "id").sortWithinPartitions("word", "id").write.parquet(path)
+    discard(found)
 
 
 def _meets(term: str) -> Column:
