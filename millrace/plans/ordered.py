@@ -137,10 +137,18 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return materialise(ranged.withColumn("_slice", F.spark_partition_id().cast("long")), "slices")
 
 
+def _grouped(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_group``, the slice and the keys as one column, in place of ``_slice``. Windows and
+    the join of the carry both use it, so that one shuffle and one sort of the rows serve
+    both; NULL keys are equal inside it."""
+    return df.withColumn("_group", F.struct("_slice", *keys)).drop("_slice")
+
+
 def _with_carry(df: DataFrame, keys: Sequence[str], carry: DataFrame) -> DataFrame:
-    """Join one row of each slice and key. They are stored, so the planner knows that they
-    are small and the rows need no further shuffle."""
-    return join_null_safe(df, materialise(carry, "carry"), ["_slice", *keys])
+    """Join one row of each slice and key to rows with ``_group``. They are stored, so the
+    planner knows their size; where they are too many for a broadcast, the rows stay where
+    the window has put them."""
+    return df.join(_grouped(materialise(carry, "carry"), keys).drop(*keys), "_group")
 
 
 def running(
@@ -169,13 +177,14 @@ def running_sliced(
 ) -> DataFrame:
     """``running`` for an input whose keys are all hot."""
     d = with_slices(df, keys, order)
-    local = W.partitionBy("_slice", *keys).orderBy(*order).rowsBetween(START, 0)
+    local = W.partitionBy("_group").orderBy(*order).rowsBetween(START, 0)
     parts = d.groupBy("_slice", *keys).agg(*[_FOLD[f][0](x).alias(f"_p_{n}") for n, (f, x) in aggs.items()])
     before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(START, -1)
     carry = parts.select(
         "_slice", *keys, *[_FOLD[f][1](F.col(f"_p_{n}")).over(before).alias(f"_c_{n}") for n, (f, _) in aggs.items()]
     )
-    d = _with_carry(d.withColumns({n: _FOLD[f][0](x).over(local) for n, (f, x) in aggs.items()}), keys, carry)
+    d = _grouped(d, keys).withColumns({n: _FOLD[f][0](x).over(local) for n, (f, x) in aggs.items()})
+    d = _with_carry(d, keys, carry)
     combined = {}
     for n, (f, _) in aggs.items():
         own, prior = F.col(n), F.col(f"_c_{n}")
@@ -183,7 +192,7 @@ def running_sliced(
             combined[n] = F.coalesce(own + prior, own, prior)
         else:
             combined[n] = (F.least if f == "min" else F.greatest)(own, prior)
-    return d.withColumns(combined).drop("_slice", *[f"_c_{n}" for n in aggs])
+    return d.withColumns(combined).drop("_group", *[f"_c_{n}" for n in aggs])
 
 
 def number_rows(
@@ -223,8 +232,8 @@ def neighbours(
         carry = ends.select(
             "_slice", *keys, F.lag("_last").over(across).alias("_before"), F.lead("_first").over(across).alias("_after")
         )
-        w = W.partitionBy("_slice", *keys).orderBy(*order)
-        d = d.withColumns(
+        w = W.partitionBy("_group").orderBy(*order)
+        d = _grouped(d, keys).withColumns(
             {
                 "_inner": F.lag(F.lit(True)).over(w),
                 "_outer": F.lead(F.lit(True)).over(w),
@@ -244,7 +253,7 @@ def neighbours(
                     for n, x in following.items()
                 },
             }
-        ).drop("_slice", "_inner", "_outer", "_before", "_after")
+        ).drop("_group", "_inner", "_outer", "_before", "_after")
 
     return by_heat(df, keys, plain, sliced, at_most, heat)
 
