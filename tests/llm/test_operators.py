@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.llm import sharding, suffix_dedup
 from millrace.llm.bpe import Codec, decode, encode
 from millrace.llm.catalog import word_vocabulary
-from millrace.llm.exact_dedup import exact_duplicates, grow_directory
+from millrace.llm.exact_dedup import Directory, exact_duplicates, grow_directory
 from millrace.llm.jaccard import jaccard_components
 from millrace.llm.langid import identify
 from millrace.llm.packing import SIZES, best_plan, pack, pack_histogram, sequence_cost
@@ -59,6 +59,18 @@ def test_exact_duplicates_of_nothing(spark):
     assert exact_duplicates(documents(spark, [])).count() == 0
 
 
+def test_groups_are_found_through_the_directory(spark, monkeypatch):
+    """A directory that files everything under another bucket than the rows' own finds none."""
+    texts = [(i, f"text {i % 40}") for i in range(200)]
+    found = exact_duplicates(documents(spark, texts), capacity=4)
+    assert found.count() == 200 and found.select("bucket").distinct().count() > 4
+    assert {tuple(r) for r in found.select("doc_id", "keep_id", "group_size").collect()} == {(i, i % 40, 5) for i in range(200)}
+    file = Directory.file
+    moved = lambda self, rows: file(self, rows).withColumn("bucket", F.col("bucket") + int("sha" in rows.columns))
+    monkeypatch.setattr(Directory, "file", moved)
+    assert exact_duplicates(documents(spark, texts), capacity=4).count() == 0
+
+
 def test_directory_covers_every_hash_once():
     rnd = random.Random(3)
     counts = {rnd.randrange(256): rnd.randrange(1, 9) for _ in range(60)}
