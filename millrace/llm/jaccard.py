@@ -528,8 +528,9 @@ def _answers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataFra
     For x of pivot p and y of pivot q the overlap is at most that of p and q plus what x and
     y have beyond p and q. The largest such gain of each pivot's sets bounds all their pairs
     together: first with the overlap that the sketches of p and q allow, then with their
-    exact one. Pivots that link connect their sets. Of the others, sets whose own gain
-    still allows a link are paired, and decided by sketch and exact overlap."""
+    exact one. Pivots that link connect their sets and components. Of the others, those that
+    are still in different components go on: their sets whose own gain still allows a link are
+    paired, and decided by sketch and exact overlap."""
     whole, share = F.lit(SCALE + SHARE), F.lit(SHARE)
     gain = groups.groupBy(F.col("pivot").alias("key")).agg(F.max(whole * F.col("beyond") - share * F.col("n")).alias("gain"))
     asked = pairs
@@ -540,7 +541,14 @@ def _answers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataFra
     known = overlaps(asked, sets, docs, words).join(asked, ["a", "b"])
     known = materialise(known, "known-pivots")
     linked = _links(F.col("o"), F.col("na"), F.col("nb"))
-    open_ = known.where(~linked & (whole * F.col("o") + F.col("gain") >= 0)).select(F.col("a").alias("p"), F.col("b").alias("q"), "o")
+    for side in ("a", "b"):
+        known = known.join(groups.select(F.col("key").alias(side), F.col("comp").alias(f"c{side}")), side)
+    merged = components(known.where(linked).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    for side in ("a", "b"):
+        known = known.join(merged.select(F.col("key").alias(f"c{side}"), F.col("label").alias(f"l{side}")), f"c{side}", "left")
+    apart = F.coalesce("la", "ca") != F.coalesce("lb", "cb")
+    open_ = known.where(~linked & apart & (whole * F.col("o") + F.col("gain") >= 0))
+    open_ = open_.select(F.col("a").alias("p"), F.col("b").alias("q"), "o")
     x, y = (
         groups.select(F.col("pivot").alias(pivot), F.col("key").alias(key), F.col("n").alias(f"n{key}"), F.col("beyond").alias(f"m{key}"))
         for pivot, key in (("p", "a"), ("q", "b"))
