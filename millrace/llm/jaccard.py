@@ -54,6 +54,8 @@ SUM_ROWS = 256
 CHUNK_BYTES = 1 << 19
 #: Entries of a block of a token's list.
 BLOCK_ENTRIES = 256
+#: A set in a block of a pivot's sets; ``gain`` is what it adds to the bound of its links.
+MEMBER = np.dtype([("key", "<i8"), ("n", "<i8"), ("gain", "<i8"), ("parity", "<u8", PARITY // 64)])
 MULTIPLIERS = mix(np.arange(1, 64, dtype="uint64")) | np.uint64(1)
 
 
@@ -522,6 +524,77 @@ def _with_sizes(pairs: DataFrame, sized: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b")
 
 
+def member_blocks(members: DataFrame) -> DataFrame:
+    """The sets ``members`` (``pivot, key, n, gain, parity``) packed into blocks of one pivot,
+    by falling gain: ``pivot, first, top`` (a key and the largest gain of the block) ``, entries``.
+    A pivot of very many sets is spread over tasks."""
+
+    def pack(parts: Iterator[dict]) -> Iterator[dict]:
+        for part in parts:
+            pivot, rows = np.array(part["pivot"], "int64"), np.zeros(len(part["key"]), MEMBER)
+            for name in ("key", "n", "gain"):
+                rows[name] = part[name]
+            rows["parity"] = np.frombuffer(b"".join(part["parity"]), "<u8").reshape(-1, PARITY // 64)
+            starts = np.flatnonzero(np.concatenate([[True], pivot[1:] != pivot[:-1]]))
+            blocks = np.split(rows, starts[1:])
+            yield {
+                "pivot": pivot[starts], "first": rows["key"][starts], "top": [int(b["gain"].max()) for b in blocks],
+                "entries": [b.tobytes() for b in blocks],
+            }
+
+    ordered = members.repartitionByRange("pivot", F.desc("gain"), "key").sortWithinPartitions("pivot", F.desc("gain"), "key")
+    return map_slices(ordered, "pivot long, first long, top long, entries binary", pack)
+
+
+def member_pairs(open_: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b, na, nb`` of a set of pivot p and one of pivot q for the pairs ``open_``
+    (``p, q``, their overlap ``o``), but the pivots themselves: all whose gains and sketches
+    leave a link. What is joined are blocks of sets; blocks whose best gains leave no link
+    never meet. In two that meet, each set is held against the sketch of the other pivot first,
+    and only the sets left on both sides are compared with each other."""
+    whole = SCALE + SHARE
+    asked = open_.select(F.col("p").alias("pivot")).unionByName(open_.select(F.col("q").alias("pivot"))).distinct()
+    gain = whole * F.col("beyond") - SHARE * F.col("n")
+    members = groups.join(asked, "pivot", "left_semi").select("pivot", "key", "n", gain.alias("gain"))
+    members = materialise(members.join(sets.select("key", "parity"), "key"), "open-members")
+    blocks = materialise(member_blocks(members), "member-blocks")
+    met = open_.select("p", "q", (whole * F.col("o")).alias("bound"))
+    for side in "pq":
+        met = met.join(sets.select(F.col("key").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"parity_{side}")), side)
+        met = met.join(blocks.toDF(side, f"first_{side}", f"top_{side}", f"entries_{side}"), side)
+        met = met.where(F.col("bound") + F.col("top_p") + F.col("top_q") >= 0) if side == "q" else met
+
+    def shared(x: np.ndarray, n: int, parity: np.ndarray) -> np.ndarray:
+        """Twice the most that sets can share with one of ``n`` tokens."""
+        return x["n"] + n - np.bitwise_count(x["parity"] ^ parity).sum(1, dtype="int64")
+
+    def facing(x: np.ndarray, n: int, parity: bytes, top: int) -> np.ndarray:
+        """Those of ``x`` that may link with a set of the other pivot."""
+        return x[shared(x, n, np.frombuffer(parity, "<u8")) * whole - 2 * SHARE * x["n"] + 2 * top >= 0]
+
+    columns = ["p", "q", "bound", *(f"{c}_{side}" for side in "pq" for c in ("n", "parity", "top", "entries"))]
+
+    def compare(parts: Iterator[dict]) -> Iterator[dict]:
+        for part in parts:
+            found = [np.zeros((4, 0), "int64")]
+            for p, q, bound, n_p, parity_p, top_p, entries_p, n_q, parity_q, top_q, entries_q in zip(*(part[c] for c in columns)):
+                few = facing(np.frombuffer(entries_p, MEMBER), n_q, parity_q, top_q)
+                many = facing(np.frombuffer(entries_q, MEMBER), n_p, parity_p, top_p)
+                turned = len(few) > len(many)
+                if turned:
+                    few, many = many, few
+                for x in few:
+                    y = many[bound + x["gain"] + many["gain"] >= 0]
+                    y = y[shared(y, x["n"], x["parity"]) * whole >= 2 * SHARE * (x["n"] + y["n"])]
+                    own = np.full(len(y), x["key"]), y["key"], np.full(len(y), x["n"]), y["n"]
+                    a, b, na, nb = (own[i] for i in ((1, 0, 3, 2) if turned else (0, 1, 2, 3)))
+                    found.append(np.stack([a, b, na, nb])[:, (a != p) | (b != q)])
+            yield dict(zip(("a", "b", "na", "nb"), np.concatenate(found, axis=1)))
+
+    spread = met.repartition("first_p", "first_q", "p", "q")
+    return map_slices(spread.select(*columns), "a long, b long, na long, nb long", compare)
+
+
 def _answers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """Links ``a, b`` that connect the sets of the pivot pairs, as far as components go.
 
@@ -529,8 +602,8 @@ def _answers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataFra
     y have beyond p and q. The largest such gain of each pivot's sets bounds all their pairs
     together: first with the overlap that the sketches of p and q allow, then with their
     exact one. Pivots that link connect their sets and components. Of the others, those that
-    are still in different components go on: their sets whose own gain still allows a link are
-    paired, and decided by sketch and exact overlap."""
+    are still in different components go on: their sets are compared in blocks, and those
+    whose own gain and sketches still allow a link are decided by their exact overlap."""
     whole, share = F.lit(SCALE + SHARE), F.lit(SHARE)
     gain = groups.groupBy(F.col("pivot").alias("key")).agg(F.max(whole * F.col("beyond") - share * F.col("n")).alias("gain"))
     asked = pairs
@@ -549,14 +622,7 @@ def _answers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataFra
     apart = F.coalesce("la", "ca") != F.coalesce("lb", "cb")
     open_ = known.where(~linked & apart & (whole * F.col("o") + F.col("gain") >= 0))
     open_ = open_.select(F.col("a").alias("p"), F.col("b").alias("q"), "o")
-    x, y = (
-        groups.select(F.col("pivot").alias(pivot), F.col("key").alias(key), F.col("n").alias(f"n{key}"), F.col("beyond").alias(f"m{key}"))
-        for pivot, key in (("p", "a"), ("q", "b"))
-    )
-    near = whole * (F.col("o") + F.col("ma") + F.col("mb")) >= share * (F.col("na") + F.col("nb"))
-    pivots = (F.col("a") == F.col("p")) & (F.col("b") == F.col("q"))
-    left = open_.join(x, "p").join(y, "q").where(near & ~pivots)
-    left = materialise(possible(left.select("a", "b", "na", "nb").distinct(), sets), "candidates")
+    left = materialise(member_pairs(open_, groups, sets), "candidates")
     exact = overlaps(left, sets, docs, words).join(left.select("a", "b", "na", "nb"), ["a", "b"])
     exact = exact.where(_links(F.col("o"), F.col("na"), F.col("nb")))
     return known.where(linked).select("a", "b").unionByName(exact.select("a", "b"))

@@ -61,6 +61,32 @@ def test_sets_that_share_a_beginning_without_a_link(spark, monkeypatch, block):
     assert tuples(found, "doc_id", "n_shingles", "component_id") == components_of(rows)
 
 
+@pytest.mark.parametrize("block", [3, 256])
+def test_sets_of_two_pivots_are_not_paired_one_by_one(spark, monkeypatch, block):
+    """A large group of similar sets, and sets that are nearly as close as a link: no row for
+    each of their pairs."""
+    monkeypatch.setattr("millrace.llm.common.SLICE_ROWS", block)
+    paired, sketched = [], jaccard.sketched
+
+    def counted(pairs, sets):
+        paired.append(pairs.count())
+        return sketched(pairs, sets)
+
+    monkeypatch.setattr(jaccard, "sketched", counted)
+    rnd = random.Random(5)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    group, rows = [word() for _ in range(120)], []
+    for i in range(150):
+        w = list(group)
+        w[rnd.randrange(40)] = word()
+        rows.append((i, " ".join(w)))
+    for i in range(200, 230):  # a seventh of the group's words is replaced: some link, most just do not
+        rows.append((i, " ".join(group[:104] + [word() for _ in range(rnd.choice([13, 14, 15, 16, 17]))])))
+    found = jaccard_components(documents(spark, rows).repartition(4))
+    assert tuples(found, "doc_id", "n_shingles", "component_id") == components_of(rows)
+    assert max(paired) < 1500
+
+
 def test_very_long_texts(spark):
     rnd = random.Random(9)
     words = [f"word{rnd.randrange(10**5)}" for _ in range(260_000)]  # over 2 MB
