@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import map_slices, small_batches, stamp, text_or_empty
-from millrace.llm.hashing import Rolling, maybe_in, mix
+from millrace.llm.hashing import Rolling, bit_table, held, in_table, maybe_in, mix
 from millrace.sources.tables import discard, materialise
 
 WORDS = 5
@@ -263,16 +263,20 @@ def components(links: DataFrame) -> DataFrame:
     return materialise(labels, "components")
 
 
-def postings(rows: DataFrame, common: np.ndarray, words: int) -> DataFrame:
-    """Prefix tokens of the sets of ``rows`` (``pivot, comp, text``), a row each: the token, the
+def postings(rows: DataFrame, common: np.ndarray, words: int, aside: np.ndarray) -> DataFrame:
+    """Prefix tokens of the sets of ``rows`` (``pivot, comp, text, mark``), a row each: the token, the
     size of the set and the place of the token in it (``rank``, one number), the set's pivot
     and component, and a small parity sketch of the set (``s0, s1``). A null pivot is that of
-    a set on its own and is computed here."""
+    a set on its own and is computed here, unless the row's ``mark`` is in the bit table ``aside``:
+    such rows come a second time with their pivot. A filter before would take a second Python
+    worker for each task."""
 
     def spread(parts: Iterator[dict]) -> Iterator[dict]:
         for part in parts:
-            held = []
-            for pivot, comp, tokens in zip(part["pivot"], part["comp"], shingle_sets(part["text"], words)):
+            known = held(aside, np.array(part["mark"], "int64"))
+            kept = [i for i, pivot in enumerate(part["pivot"]) if pivot is not None or not known[i]]
+            sets, of = [], shingle_sets([part["text"][i] for i in kept], words)
+            for pivot, comp, tokens in zip(*([part[c][i] for i in kept] for c in ("pivot", "comp")), of):
                 size = len(tokens)
                 if not size:
                     continue
@@ -280,15 +284,15 @@ def postings(rows: DataFrame, common: np.ndarray, words: int) -> DataFrame:
                     pivot = comp = _set_keys(tokens)[0]
                 order = np.lexsort((tokens, common[_slot(tokens)]))[: size - math.ceil(size * SHARE / SCALE) + 1]
                 sketch = np.frombuffer(_parity(tokens, SMALL_PARITY), "<i8")
-                held.append((tokens[order].view("int64"), size, pivot, comp, *sketch.tolist()))
-            if held:
-                length = [len(t) for t, *_ in held]
-                size, *others = (np.repeat(np.array(c, "int64"), length) for c in list(zip(*held))[1:])
+                sets.append((tokens[order].view("int64"), size, pivot, comp, *sketch.tolist()))
+            if sets:
+                length = [len(t) for t, *_ in sets]
+                size, *others = (np.repeat(np.array(c, "int64"), length) for c in list(zip(*sets))[1:])
                 place = np.concatenate([np.arange(n) for n in length])
-                columns = (np.concatenate([t for t, *_ in held]), size << 32 | place, *others)
+                columns = (np.concatenate([t for t, *_ in sets]), size << 32 | place, *others)
                 yield dict(zip(("token", "rank", "pivot", "comp", "s0", "s1"), columns))
 
-    return map_slices(rows.select("pivot", "comp", "text"), "token long, rank long, pivot long, comp long, s0 long, s1 long", spread)
+    return map_slices(rows.select("pivot", "comp", "text", "mark"), "token long, rank long, pivot long, comp long, s0 long, s1 long", spread)
 
 
 def _may_link(size_x, size_y, place_x, place_y) -> np.ndarray:
@@ -503,11 +507,12 @@ def _indexed(listed: DataFrame, groups: DataFrame, docs: DataFrame, common: np.n
     several = materialise(groups.where("related OR n_same > 1").select("key", "place", "comp", "pivot"), "related-sets")
     mark = F.xxhash64("doc_id", "t")
     known_docs = listed.where("n > 0").join(several.select("key"), "key", "left_semi").select("doc_id", "t")
-    aside = maybe_in(known_docs, mark, mark)
-    own = _text_of(groups.select("key", "place", "comp", "pivot"), docs.where(aside))
+    aside = bit_table(known_docs, mark)
+    own = _text_of(groups.select("key", "place", "comp", "pivot"), docs.where(in_table(aside, mark)))
     none = F.lit(None).cast("long")
-    alone = docs.where(~aside).select(none.alias("pivot"), none.alias("comp"), "text")
-    rows = postings(alone.unionByName(own.select("pivot", "comp", "text")), common, words)
+    alone = docs.select(none.alias("pivot"), none.alias("comp"), "text", mark.alias("mark"))
+    own = own.select("pivot", "comp", "text", F.lit(0).cast("long").alias("mark"))
+    rows = postings(alone.unionByName(own), common, words, aside)
     ordered = rows.repartition("token").sortWithinPartitions("token", "rank", "pivot")
     lists = materialise(read_lists(ordered, BLOCK_ENTRIES), "lists")
     pairs = lists.where("a IS NOT NULL").select("a", "b")

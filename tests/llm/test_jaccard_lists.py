@@ -96,3 +96,21 @@ def test_very_long_texts(spark):
     rows = [(3, " ".join(words)), (2, " ".join(near)), (1, " ".join(far)), (4, "short text")]
     found = {r["doc_id"]: r["component_id"] for r in jaccard_components(documents(spark, rows)).collect()}
     assert found == {3: 2, 2: 2, 1: 1, 4: 4}
+
+
+def test_postings_take_one_python_worker_a_task(spark, monkeypatch, capsys):
+    """Documents that come with their group are left out where postings are made, not by a
+    filter in Python before: a task with both would hold two workers."""
+    plans, postings = [], jaccard.postings
+
+    def seen(rows, *others):
+        rows.explain()
+        plans.append(capsys.readouterr().out)
+        return postings(rows, *others)
+
+    monkeypatch.setattr(jaccard, "postings", seen)
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(3, text), (2, text), (None, text + " more"), (4, "quite another text of seven words"), (5, None), (6, "")]
+    found = jaccard_components(documents(spark, rows))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {2: 2, 3: 2, None: 2, 4: 4, 5: 5, 6: 6}
+    assert plans[0].count("ArrowEvalPython") == 1  # the shuffled branch
