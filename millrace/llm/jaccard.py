@@ -192,7 +192,8 @@ def _text_of(sets: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """``a, b, o`` for each pair of set keys: the exact size of the intersection. Stored."""
+    """``a, b, o, na, nb`` for each pair of set keys: the exact size of the intersection and of
+    the sets. Stored."""
     pairs = materialise(pairs.select("a", "b").distinct(), "pairs")
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     wanted = materialise(sets.select("key", "place").join(keys, "key"), "pair-sets")
@@ -206,18 +207,21 @@ def overlaps(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int) ->
             texts = dict(zip(a, part["ta"])) | dict(zip(b, part["tb"]))
             found = dict(zip(texts, shingle_sets(list(texts.values()), words)))
             o = [len(np.intersect1d(found[x], found[y], assume_unique=True)) for x, y in zip(a, b)]
-            yield {"a": a, "b": b, "o": o}
+            yield {"a": a, "b": b, "o": o, "na": [len(found[x]) for x in a], "nb": [len(found[y]) for y in b]}
 
-    return materialise(map_slices(met.select("a", "b", "ta", "tb"), "a long, b long, o long", count), "overlaps")
+    schema = "a long, b long, o long, na long, nb long"
+    return materialise(map_slices(met.select("a", "b", "ta", "tb"), schema, count), "overlaps")
 
 
 def sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (``a, b, na, nb, gain``) for which the parity sketches leave an overlap that
-    reaches a link together with ``gain``: SCALE + SHARE times the overlap plus it is not
-    negative."""
-    sketch = sets.select("key", "parity")
-    met = pairs.join(sketch.select(F.col("key").alias("a"), F.col("parity").alias("x")), "a")
-    met = met.join(sketch.select(F.col("key").alias("b"), F.col("parity").alias("y")), "b")
+    """The pairs (``a, b`` of ``pairs``, with ``na, nb, gain``) for which the parity sketches of
+    ``sets`` (``key, n, gain, parity``) leave an overlap that reaches a link together with the
+    two gains: SCALE + SHARE times the overlap plus them is not negative. Sizes, gains and
+    sketches come with one join a side."""
+    met = pairs.select("a", "b")
+    for side, parity in (("a", "x"), ("b", "y")):
+        met = met.join(sets.toDF(side, f"n{side}", f"g{side}", parity), side)
+    met = met.withColumn("gain", F.col("ga") + F.col("gb"))
 
     def keep(parts: Iterator[dict]) -> Iterator[dict]:
         for part in parts:
@@ -231,9 +235,8 @@ def sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (``a, b, na, nb``) that the parity sketches do not rule out."""
-    own = pairs.withColumn("gain", -F.lit(SHARE) * (F.col("na") + F.col("nb")))
-    return sketched(own, sets).drop("gain")
+    """The pairs (``a, b``) that the parity sketches do not rule out."""
+    return sketched(pairs, sets.select("key", "n", (-F.lit(SHARE) * F.col("n")).alias("gain"), "parity")).drop("gain")
 
 
 def _links(o: Column, na: Column, nb: Column) -> Column:
@@ -469,14 +472,12 @@ def _components(docs: DataFrame, words: int, id_col: str, text_col: str) -> Data
         F.when(F.min("key2") != F.max("key2"), F.raise_error(F.lit("two sets share a key"))).alias("clash"),
     )
     sets = materialise(sets.where("clash IS NULL").drop("clash"), "distinct-sets")
-    sized = sets.select("key", "n")
 
     # 1. relations
     band = sets.select("key", F.posexplode("bands").alias("band", "value"))
     pivots = band.groupBy("band", "value").agg(F.min("key").alias("pivot"), F.count(F.lit(1)).alias("k")).where("k > 1")
     star = band.join(pivots, ["band", "value"]).where("key <> pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b"))
-    known = overlaps(possible(_with_sizes(star.distinct(), sized), sets), sets, stamped, words)
-    known = _with_sizes(known, sized)
+    known = overlaps(possible(star.distinct(), sets), sets, stamped, words)
     linked = known.where(_links(F.col("o"), F.col("na"), F.col("nb")))
     first = components(linked)
     closest = linked.groupBy(F.col("a").alias("key")).agg(F.max(F.struct("o", "b")).alias("best"))
@@ -524,11 +525,6 @@ def _indexed(listed: DataFrame, groups: DataFrame, docs: DataFrame, common: np.n
     return pairs
 
 
-def _with_sizes(pairs: DataFrame, sized: DataFrame) -> DataFrame:
-    a, b = sized.select(F.col("key").alias("a"), F.col("n").alias("na")), sized.select(F.col("key").alias("b"), F.col("n").alias("nb"))
-    return pairs.join(a, "a").join(b, "b")
-
-
 def member_blocks(members: DataFrame) -> DataFrame:
     """The sets ``members`` (``pivot, key, n, gain, parity``) packed into blocks of one pivot,
     by falling gain: ``pivot, first, top`` (a key and the largest gain of the block) ``, entries``.
@@ -611,16 +607,13 @@ def _answers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataFra
     whose own gain and sketches still allow a link are decided by their exact overlap."""
     whole, share = F.lit(SCALE + SHARE), F.lit(SHARE)
     gain = groups.groupBy(F.col("pivot").alias("key")).agg(F.max(whole * F.col("beyond") - share * F.col("n")).alias("gain"))
-    asked = pairs
-    for side in ("a", "b"):
-        asked = asked.join(gain.select(F.col("key").alias(side), F.col("gain").alias(f"g{side}")), side)
-    asked = _with_sizes(asked.withColumn("gain", F.col("ga") + F.col("gb")).select("a", "b", "gain"), sets.select("key", "n"))
-    asked = materialise(sketched(asked, sets), "asked-pivots")
-    known = overlaps(asked, sets, docs, words).join(asked, ["a", "b"])
-    known = materialise(known, "known-pivots")
+    pivots = materialise(sets.select("key", "n", "parity").join(gain, "key").select("key", "n", "gain", "parity"), "pivot-gains")
+    asked = materialise(sketched(pairs, pivots), "asked-pivots")
+    known = overlaps(asked, sets, docs, words).join(asked.select("a", "b", "gain"), ["a", "b"])
     linked = _links(F.col("o"), F.col("na"), F.col("nb"))
     for side in ("a", "b"):
         known = known.join(groups.select(F.col("key").alias(side), F.col("comp").alias(f"c{side}")), side)
+    known = materialise(known, "known-pivots")
     merged = components(known.where(linked).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     for side in ("a", "b"):
         known = known.join(merged.select(F.col("key").alias(f"c{side}"), F.col("label").alias(f"l{side}")), f"c{side}", "left")
@@ -628,6 +621,6 @@ def _answers(pairs: DataFrame, groups: DataFrame, sets: DataFrame, docs: DataFra
     open_ = known.where(~linked & apart & (whole * F.col("o") + F.col("gain") >= 0))
     open_ = open_.select(F.col("a").alias("p"), F.col("b").alias("q"), "o")
     left = materialise(member_pairs(open_, groups, sets), "candidates")
-    exact = overlaps(left, sets, docs, words).join(left.select("a", "b", "na", "nb"), ["a", "b"])
+    exact = overlaps(left, sets, docs, words)
     exact = exact.where(_links(F.col("o"), F.col("na"), F.col("nb")))
     return known.where(linked).select("a", "b").unionByName(exact.select("a", "b"))

@@ -114,3 +114,21 @@ def test_postings_take_one_python_worker_a_task(spark, monkeypatch, capsys):
     found = jaccard_components(documents(spark, rows))
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {2: 2, 3: 2, None: 2, 4: 4, 5: 5, 6: 6}
     assert plans[0].count("ArrowEvalPython") == 1  # the shuffled branch
+
+
+def test_pairs_meet_sizes_gains_and_sketches_in_one_join_a_side(spark, monkeypatch, capsys):
+    """Pairs of pivots are what may be many: they are not joined before their sketches are."""
+    asked, sketched = [], jaccard.sketched
+
+    def seen(pairs, sets):
+        for df in (pairs, sketched(pairs, sets)):
+            df.explain()
+            asked.append(capsys.readouterr().out.count("Join "))
+        return sketched(pairs, sets)
+
+    monkeypatch.setattr(jaccard, "sketched", seen)
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(3, text), (2, text + " more"), (1, text + " and many other words that make it another text"), (4, None)]
+    found = jaccard_components(documents(spark, rows))
+    assert tuples(found, "doc_id", "n_shingles", "component_id") == components_of(rows)
+    assert asked[2:] == [0, 2]  # of the second call, that on pivots
