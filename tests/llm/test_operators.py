@@ -3,14 +3,17 @@ repeated rows, clashing columns, hot groups."""
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import sharding, suffix_dedup
 from millrace.llm.bpe import Codec, decode, encode
 from millrace.llm.catalog import word_vocabulary
+from millrace.llm.common import BATCH_BYTES, BATCH_CONF
 from millrace.llm.exact_dedup import Directory, exact_duplicates, grow_directory
 from millrace.llm.jaccard import jaccard_components
 from millrace.llm.langid import identify
@@ -246,6 +249,43 @@ def test_repeats(spark, monkeypatch, first, hot):
     assert [(d, bytes(k)) for d, k in tuples(found, "doc_id", "_kept")] == removed(rows, 100, first)
 
 
+def test_repeats_across_stretches(spark):
+    rnd, n = random.Random(8), suffix_dedup.CHUNK_BYTES
+    text = lambda size: "".join(rnd.choices("abcdefghijklmnop", k=size))
+    passage, edge = text(900), text(150)
+    long = text(n - 450) + "<" + passage + ">" + text(n) + edge + text(77)
+    rows = [(1, long), (2, text(50) + "[" + passage + "]" + text(30)), (3, edge), (4, text(2 * n + 5))]
+    found = suffix_dedup.remove_repeats(documents(spark, rows), 100, keep_first=False)
+    assert [(d, bytes(k)) for d, k in tuples(found, "doc_id", "_kept")] == [
+        (d, t.replace(passage, "").replace(edge, "").encode()) for d, t in rows
+    ]
+
+
+def test_segments_hold_little_memory():
+    n = suffix_dedup.CHUNK_BYTES
+    data = np.random.default_rng(3).integers(97, 123, n, "uint8")
+    suffix_dedup.Rolling(data)  # the tables that all texts share
+    tracemalloc.start()
+    suffix_dedup.segments(data, np.array([0, n // 2, n]), 256, 48)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48e6
+
+
+def test_texts_are_sent_in_small_batches(spark, monkeypatch):
+    sizes, store = {}, suffix_dedup.materialise
+
+    def stored(df, name):
+        sizes[name] = spark.conf.get(BATCH_CONF)
+        return store(df, name)
+
+    monkeypatch.setattr(suffix_dedup, "materialise", stored)
+    before = spark.conf.get(BATCH_CONF)
+    suffix_dedup.remove_repeats(documents(spark, [(1, "a b " * 60), (2, "b c " * 60)]), 100, words=5)
+    assert {sizes[k] for k in ("segments", "repeated-windows", "word-windows")} == {str(BATCH_BYTES)}
+    assert spark.conf.get(BATCH_CONF) == before
+
+
 def test_repeats_of_nothing(spark):
     assert suffix_dedup.remove_repeats(documents(spark, [])).count() == 0
 
